@@ -1,0 +1,5 @@
+"""Intentionally empty: the capability set covered here is batch only.
+
+The stateless column builders in ``functions`` and the fitted preparation models in
+``plans`` are plain projections, so they also accept a streaming DataFrame.
+"""
