@@ -43,7 +43,8 @@ def class_scores(df: DataFrame, label: str = "label", prediction: str = "predict
     sides = cells.select("n", (F.col("label") == F.col("prediction")).alias("hit"),
                          F.inline(F.array(
                              F.struct(F.lit(True).alias("is_label"), F.col("label").alias("class")),
-                             F.struct(F.lit(False), F.col("prediction")))))
+                             F.struct(F.lit(False).alias("is_label"),
+                                      F.col("prediction").alias("class")))))
     per = sides.groupBy("class").agg(
         F.sum(F.when(F.col("is_label"), F.col("n")).otherwise(0)).alias("labelled"),
         F.sum(F.when(~F.col("is_label"), F.col("n")).otherwise(0)).alias("predicted"),

@@ -1,6 +1,7 @@
 from .readers import read_csv_typed, read_libsvm, schema_of, table, tables
 from .inline import inline_table
+from .spread import spread_small
 from .shared import materialize, new_shared_path, release, shared_root
 
 __all__ = ["read_csv_typed", "read_libsvm", "schema_of", "table", "tables", "inline_table",
-           "materialize", "new_shared_path", "release", "shared_root"]
+           "materialize", "new_shared_path", "release", "shared_root", "spread_small"]

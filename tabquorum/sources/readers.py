@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+KINDS = {"int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(),
+         "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType()}
+
+
 def schema_of(*fields: tuple[str, str]) -> T.StructType:
     """Schema from ``(name, type)`` pairs; names may hold spaces and operators."""
-    schema = T.StructType()
-    for name, kind in fields:
-        schema = schema.add(name, kind)
-    return schema
+    return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in fields])
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
