@@ -19,7 +19,7 @@ from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,
                                           GradientBoostingClassifier, StackingClassifier)
 from tabquorum.operators.splitting import hash_split
 from tabquorum.plans import cross_validate, cv_results, param_grid
-from tabquorum.sources import inline_table, schema_of
+from tabquorum.sources import inline_table, kept, schema_of
 
 from .frames import LINES_SQL, hash_sql, line_task, quality_task
 from .registry import query
@@ -269,7 +269,7 @@ def stacking_stumps(spark, sf_dir):
 
 def held_out(estimator, spark, sf_dir):
     """Accuracy, error and F1 on the documents not used for fitting."""
-    train, test = hash_split(quality_task(spark, sf_dir).cache(), F.col("doc_id"), 70)
+    train, test = hash_split(kept(quality_task(spark, sf_dir)), F.col("doc_id"), 70)
     predicted = estimator.fit(train).transform(test)
     f1 = metrics.weighted_f1(predicted)
     return metrics.accuracy(predicted).join(f1, "n").select("accuracy", "error", "f1", "n")
@@ -309,6 +309,6 @@ def cv_bagging(spark, sf_dir):
     bag = BaggingClassifier(baseLearner=DecisionTreeClassifier(maxDepth=3, seed=learners.SEED),
                             maxIter=3, parallelism=2, idCol="doc_id")
     grid = param_grid({bag.sampleRatio: [0.3, 1.0]})
-    train, _ = hash_split(quality_task(spark, sf_dir), F.col("doc_id"), 70)
+    train, _ = hash_split(kept(quality_task(spark, sf_dir)), F.col("doc_id"), 70)
     return cv_results(spark, cross_validate(bag, grid, train, metric="f1", folds=2, key="doc_id",
                                             parallelism=2))

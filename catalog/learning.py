@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabquorum.operators import learners, metrics
 from tabquorum.operators.splitting import hash_split
 from tabquorum.plans import (cross_validated_score, fit_predict, leaderboard, param_grid)
-from tabquorum.sources import inline_table, schema_of, spread_small
+from tabquorum.sources import inline_table, kept, schema_of, spread_small
 
 from .frames import LINE_FEATURES, LINES_SQL, line_task, quality_task
 from .registry import query
@@ -53,8 +53,7 @@ def naive_bayes_predict(spark, sf_dir):
 # --- classifiers on a hold-out ----------------------------------------------------------------
 
 def split(spark, sf_dir):
-    task = quality_task(spark, sf_dir).cache()
-    return hash_split(task, F.col("doc_id"), 70)
+    return hash_split(kept(quality_task(spark, sf_dir)), F.col("doc_id"), 70)
 
 
 def classifier_query(name: str, make, doc: str):
@@ -88,7 +87,7 @@ def regressor_query(name: str, make, doc: str):
                              *[c.alias(n) for n, c in text_shape(F.col("text")).items()])
         rows = VectorAssembler(inputCols=["text_words", "distinct_word_share", "letter_share"],
                                outputCol="features").transform(shaped)
-        train, test = hash_split(rows.select("doc_id", "label", "features").cache(),
+        train, test = hash_split(kept(rows.select("doc_id", "label", "features")),
                                  F.col("doc_id"), 70)
         return metrics.mean_squared_error(fit_predict(make(), train, test))
     run.__doc__ = doc

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.spread import estimated_bytes
 from .ranking import range_bucket
 
+RANGE_BYTES = 64 * 1024 * 1024
+
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per (label, prediction); everything class-based below starts from these."""
@@ -66,14 +69,16 @@ def mean_squared_error(df: DataFrame, label: str = "label",
 
 
 def area_under_roc(df: DataFrame, score: str = "score", label: str = "label",
-                   buckets: int = 4096) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Exact area under the ROC curve: share of (positive, negative) pairs in right order,
     equal scores counting half.
 
     Rows are first reduced to one per distinct score, so a score shared by many rows costs
     nothing later. Score ranges of about equal size are then ranked independently, and only
-    one row per range is ranked globally.
+    one row per range is ranked globally. Without ``buckets`` a range is given some 64 MB.
     """
+    if buckets is None:
+        buckets = min(8192, max(16, estimated_bytes(df) // RANGE_BYTES))
     positive = F.col(label).cast("double") > 0.5
     per_score = (range_bucket(df.select(score, label), score, "_range", buckets)
                  .groupBy("_range", score)

@@ -1,7 +1,8 @@
 from .readers import read_csv_typed, read_libsvm, schema_of, table, tables
 from .inline import inline_table
-from .spread import spread_small
+from .spread import estimated_bytes, kept, spread_small
 from .shared import materialize, new_shared_path, release, shared_root
 
 __all__ = ["read_csv_typed", "read_libsvm", "schema_of", "table", "tables", "inline_table",
-           "materialize", "new_shared_path", "release", "shared_root", "spread_small"]
+           "materialize", "new_shared_path", "release", "shared_root",
+           "estimated_bytes", "kept", "spread_small"]

@@ -1,18 +1,38 @@
-"""Enough tasks for repeated passes over inputs that arrive in very few files."""
+"""Task counts for data that iterative fitting reads again and again.
+
+Inputs of any real size keep the partitioning Spark gives them. Only inputs too small to
+fill the cores are touched: a single-file table is spread out, and a kept frame of a few
+hundred rows is packed, because there the cost of starting tasks is all there is.
+"""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 BYTES_PER_TASK = 128 * 1024 * 1024
+SMALL_TASK = 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; exact for a kept frame that has been computed."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """``df`` over all cores if its estimated size would give fewer scan tasks than cores.
+    """``df`` over more tasks if its estimated size would give fewer scan tasks than cores.
 
-    The estimate comes from the optimizer and bounds what is shuffled to cores x 128 MB;
-    anything larger is already split well and is returned unchanged.
+    At most cores x 128 MB are shuffled; anything larger is already split well and is
+    returned unchanged, and so is anything below 1 MB.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * BYTES_PER_TASK else df
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, estimated_bytes(df)
+    tasks = min(cores, -(-size // SMALL_TASK))
+    return df.repartition(tasks) if 1 < tasks and size < cores * BYTES_PER_TASK else df
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` kept in memory and on disk and computed, in no more tasks than its size needs."""
+    stored = df.persist(StorageLevel.MEMORY_AND_DISK)
+    stored.count()
+    cores, size = df.sparkSession.sparkContext.defaultParallelism, estimated_bytes(stored)
+    return stored.coalesce(max(1, -(-size // SMALL_TASK))) if size < cores * SMALL_TASK else stored
