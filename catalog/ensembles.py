@@ -19,9 +19,9 @@ from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,
                                           GradientBoostingClassifier, StackingClassifier)
 from tabquorum.operators.splitting import hash_split
 from tabquorum.plans import cross_validate, cv_results, param_grid
-from tabquorum.sources import inline_table, kept, schema_of
+from tabquorum.sources import inline_table, schema_of
 
-from .frames import LINES_SQL, hash_sql, line_task, quality_task
+from .frames import LINES_SQL, hashed_sql, line_task, quality_task
 from .registry import query
 
 STUMP_FEATURES = ("x0", "x1")
@@ -94,9 +94,8 @@ def poisson_sql(uniform: str, rate: float) -> str:
 
 def bag_sql(sampled: str) -> str:
     """Members on samples whose row counts are given by ``sampled`` with {u} for the uniform."""
-    key = f"(id || ':{BAG_SEED}')"
     uniform = "(((h0 + {m} * h1) % 4294967296) / 4294967296)"
-    ctes = [LINES_SQL, f"hashed AS (SELECT *, {hash_sql(key)} AS h0, {hash_sql(key, 1)} AS h1 FROM lines)"]
+    ctes = [LINES_SQL, f"hashed AS {hashed_sql('lines', 'id', BAG_SEED)}"]
     for m in range(BAG_MEMBERS):
         u = uniform.format(m=m)
         ctes.append(f"s{m} AS (SELECT *, {sampled.format(u=u)} AS w FROM hashed)")
@@ -239,8 +238,7 @@ def bayes_guess_sql(name: str) -> str:
 
 
 def stack_sql() -> str:
-    key = f"(id || ':{STACK_SEED}')"
-    ctes = [LINES_SQL, f"folded AS (SELECT *, {hash_sql(key)} % 2 AS fold FROM lines)"]
+    ctes = [LINES_SQL, f"folded AS (SELECT *, h0 % 2 AS fold FROM {hashed_sql('lines', 'id', STACK_SEED)})"]
     for f, rows in ((0, "fold <> 0"), (1, "fold <> 1"), (2, "true")):
         source = f"(SELECT * FROM folded WHERE {rows})"
         ctes.append(class_stump_sql(f"t{f}", source, "1"))
@@ -269,7 +267,7 @@ def stacking_stumps(spark, sf_dir):
 
 def held_out(estimator, spark, sf_dir):
     """Accuracy, error and F1 on the documents not used for fitting."""
-    train, test = hash_split(kept(quality_task(spark, sf_dir)), F.col("doc_id"), 70)
+    train, test = hash_split(quality_task(spark, sf_dir), F.col("doc_id"), 70)
     predicted = estimator.fit(train).transform(test)
     f1 = metrics.weighted_f1(predicted)
     return metrics.accuracy(predicted).join(f1, "n").select("accuracy", "error", "f1", "n")
@@ -309,6 +307,6 @@ def cv_bagging(spark, sf_dir):
     bag = BaggingClassifier(baseLearner=DecisionTreeClassifier(maxDepth=3, seed=learners.SEED),
                             maxIter=3, parallelism=2, idCol="doc_id")
     grid = param_grid({bag.sampleRatio: [0.3, 1.0]})
-    train, _ = hash_split(kept(quality_task(spark, sf_dir)), F.col("doc_id"), 70)
+    train, _ = hash_split(quality_task(spark, sf_dir), F.col("doc_id"), 70)
     return cv_results(spark, cross_validate(bag, grid, train, metric="f1", folds=2, key="doc_id",
                                             parallelism=2))

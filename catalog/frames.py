@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabquorum.functions import band, text_shape
 from tabquorum.operators.encode import assembler
-from tabquorum.sources import spread_small, table
+from tabquorum.sources import kept, spread_small, table
 
 TITLES = ["Mr", "Mrs", "Miss", "Master", "Don", "Countess", "Col", "Rev", "Lady", "Mme", "Capt",
           "Dr", "Sir", "Jonkheer", "Mlle", "Major", "Ms", "Dona"]
@@ -22,8 +22,42 @@ def null_every(key: str, step: int, value: Column) -> Column:
     return F.when(F.col(key) % step != 0, value)
 
 
-def hash_sql(key: str, word: int = 0) -> str:
-    return f"('0x' || substr(md5(CAST({key} AS VARCHAR)), {1 + 8 * word}, 8))::BIGINT"
+# The 64-bit multipliers of the public xxHash algorithm, XXH64.
+XX = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+      0x27D4EB2F165667C5)
+
+
+def mod64(expression: str) -> str:
+    return f"(({expression}) % 18446744073709551616::UHUGEINT)::UBIGINT"
+
+
+def times(a: str, b: int) -> str:
+    return mod64(f"({a})::UHUGEINT * {b}::UHUGEINT")
+
+
+def plus(a: str, b: int) -> str:
+    return mod64(f"({a})::UHUGEINT + {b}::UHUGEINT")
+
+
+def xxhash_steps(out: str, value: str, seed: str) -> str:
+    """Select list ending in column ``out``: XXH64 of one long, each step naming the last."""
+    def rotated(x: str, bits: int) -> str:
+        return f"({times(x, 1 << bits)} + ({x} >> {64 - bits}))"
+    steps = [times(value, XX[1]), times(rotated(f"{out}0", 31), XX[0]),
+             f"xor({plus(seed, XX[4] + 8)}, {out}1)", plus(times(rotated(f"{out}2", 27), XX[0]), XX[3]),
+             times(f"xor({out}3, {out}3 >> 33)", XX[1]), times(f"xor({out}4, {out}4 >> 29)", XX[2])]
+    named = [f"{s} AS {out}{i}" for i, s in enumerate(steps)]
+    return ", ".join([*named, f"xor({out}5, {out}5 >> 32) AS {out}"])
+
+
+def hashed_sql(source: str, key: str, seed: int | None = None) -> str:
+    """The source with the two hash words ``h0`` and ``h1`` of a long key."""
+    steps = xxhash_steps("hx", key, "42::UBIGINT")
+    if seed is not None:
+        steps += ", " + xxhash_steps("hy", str(seed), "hx")
+    last = "hx" if seed is None else "hy"
+    return (f"(SELECT *, CAST({last} & 4294967295 AS BIGINT) AS h0, CAST({last} >> 32 AS BIGINT) AS h1 "
+            f"FROM (SELECT *, {steps} FROM {source}))")
 
 
 # --- passengers derived from customer -------------------------------------------------------
@@ -77,7 +111,7 @@ def line_columns() -> dict[str, Column]:
     """Row id, four small integer features, and the value band as label."""
     value = F.col("l_quantity") * F.col("l_extendedprice")
     return {
-        "id": F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+        "id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
         "x0": F.col("l_quantity"),
         "x1": F.floor(F.col("l_extendedprice") / 2100).cast("double"),
         "x2": F.round(F.col("l_discount") * 100),
@@ -92,15 +126,16 @@ def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_task(spark: SparkSession, sf_dir: str, features=LINE_FEATURES) -> DataFrame:
-    """``line_rows`` with the features as a vector and the number of classes in the metadata."""
+    """``line_rows`` with the features as a vector and the classes in the metadata, kept for
+    the many passes of training."""
     rows = assembler(features).transform(spread_small(line_rows(spark, sf_dir)))
     classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1", "2"], "name": "label"}}
-    return rows.withMetadata("label", classes)
+    return kept(rows.select("id", "features", "label").withMetadata("label", classes))
 
 
 LINES_SQL = """
 lines AS (
-  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS id,
+  SELECT l_orderkey * 8 + l_linenumber AS id,
          l_quantity AS x0, floor(l_extendedprice / 2100) AS x1,
          round(l_discount * 100) AS x2, round(l_tax * 100) AS x3,
          CASE WHEN l_quantity * l_extendedprice <= 500000 THEN 0
@@ -127,6 +162,5 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1"], "name": "label"}}
-    return (assembler(QUALITY_FEATURES).transform(quality_rows(spark, sf_dir))
-            .select("doc_id", "features", "label", "text_chars", "text_words")
-            .withMetadata("label", classes))
+    return kept(assembler(QUALITY_FEATURES).transform(quality_rows(spark, sf_dir))
+                .select("doc_id", "features", "label").withMetadata("label", classes))

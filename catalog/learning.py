@@ -53,7 +53,7 @@ def naive_bayes_predict(spark, sf_dir):
 # --- classifiers on a hold-out ----------------------------------------------------------------
 
 def split(spark, sf_dir):
-    return hash_split(kept(quality_task(spark, sf_dir)), F.col("doc_id"), 70)
+    return hash_split(quality_task(spark, sf_dir), F.col("doc_id"), 70)
 
 
 def classifier_query(name: str, make, doc: str):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabquorum.functions import band, hash_bucket
 from tabquorum.operators import metrics
 
-from .frames import LINES_SQL, hash_sql, line_rows
+from .frames import LINES_SQL, hashed_sql, line_rows
 from .registry import query
 
 # Two rules that are deliberately imperfect: quantity alone decides.
@@ -152,8 +152,8 @@ def param_grid_scores(spark, sf_dir):
 
 @query("cv_metrics_rule", f"""
 WITH {LINES_SQL}, {GRID_SQL},
-folds AS (SELECT a, b, {hash_sql('id')} % 5 AS fold, avg({HIT_SQL}) AS accuracy
-          FROM lines, grid GROUP BY ALL),
+folds AS (SELECT a, b, h0 % 5 AS fold, avg({HIT_SQL}) AS accuracy
+          FROM {hashed_sql('lines', 'id')}, grid GROUP BY ALL),
 means AS (SELECT a, b, avg(accuracy) AS metric FROM folds GROUP BY a, b)
 SELECT 'lower=' || a || ',upper=' || b AS point, round(metric, 10) AS metric,
        row_number() OVER (ORDER BY metric DESC, a, b) = 1 AS is_best

@@ -13,7 +13,7 @@ from tabquorum.operators.splitting import hash_split, with_fold
 from tabquorum.plans import PassengerPrep
 from tabquorum.sources import table
 
-from .frames import PASSENGERS_SQL, hash_sql, null_every, passengers
+from .frames import PASSENGERS_SQL, hashed_sql, null_every, passengers
 from .registry import query
 
 
@@ -141,8 +141,8 @@ def impute_mean_lazy(spark, sf_dir):
 
 @query("impute_train_stats_on_test", f"""
 WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS price,
-                  CASE WHEN {hash_sql('o_orderkey')} % 100 < 70 THEN 'train' ELSE 'test' END AS side
-           FROM orders)
+                  CASE WHEN h0 % 100 < 70 THEN 'train' ELSE 'test' END AS side
+           FROM {hashed_sql('orders', 'o_orderkey')})
 SELECT o_orderkey, side,
        round(COALESCE(price, (SELECT avg(price) FROM o WHERE side = 'train')), 4) AS price
 FROM o""")
@@ -204,8 +204,8 @@ def lookup_map(spark, sf_dir):
 
 def split_sql(percent: int) -> str:
     return f"""
-SELECT o_orderkey, CASE WHEN {hash_sql('o_orderkey')} % 100 < {percent} THEN 'train' ELSE 'test' END
-         AS side FROM orders"""
+SELECT o_orderkey, CASE WHEN h0 % 100 < {percent} THEN 'train' ELSE 'test' END AS side
+FROM {hashed_sql('orders', 'o_orderkey')}"""
 
 
 def split_query(percent: int):
@@ -222,15 +222,16 @@ query("split_hash_80_20", split_sql(80))(split_query(80))
 
 
 @query("kfold_hash", f"""
-SELECT o_orderkey, CAST({hash_sql('o_orderkey')} % 5 AS INTEGER) AS fold FROM orders""")
+SELECT o_orderkey, CAST(h0 % 5 AS INTEGER) AS fold FROM {hashed_sql('orders', 'o_orderkey')}""")
 def kfold_hash(spark, sf_dir):
     return with_fold(table(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey"), 5)
 
 
 @query("kfold_sizes", f"""
+WITH o AS {hashed_sql('orders', 'o_orderkey')}
 SELECT k, fold, count(*) AS n FROM (
-  SELECT 3 AS k, CAST({hash_sql('o_orderkey')} % 3 AS INTEGER) AS fold FROM orders UNION ALL
-  SELECT 5, CAST({hash_sql('o_orderkey')} % 5 AS INTEGER) FROM orders)
+  SELECT 3 AS k, CAST(h0 % 3 AS INTEGER) AS fold FROM o UNION ALL
+  SELECT 5, CAST(h0 % 5 AS INTEGER) FROM o)
 GROUP BY k, fold""")
 def kfold_sizes(spark, sf_dir):
     """Rows per fold for three and five folds."""
@@ -247,7 +248,7 @@ INDEX_SQL = """(SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC,
 
 @query("tabular_prep_full", f"""
 WITH {PASSENGERS_SQL},
-sided AS (SELECT *, {hash_sql('PassengerId')} % 100 < 70 AS in_train FROM passengers),
+sided AS (SELECT *, h0 % 100 < 70 AS in_train FROM {hashed_sql('passengers', 'PassengerId')}),
 means AS (SELECT CAST(avg(Age) AS FLOAT) AS age, CAST(avg(Fare) AS FLOAT) AS fare FROM sided WHERE in_train),
 filled AS (SELECT PassengerId, Survived, Pclass, Sex, in_train, SibSp + Parch AS family,
                   CAST(COALESCE(s.Age, m.age) AS DOUBLE) AS age, CAST(COALESCE(s.Fare, m.fare) AS DOUBLE) AS fare,

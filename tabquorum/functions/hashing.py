@@ -1,8 +1,10 @@
 """Repeatable uniforms from row keys.
 
 ``rand()`` depends on how rows fall into partitions: after a lost executor a shuffled
-partition may come back in another order and give other draws. A digest of the row's key
-does not, and plain SQL on another engine can reproduce it.
+partition may come back in another order and give other draws. A hash of the row's key does
+not. ``xxhash64`` costs some nanoseconds, so it is simply computed again in every pass
+instead of being stored; a cryptographic digest and its text form would cost as much as the
+pass itself.
 """
 
 from __future__ import annotations
@@ -15,9 +17,13 @@ from pyspark.sql import functions as F
 WORD = 1 << 32
 
 
-def hash_word(key: Column, word: int = 0) -> Column:
-    """The ``word``-th 32-bit group (0..3) of the key's md5 digest, as a long."""
-    return F.conv(F.substring(F.md5(key.cast("string")), 1 + 8 * word, 8), 16, 10).cast("long")
+def hash_word(key: Column, word: int = 0, seed: int | None = None) -> Column:
+    """Lower (0) or upper (1) 32 bits of the key's 64-bit hash, as a non-negative long.
+
+    An int and a long of the same value hash differently.
+    """
+    hashed = F.xxhash64(key) if seed is None else F.xxhash64(key, F.lit(seed).cast("long"))
+    return hashed.bitwiseAND(WORD - 1) if word == 0 else F.shiftrightunsigned(hashed, 32)
 
 
 def hash_bucket(key: Column, buckets: int) -> Column:
@@ -29,19 +35,24 @@ def member_uniform(first: Column, second: Column, member: int) -> Column:
     """Uniform in [0, 1) for one ensemble member from two 32-bit words of the row.
 
     ``first + member * second`` modulo 2^32: uniforms of any two members are independent,
-    at the price of one digest per row however many members there are.
+    from one hash per row however many members there are.
     """
     return ((first + F.lit(member) * second) % F.lit(WORD)) / F.lit(float(WORD))
 
 
-def poisson_count(uniform: Column, rate: float) -> Column:
-    """Poisson(rate) draw by inverting the distribution function at ``uniform``."""
+def poisson_steps(rate: float) -> list[float]:
+    """Values of the Poisson(rate) distribution function, until the rest is below 2^-32."""
     term = math.exp(-rate)
-    reached, k = term, 0
+    steps = [term]
+    while 1.0 - steps[-1] > 1.0 / WORD and len(steps) < 1000:
+        term *= rate / len(steps)
+        steps.append(steps[-1] + term)
+    return steps
+
+
+def poisson_count(uniform: Column, rate: float) -> Column:
+    """Poisson(rate) draw: how many values of the distribution function ``uniform`` reaches."""
     count = F.lit(0)
-    while 1.0 - reached > 1.0 / WORD and k < 1000:
-        count = count + (uniform >= F.lit(reached)).cast("int")
-        k += 1
-        term *= rate / k
-        reached += term
+    for step in poisson_steps(rate):
+        count = count + (uniform >= F.lit(step)).cast("int")
     return count

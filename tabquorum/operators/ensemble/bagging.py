@@ -9,19 +9,25 @@ from __future__ import annotations
 import random
 
 from pyspark import keyword_only
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions.hashing import member_uniform, poisson_count
+from ...functions.hashing import member_uniform, poisson_count, poisson_steps
 from ...functions.scores import argmax_index, vote_scores
 from .common import (FIRST_WORD, SECOND_WORD, WEIGHT, EnsembleEstimator, EnsembleModel,
                      ScoreParams, class_count, configured, feature_count, fit_all, strip,
                      takes_weights, training_frame)
 
 
+# Parameters a decision tree and a forest share.
+TREE_SETTINGS = ("maxDepth", "maxBins", "minInstancesPerNode", "minWeightFractionPerNode",
+                 "minInfoGain", "maxMemoryInMB", "cacheNodeIds", "checkpointInterval", "impurity")
+
+
 class BaggingParams(ScoreParams):
     baseLearner: Param = Param(Params._dummy(), "baseLearner", "classifier fitted as a member")
     sampleRatio: Param[float] = Param(
@@ -64,6 +70,10 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
     member's number, so they need no shuffle and come out the same when a task is run
     again. With replacement a row gets a Poisson(sampleRatio) count, passed as its weight,
     or as repeated rows for learners without weights.
+
+    Decision trees over all features without ``idCol`` are grown together, in the passes one
+    tree would need, by Spark's forest with every feature considered at every split; it
+    draws the same kind of row samples itself.
     """
 
     nested = ("baseLearner",)
@@ -93,11 +103,31 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
             uniform = member_uniform(F.col(FIRST_WORD), F.col(SECOND_WORD), member)
             return train.where(uniform < ratio)
         uniform = member_uniform(F.col(FIRST_WORD), F.col(SECOND_WORD), member)
-        drawn = train.withColumn("_count", poisson_count(uniform, ratio)).where("_count > 0")
+        # The filter is the first step of the count, so pushing it down costs one hash.
+        drawn = (train.where(uniform >= poisson_steps(ratio)[0])
+                      .withColumn("_count", poisson_count(uniform, ratio)))
         if weighted:
             return drawn.withColumn(WEIGHT, F.col(WEIGHT) * F.col("_count"))
         return drawn.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_count"))))
 
+    def _grown_together(self, dataset: DataFrame) -> list | None:
+        """Members from one forest fit, or None where that would not be the same thing."""
+        base = self.getBaseLearner()
+        sampling = self.getReplacement() or self.getSampleRatio() < 1.0
+        whole = self.getSampleRatioFeatures() >= 1.0 and not self.getReplacementFeatures()
+        if not (type(base) is DecisionTreeClassifier and self.getIdCol() is None and sampling
+                and whole and self.getSampleRatio() <= 1.0):
+            return None
+        forest = RandomForestClassifier(
+            numTrees=self.getMaxIter(), featureSubsetStrategy="all", seed=self.getSeed(),
+            bootstrap=self.getReplacement(), subsamplingRate=self.getSampleRatio(),
+            labelCol=self.getLabelCol(), featuresCol=self.getFeaturesCol())
+        forest._set(**{name: base.getOrDefault(name) for name in TREE_SETTINGS})
+        if self.weight_column():
+            forest.setWeightCol(self.weight_column())
+        return [tree.setPredictionCol(f"_vote{m}").setRawPredictionCol("").setProbabilityCol("")
+                for m, tree in enumerate(forest.fit(dataset).trees)]
+
     def _fit(self, dataset: DataFrame) -> BaggingModel:
         base, label, features = self.getBaseLearner(), self.getLabelCol(), self.getFeaturesCol()
         classes = class_count(dataset, label)
@@ -105,6 +135,10 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
         if self.weight_column() and not weighted:
             raise ValueError(f"{type(base).__name__} takes no weights")
         width = feature_count(dataset, features)
+        together = self._grown_together(dataset)
+        if together is not None:
+            spaces = [list(range(width))] * len(together)
+            return BaggingModel(together, spaces, width, classes)._take(self)
         spaces = [self._subspace(m, width) for m in range(self.getMaxIter())]
         sampling = self.getReplacement() or self.getSampleRatio() < 1.0
 

@@ -157,9 +157,9 @@ def training_frame(df: DataFrame, est: EnsembleParams, words: bool,
             row_id, columns = "_id", [F.col(features), F.col(label), F.col(WEIGHT)]
         else:
             frame = df
-        key = F.concat_ws(":", F.col(row_id).cast("string"), F.lit(str(est.getSeed())))
-        frame = frame.select(*columns, hash_word(key, 0).alias(FIRST_WORD),
-                             hash_word(key, 1).alias(SECOND_WORD))
+        key, seed = F.col(row_id), est.getSeed()
+        frame = frame.select(*columns, hash_word(key, 0, seed).alias(FIRST_WORD),
+                             hash_word(key, 1, seed).alias(SECOND_WORD))
     else:
         frame = df.select(*columns)
     # A frame the caller already keeps in memory only needs projecting.
