@@ -95,7 +95,7 @@ def poisson_sql(uniform: str, rate: float) -> str:
 def bag_sql(sampled: str) -> str:
     """Members on samples whose row counts are given by ``sampled`` with {u} for the uniform."""
     uniform = "(((h0 + {m} * h1) % 4294967296) / 4294967296)"
-    ctes = [LINES_SQL, f"hashed AS {hashed_sql('lines', 'id', BAG_SEED)}"]
+    ctes = [LINES_SQL, f"hashed AS MATERIALIZED {hashed_sql('lines', 'id', BAG_SEED)}"]
     for m in range(BAG_MEMBERS):
         u = uniform.format(m=m)
         ctes.append(f"s{m} AS (SELECT *, {sampled.format(u=u)} AS w FROM hashed)")
@@ -238,7 +238,7 @@ def bayes_guess_sql(name: str) -> str:
 
 
 def stack_sql() -> str:
-    ctes = [LINES_SQL, f"folded AS (SELECT *, h0 % 2 AS fold FROM {hashed_sql('lines', 'id', STACK_SEED)})"]
+    ctes = [LINES_SQL, f"folded AS MATERIALIZED (SELECT *, h0 % 2 AS fold FROM {hashed_sql('lines', 'id', STACK_SEED)})"]
     for f, rows in ((0, "fold <> 0"), (1, "fold <> 1"), (2, "true")):
         source = f"(SELECT * FROM folded WHERE {rows})"
         ctes.append(class_stump_sql(f"t{f}", source, "1"))
@@ -247,7 +247,7 @@ def stack_sql() -> str:
     def outputs(f: int, where: str) -> str:
         return (f"SELECT CASE WHEN {side_sql(f't{f}')} THEN t{f}.ly ELSE t{f}.ry END AS x0, "
                 f"{bayes_guess_sql(f'b{f}')} AS x1, y FROM folded, t{f} WHERE {where}")
-    ctes.append(f"meta AS ({outputs(0, 'fold = 0')} UNION ALL {outputs(1, 'fold = 1')})")
+    ctes.append(f"meta AS MATERIALIZED ({outputs(0, 'fold = 0')} UNION ALL {outputs(1, 'fold = 1')})")
     ctes.append(class_stump_sql("top", "meta", "1"))
     ctes.append(f"final AS ({outputs(2, 'true')})")
     ctes.append(f"predicted AS (SELECT y, CASE WHEN {side_sql('top')} THEN ly ELSE ry END AS prediction FROM final, top)")

@@ -28,7 +28,7 @@ XX = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2
 
 
 def mod64(expression: str) -> str:
-    return f"(({expression}) % 18446744073709551616::UHUGEINT)::UBIGINT"
+    return f"(({expression}) & 18446744073709551615::UHUGEINT)::UBIGINT"
 
 
 def times(a: str, b: int) -> str:
