@@ -18,6 +18,8 @@ def range_bucket(df: DataFrame, value: str, out: str, buckets: int) -> DataFrame
     """
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(value, steps, 1.0 / (2 * buckets)))) if steps else []
+    if not cuts:
+        return df.withColumn(out, F.lit(0))
     bucketizer = Bucketizer(splits=[-float("inf"), *cuts, float("inf")],
                             inputCol=value, outputCol=out)
     return bucketizer.transform(df).withColumn(out, F.col(out).cast("int"))
