@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.scores import argmax_index, vote_scores
-from .common import (WEIGHT, EnsembleEstimator, EnsembleModel, ScoreParams, Snapshots,
+from .common import (WEIGHT, EnsembleEstimator, EnsembleModel, RoundState, ScoreParams,
                      class_count, configured, strip, takes_weights, training_frame)
 
 SMALLEST_ERROR = 1e-10
@@ -65,9 +65,8 @@ def reweighted(label: str, prediction: str, weight: str, say: float, scale: floa
 class BoostingClassifier(BoostingParams, EnsembleEstimator):
     """Adaptive boosting of any classifier with a weight column.
 
-    The weights of a round follow from the members so far, so they stay an expression over
-    the kept training rows: a round adds a projection and one aggregate, and no copy of the
-    data. The plan is cut every ``checkpointInterval`` rounds.
+    The weights of a round follow from the members so far, so they can stay an expression
+    over the training rows: a round adds a projection and one aggregate.
     """
 
     nested = ("baseLearner",)
@@ -86,12 +85,13 @@ class BoostingClassifier(BoostingParams, EnsembleEstimator):
         classes = class_count(dataset, label)
         members, says, errors = [], [], []
         with training_frame(dataset, self, words=False) as train:
-            snapshots = Snapshots(dataset, self.getOrDefault(self.checkpointInterval))
+            rounds = RoundState(dataset, self.getOrDefault(self.checkpointInterval))
             state = train
             try:
                 for m in range(self.getMaxIter()):
                     learner = configured(base, label, features, "_guess", WEIGHT, seed_shift=m)
                     model = learner.fit(state)
+                    rounds.computed()
                     scored = model.transform(state)
                     row = weighted_error(scored, label, "_guess", WEIGHT).first()
                     error, total = row["error"], row["total"]
@@ -110,9 +110,9 @@ class BoostingClassifier(BoostingParams, EnsembleEstimator):
                     grown = total * (1.0 - error) + total * error * math.exp(say)
                     update = reweighted(label, "_guess", WEIGHT, say, total / grown)
                     state = scored.select(features, label, update.alias(WEIGHT))
-                    state = snapshots.maybe(state, m + 1)
+                    state = rounds.carry(state, m + 1)
             finally:
-                snapshots.close()
+                rounds.close()
         return BoostingModel(members, says, errors, classes)._take(self)
 
 

@@ -18,6 +18,7 @@ from pyspark.util import inheritable_thread_target
 
 from ...functions.hashing import hash_word
 from ...sources.shared import materialize, release
+from ...sources.spread import BYTES_PER_TASK, estimated_bytes
 
 FIRST_WORD, SECOND_WORD, WEIGHT = "_word0", "_word1", "_weight"
 
@@ -175,22 +176,42 @@ def training_frame(df: DataFrame, est: EnsembleParams, words: bool,
             release(df.sparkSession, path)
 
 
-class Snapshots:
-    """Cuts a growing plan by writing the frame to the shared folder; keeps only the latest."""
+class RoundState:
+    """The frame carried from one boosting round to the next.
 
-    def __init__(self, df: DataFrame, every: int):
-        self.spark, self.every, self.path = df.sparkSession, every, None
+    A frame small enough for the memory of the cores at hand is kept, so that the passes of
+    the next fit do not evaluate all earlier members again. A larger one stays an expression
+    over the training rows: evaluating members is cheaper than copying the data each round.
+    Either way the plan is cut every ``every`` rounds by a table in the shared folder.
+    """
 
-    def maybe(self, df: DataFrame, done: int) -> DataFrame:
-        """``df`` itself, or its written copy after every ``every`` steps."""
-        if self.every <= 0 or done % self.every:
-            return df
-        stored, path = materialize(df, "state")
-        self.close()
-        self.path = path
-        return stored
+    def __init__(self, df: DataFrame, every: int):
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        self.small = estimated_bytes(df) < cores * BYTES_PER_TASK
+        self.spark, self.every = df.sparkSession, every
+        self.path: str | None = None
+        self.kept: list[DataFrame] = []
+
+    def carry(self, df: DataFrame, done: int) -> DataFrame:
+        """The frame to use for the round after ``done`` rounds."""
+        if self.every > 0 and done % self.every == 0:
+            df, path = materialize(df, "state")
+            self.close()
+            self.path = path
+        if self.small:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self.kept.append(df)
+        return df
+
+    def computed(self) -> None:
+        """The latest frame has been read once: those kept before it are not needed."""
+        while len(self.kept) > 1:
+            self.kept.pop(0).unpersist()
 
     def close(self) -> None:
+        """Give up everything still held."""
+        while self.kept:
+            self.kept.pop(0).unpersist()
         if self.path is not None:
             release(self.spark, self.path)
             self.path = None

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.scores import argmax_index, softmax
-from .common import (WEIGHT, EnsembleEstimator, EnsembleModel, ScoreParams, Snapshots,
+from .common import (WEIGHT, EnsembleEstimator, EnsembleModel, RoundState, ScoreParams,
                      class_count, configured, fit_all, strip, takes_weights, training_frame)
 
 SMALLEST_SHARE = 1e-12
@@ -61,8 +61,7 @@ class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
     """K regressors per round, one per class, each fitted on that class's residuals.
 
     The regressors of a round are independent and fitted from ``parallelism`` threads;
-    rounds follow one another. Scores stay expressions over the kept training rows between
-    the cuts made every ``checkpointInterval`` rounds.
+    rounds follow one another.
     """
 
     nested = ("baseLearner",)
@@ -95,7 +94,7 @@ class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
         classes, rate = class_count(dataset, label), self.getLearningRate()
         rounds, weights = [], []
         with training_frame(dataset, self, words=False) as train:
-            snapshots = Snapshots(dataset, self.getOrDefault(self.checkpointInterval))
+            carried = RoundState(dataset, self.getOrDefault(self.checkpointInterval))
             try:
                 shares = class_shares(train, label, WEIGHT, classes).first()
                 if shares[0] is None:
@@ -116,6 +115,7 @@ class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
 
                     models = fit_all([lambda k=k: member(k) for k in range(classes)],
                                      self.getParallelism())
+                    carried.computed()
                     stepped = with_targets
                     for model in models:
                         stepped = model.transform(stepped)
@@ -127,9 +127,9 @@ class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
                         features, label, WEIGHT,
                         *[(F.col(f"_f{k}") + rate * weights[-1][k] * F.col(f"_h{k}"))
                           .alias(f"_f{k}") for k in range(classes)])
-                    state = snapshots.maybe(state, m + 1)
+                    state = carried.carry(state, m + 1)
             finally:
-                snapshots.close()
+                carried.close()
         return GradientBoostingModel(start, rounds, weights)._take(self)
 
 

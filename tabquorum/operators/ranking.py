@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,18 +56,22 @@ def frequency_index(df: DataFrame, column: str, out: str, driver_labels: int = 1
     array lives on the driver. Beyond, positions are computed in a distributed sort and
     joined back: the ``hot_labels`` most frequent values through a broadcast of that many
     rows, the rest, none of which is frequent, through a shuffle. Nulls raise an error in
-    the first case and stay null in the second.
+    the first case and stay null in the second. The table of positions stays in the shared
+    folder, as the result reads it.
     """
     text = F.col(f"`{column}`").cast("string")
     counts = (df.where(text.isNotNull()).groupBy(text.alias("_value"))
-                .agg(F.count(F.lit(1)).alias("_n")))
+                .agg(F.count(F.lit(1)).alias("_n"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
     head = counts.limit(driver_labels + 1).collect()
     if len(head) <= driver_labels:
+        counts.unpersist()
         labels = [r["_value"] for r in sorted(head, key=lambda r: (-r["_n"], r["_value"]))]
         model = StringIndexerModel.from_labels(labels, inputCol=column, outputCol=out)
         return model.transform(df)
 
     numbered, _ = global_row_number(counts, [F.desc("_n"), F.asc("_value")], "_pos")
+    counts.unpersist()
     index = numbered.select("_value", F.col("_pos").cast("double").alias(out))
     hot_rows = index.where(F.col(out) < hot_labels)
     hot = [r["_value"] for r in hot_rows.collect()]

@@ -39,6 +39,6 @@ def squares(spark):
         F.floor(F.col("id") / 18 % 18).cast("double").alias("b"))
     rows = rows.withColumn("label", F.when(F.col("a") + F.col("b") < 12, 0.0)
                            .when(F.col("a") * F.col("b") < 120, 1.0).otherwise(2.0))
-    out = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).cache()
+    out = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows.coalesce(1)).cache()
     out.count()
     return out
