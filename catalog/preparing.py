@@ -9,7 +9,7 @@ from tabquorum.functions import (band, hash_bucket, honorific, honorific_by_spli
 from tabquorum.functions.fixed_values import (AGE_EDGES, FARE_EDGES, OVERALL_EDGES,
                                               SEX_CODES, TITLE_CODES, TITLE_RECODE)
 from tabquorum.operators.impute import fill_mean, fill_mean_lazy, fill_values, fit_means, recode
-from tabquorum.operators.splitting import hash_split, with_fold
+from tabquorum.operators.splitting import hash_split, random_split, with_fold
 from tabquorum.plans import PassengerPrep
 from tabquorum.sources import table
 
@@ -221,6 +221,15 @@ query("split_hash_70_30", split_sql(70))(split_query(70))
 query("split_hash_80_20", split_sql(80))(split_query(80))
 
 
+@query("split_random")
+def split_random(spark, sf_dir):
+    """Sizes of a seeded random split, which no other engine draws the same way."""
+    sides = random_split(table(spark, sf_dir, "orders").select("o_orderkey"), [0.7, 0.3], 42)
+    sizes = [s.agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(name))
+             for s, name in zip(sides, ("train", "test"))]
+    return sizes[0].unionByName(sizes[1])
+
+
 @query("kfold_hash", f"""
 SELECT o_orderkey, CAST(h0 % 5 AS INTEGER) AS fold FROM {hashed_sql('orders', 'o_orderkey')}""")
 def kfold_hash(spark, sf_dir):

@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 BYTES_PER_TASK = 128 * 1024 * 1024
-SMALL_TASK = 1024 * 1024
+SMALL_TASK = 512 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -23,7 +23,7 @@ def spread_small(df: DataFrame) -> DataFrame:
     """``df`` over more tasks if its estimated size would give fewer scan tasks than cores.
 
     At most cores x 128 MB are shuffled; anything larger is already split well and is
-    returned unchanged, and so is anything below 1 MB.
+    returned unchanged, and so is anything below half a MB.
     """
     cores, size = df.sparkSession.sparkContext.defaultParallelism, estimated_bytes(df)
     tasks = min(cores, -(-size // SMALL_TASK))
