@@ -149,13 +149,17 @@ def _compared(sig: list[bytes], side: np.ndarray, left: int, right: int):
     return a[i], b[j]
 
 
-def _candidates(group: pd.DataFrame) -> pd.DataFrame:
-    """Spanning forest of the surviving pairs of two blocks of a bucket."""
-    head = group.iloc[0]
-    i, j = _compared(group["sig"].tolist(), group["block"].to_numpy(), head["left"], head["right"])
-    keys = group["key"].tolist()
-    edges = [(max(keys[x], keys[y]), min(keys[x], keys[y])) for x, y in forest(len(keys), i, j)]
-    return pd.DataFrame(edges, columns=["a", "b"])
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spanning forests of the surviving pairs of the two blocks of each row."""
+    for batch in batches:
+        a, b = [], []
+        for left, right, members in zip(*(batch.column(c).to_pylist() for c in ("left", "right", "members")), strict=True):
+            keys = [m["key"] for m in members]
+            i, j = _compared([m["sig"] for m in members], np.array([m["block"] for m in members]), left, right)
+            for x, y in forest(len(keys), i, j):
+                a.append(max(keys[x], keys[y]))
+                b.append(min(keys[x], keys[y]))
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
 def intersections(sets: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -257,7 +261,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     members = bands.join(sizes, "bucket")
     dealt = _paired(members, F.ceil(F.col("size") / BLOCK), "key").drop("size")
     dealt = dealt.join(texts.select("key", "sig"), "key")
-    found = dealt.groupBy("bucket", "left", "right").applyInPandas(_candidates, "a binary, b binary")
+    pairs = dealt.groupBy("bucket", "left", "right").agg(  # two blocks: some 2 * BLOCK members at most
+        F.collect_list(F.struct("key", "block", "sig")).alias("members")).where("size(members) > 1")
+    found = pairs.mapInArrow(_candidates, "a binary, b binary")
     candidates = components(found)
 
     # texts of each component, fetched once, verified in blocks
