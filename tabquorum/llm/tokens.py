@@ -111,31 +111,70 @@ def unpack_block(raw: bytes):
 
 
 class Encoder:
-    """Ids of texts, word by word: no token of this vocabulary spans a blank or a line break."""
+    """Ids of texts, word by word: no token of this vocabulary spans a blank or a line break.
+
+    Words are cached. A new word is first brought to a base that has the same ids: without a
+    closing full stop or comma after a letter (a token sequence of its own), and in lower case
+    (the vocabulary has no other). Bases of letters are encoded many at a time; the ids that end
+    a word part them.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+        self._clear()
+
+    def _clear(self) -> None:
+        self.cache: dict[str, bytes] = {"": b"", **{x: self._plain([x])[0] for x in ".,"}}
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encoded(self, words: set[str]) -> dict[str, bytes]:
+        letters = [w for w in words if w.isalpha() and len(w) <= CACHED_CHARS]
+        others = [w for w in words if not (w.isalpha() and len(w) <= CACHED_CHARS)]
+        out: dict[str, bytes] = {}
+        for at in range(0, len(letters), 512):
+            part = letters[at: at + 512]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(part):      # some word is not one run of letters to the tokenizer
+                others += part
+                continue
+            raw = ids.tobytes()
+            out |= {w: raw[a:b] for w, a, b in zip(part, [0, *cuts], cuts, strict=False)}
+        for at in range(0, len(others), 8192):
+            part = others[at: at + 8192]
+            out |= dict(zip(part, self._plain(part), strict=True))
+        return out
+
+    @staticmethod
+    def _base(word: str) -> tuple[str, str]:
+        end = ""
+        if word[-1:] in (".", ",") and word[-2:-1].isalpha():
+            word, end = word[:-1], word[-1]
+        return (word.lower() if word.isascii() and "<" not in word else word), end
 
     def texts(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        missing = set().union(*split) - self.cache.keys()
-        extra: dict[str, bytes] = {}
+        words = set().union(*split)
+        missing = words - self.cache.keys()
+        if missing and len(self.cache) + len(missing) > CACHE_WORDS:
+            self._clear()
+            missing = words - self.cache.keys()
+        long: dict[str, bytes] = {}
         if missing:
-            if len(self.cache) + len(missing) > CACHE_WORDS:
-                self.cache = {"": b""}
-                missing = set().union(*split) - self.cache.keys()
-            words = list(missing)
-            for at in range(0, len(words), 8192):
-                part = words[at: at + 8192]
-                for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    into = self.cache if len(word) <= CACHED_CHARS else extra
-                    into[word] = np.array(e.ids, dtype="<u4").tobytes()
-        if extra:
-            get = lambda w: self.cache.get(w) if w in self.cache else extra[w]
-            return [b"".join(map(get, words)) for words in split]
-        return [b"".join(map(self.cache.__getitem__, words)) for words in split]
+            bases = {w: self._base(w) for w in missing}
+            encoded = self._encoded({b for b, _ in bases.values()} - self.cache.keys())
+            for w, (b, end) in bases.items():
+                ids = encoded[b] if b in encoded else self.cache[b]
+                (self.cache if len(w) <= CACHED_CHARS else long)[w] = ids + self.cache[end]
+        if long:
+            return [b"".join(self.cache[w] if w in self.cache else long[w] for w in row) for row in split]
+        return [b"".join(map(self.cache.__getitem__, row)) for row in split]
 
 
 _encoders: dict[str, Encoder] = {}
