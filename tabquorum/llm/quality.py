@@ -80,17 +80,22 @@ class Ordinal:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def scores(self, column: pa.Array) -> np.ndarray:
+    def matches(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Text and place in ``hashes`` of each feature of the texts that counts, by text, each once."""
         doc, hashes = features(column)
         if not len(self.hashes):
-            return np.zeros(len(column))
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         bits = np.zeros(1 << 20, dtype=bool)
         bits[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
         near = np.flatnonzero(bits[(hashes >> np.uint64(44)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.hashes, hashes[near]), len(self.hashes) - 1)
         hit = self.hashes[at] == hashes[near]
         pairs = np.unique(doc[near[hit]].astype(np.int64) * len(self.hashes) + at[hit])
-        return np.bincount(pairs // len(self.hashes), self.weights[pairs % len(self.hashes)], len(column))
+        return pairs // len(self.hashes), pairs % len(self.hashes)
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        doc, at = self.matches(column)
+        return np.bincount(doc, self.weights[at], len(column))
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for each k, one row a text."""
@@ -101,9 +106,14 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(row: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int):
-    """Weights and ordered thresholds by Adam on the mean negative log likelihood."""
+def fit_ordinal(starts: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int):
+    """Weights and ordered thresholds by Adam on the mean negative log likelihood.
+
+    Text i has the features ``col[starts[i]:starts[i + 1]]``.
+    """
     n = max(len(grades), 1)
+    sizes = np.diff(starts)
+    some = sizes > 0
     shares = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / n, 1e-3, 1 - 1e-3)
     start = np.log(shares / (1 - shares))
     gaps = np.log(np.maximum(np.diff(start), 1e-2))
@@ -111,7 +121,9 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         w, cuts = theta[:n_features], theta[n_features] + np.concatenate([[0], np.cumsum(np.exp(theta[n_features + 1:]))])
-        s = np.bincount(row, w[col], len(grades))
+        s = np.zeros(len(grades))
+        if some.any():
+            s[some] = np.add.reduceat(w[col], starts[:-1][some])
         tail = _sigmoid(s[:, None] - cuts)
         upper = np.concatenate([np.ones((len(s), 1)), tail, np.zeros((len(s), 1))], axis=1)
         slope = upper * (1 - upper)
@@ -122,7 +134,7 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features
         d_cut[i, grades] -= slope[i, grades] / p / n
         d_cut[i, grades + 1] += slope[i, grades + 1] / p / n
         d_cut = d_cut[:, 1:-1].sum(axis=0)
-        grad = np.concatenate([np.bincount(col, d_s[row], n_features) - RIDGE * w, [d_cut.sum()],
+        grad = np.concatenate([np.bincount(col, np.repeat(d_s, sizes), n_features) - RIDGE * w, [d_cut.sum()],
                                [np.exp(g) * d_cut[j + 1:].sum() for j, g in enumerate(theta[n_features + 1:])]])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         theta = theta + 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -130,26 +142,23 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features
     return theta[:n_features], cuts
 
 
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        doc, hashes = features(batch.column("text"))
-        order = np.lexsort((hashes, doc))
-        doc, hashes = doc[order], hashes[order]
-        new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
-        doc, hashes = doc[new], hashes[new]
-        ids, grades = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "grade"))
-        yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids[doc], pa.int64()), "grade": pa.array(grades[doc], pa.int32()),
-                                          "f": pa.array(hashes.view(np.int64))})
+def _once(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each feature of a text once, by text and hash."""
+    order = np.lexsort((hashes, doc))
+    doc, hashes = doc[order], hashes[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
+    return doc[new], hashes[new]
 
 
 def train(docs: DataFrame, graded: DataFrame, n_grades: int = 3, rows: int = TRAIN_ROWS) -> Ordinal:
     """Fit on at most ``rows`` graded documents, the first by a hash of doc_id.
 
     ``graded`` has doc_id and grade (0 to n_grades - 1); of several grades of one document the
-    lowest counts, nulls are left out. Features in fewer than five texts or without a clear
-    difference (z of 4) between the grades on the two sides of some threshold are dropped before
-    anything reaches the driver. Without graded documents all texts score alike.
+    lowest counts, nulls are left out, and each row of a repeated doc_id counts. Features in fewer
+    than five texts or without a clear difference (z of 4) between the grades on the two sides of
+    some threshold are dropped before anything reaches the driver; then each text comes as the
+    packed numbers of its features. Without graded documents all texts score alike.
     """
     sample = graded.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(
         F.min("grade").cast("int").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -158,27 +167,49 @@ def train(docs: DataFrame, graded: DataFrame, n_grades: int = 3, rows: int = TRA
     counts = [counts_by.get(g, 0) for g in range(n_grades)]
     if sum(c > 0 for c in counts) < 2:
         return Ordinal(np.zeros(0, np.uint64), np.zeros(0), np.linspace(-1, 0, n_grades - 1))
-    exploded = texts.mapInArrow(_exploded, "doc_id long, grade int, f long").persist()
-    by_grade = exploded.groupBy("f").agg(*[F.sum((F.col("grade") == g).cast("long")).alias(f"n{g}") for g in range(n_grades)])
+    names = [f"n{g}" for g in range(n_grades)]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            doc, hashes = _once(*features(batch.column("text")))
+            grades = batch.column("grade").to_numpy(zero_copy_only=False)[doc]
+            known, at = np.unique(hashes, return_inverse=True)
+            by = np.bincount(at * n_grades + grades, minlength=len(known) * n_grades).reshape(-1, n_grades)
+            yield pa.RecordBatch.from_pydict({"f": pa.array(known.view(np.int64)),
+                                              **{c: pa.array(by[:, g].astype(np.int64)) for g, c in enumerate(names)}})
+
+    by_grade = texts.mapInArrow(counted, "f long, " + ", ".join(f"{c} long" for c in names)).groupBy("f").agg(
+        *[F.sum(c).alias(c) for c in names])
     clear = F.lit(False)
     for cut in range(1, n_grades):
         below, above = sum(counts[:cut]), sum(counts[cut:])
         if below and above:
-            a = sum((F.col(f"n{g}") for g in range(1, cut)), F.col("n0"))
-            b = sum((F.col(f"n{g}") for g in range(cut + 1, n_grades)), F.col(f"n{cut}"))
+            a = sum((F.col(c) for c in names[1:cut]), F.col(names[0]))
+            b = sum((F.col(c) for c in names[cut + 1:]), F.col(names[cut]))
             p = (a + b) / float(below + above)
             clear = clear | (F.abs(a / float(below) - b / float(above)) >= LEAST_Z * F.sqrt(p * (1 - p) * (1 / below + 1 / above)) + 1e-12)
-    total = sum((F.col(f"n{g}") for g in range(1, n_grades)), F.col("n0"))
-    used = by_grade.where((total >= LEAST_TEXTS) & clear).select("f")
-    kept = exploded.join(used, "f").toPandas()
-    grades = texts.select("doc_id", "grade").toPandas().drop_duplicates("doc_id")
-    exploded.unpersist()
-    hashes, col = np.unique(kept["f"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-    ids = np.sort(grades["doc_id"].to_numpy())
-    y = grades.sort_values("doc_id")["grade"].to_numpy()
-    order = np.lexsort((col, kept["doc_id"].to_numpy()))
-    weights, cuts = fit_ordinal(np.searchsorted(ids, kept["doc_id"].to_numpy())[order], col[order], y, len(hashes), n_grades)
-    return Ordinal(hashes, weights, cuts)
+    total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
+    used = by_grade.where((total >= LEAST_TEXTS) & clear).select("f").toArrow()
+    known = np.sort(used.column("f").to_numpy().view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Ordinal(shared.value, np.zeros(0), np.zeros(0))
+        for batch in slices(batches):
+            doc, at = model.matches(batch.column("text"))
+            ends = np.cumsum(np.bincount(doc, minlength=len(batch)))
+            packed = [x.astype("<u4").tobytes() for x in np.split(at, ends[:-1])] if len(batch) else []
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(packed, pa.binary())],
+                                             names=["doc_id", "grade", "packed"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    got = texts.mapInArrow(numbered, f"doc_id {kind}, grade int, packed binary").toArrow().sort_by(
+        [("doc_id", "ascending"), ("packed", "ascending")])
+    packed = got.column("packed").to_pylist()
+    starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int64)
+    col = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64)
+    weights, cuts = fit_ordinal(starts, col, got.column("grade").to_numpy(), len(known), n_grades)
+    return Ordinal(known, weights, cuts)
 
 
 def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
