@@ -105,15 +105,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, k: int = K, part: int = PART) ->
     return df.withColumn("n_hit", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["first"])))
 
 
-_parts: dict[int, Windows] = {}
+_last: list = []     # rows and Windows of the part this worker used last; holding the rows keeps `is` sound
 
 
 def _windows(shared) -> Windows:
-    key = id(shared.value)
-    if key not in _parts:
-        _parts.clear()
-        _parts[key] = Windows(shared.value)
-    return _parts[key]
+    rows = shared.value
+    if not _last or _last[0] is not rows:
+        _last[:] = [rows, Windows(rows)]
+    return _last[1]
 
 
 def _scan(batches, shared):
