@@ -20,6 +20,7 @@ from .arrays import mix, slices, words_of
 TRAIN_ROWS = 20_000      # labelled rows the model is fitted on, at most
 LEAST_TEXTS, LEAST_Z = 5, 4.0
 STEPS, RIDGE = 300, 1e-4
+FIT_BLOCK = 1 << 20
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -109,11 +110,18 @@ def _sigmoid(x):
 def fit_ordinal(starts: np.ndarray, col: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int):
     """Weights and ordered thresholds by Adam on the mean negative log likelihood.
 
-    Text i has the features ``col[starts[i]:starts[i + 1]]``.
+    Text i has the features ``col[starts[i]:starts[i + 1]]``. Texts are taken in blocks of some
+    ``FIT_BLOCK`` features, so that beside ``col`` a step holds no array of all features.
     """
     n = max(len(grades), 1)
     sizes = np.diff(starts)
     some = sizes > 0
+    edges = np.unique(np.searchsorted(starts, np.arange(0, starts[-1] + FIT_BLOCK, FIT_BLOCK)).clip(0, len(grades)))
+
+    def blocks():
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield a, b, col[starts[a]: starts[b]], sizes[a:b]
+
     shares = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / n, 1e-3, 1 - 1e-3)
     start = np.log(shares / (1 - shares))
     gaps = np.log(np.maximum(np.diff(start), 1e-2))
@@ -122,8 +130,10 @@ def fit_ordinal(starts: np.ndarray, col: np.ndarray, grades: np.ndarray, n_featu
     for step in range(1, STEPS + 1):
         w, cuts = theta[:n_features], theta[n_features] + np.concatenate([[0], np.cumsum(np.exp(theta[n_features + 1:]))])
         s = np.zeros(len(grades))
-        if some.any():
-            s[some] = np.add.reduceat(w[col], starts[:-1][some])
+        for a, b, part, _ in blocks():
+            own = some[a:b]
+            if own.any():
+                s[a:b][own] = np.add.reduceat(w[part], (starts[a:b] - starts[a])[own])
         tail = _sigmoid(s[:, None] - cuts)
         upper = np.concatenate([np.ones((len(s), 1)), tail, np.zeros((len(s), 1))], axis=1)
         slope = upper * (1 - upper)
@@ -134,7 +144,10 @@ def fit_ordinal(starts: np.ndarray, col: np.ndarray, grades: np.ndarray, n_featu
         d_cut[i, grades] -= slope[i, grades] / p / n
         d_cut[i, grades + 1] += slope[i, grades + 1] / p / n
         d_cut = d_cut[:, 1:-1].sum(axis=0)
-        grad = np.concatenate([np.bincount(col, np.repeat(d_s, sizes), n_features) - RIDGE * w, [d_cut.sum()],
+        d_w = np.zeros(n_features)
+        for a, b, part, own in blocks():
+            d_w += np.bincount(part, np.repeat(d_s[a:b], own), n_features)
+        grad = np.concatenate([d_w - RIDGE * w, [d_cut.sum()],
                                [np.exp(g) * d_cut[j + 1:].sum() for j, g in enumerate(theta[n_features + 1:])]])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         theta = theta + 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -205,10 +218,12 @@ def train(docs: DataFrame, graded: DataFrame, n_grades: int = 3, rows: int = TRA
     kind = texts.schema["doc_id"].dataType.simpleString()
     got = texts.mapInArrow(numbered, f"doc_id {kind}, grade int, packed binary").toArrow().sort_by(
         [("doc_id", "ascending"), ("packed", "ascending")])
-    packed = got.column("packed").to_pylist()
+    packed, graded_as = got.column("packed").to_pylist(), got.column("grade").to_numpy()
+    del got
     starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in packed])]).astype(np.int64)
-    col = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64)
-    weights, cuts = fit_ordinal(starts, col, got.column("grade").to_numpy(), len(known), n_grades)
+    col = np.frombuffer(b"".join(packed), dtype="<u4")
+    del packed
+    weights, cuts = fit_ordinal(starts, col, graded_as, len(known), n_grades)
     return Ordinal(known, weights, cuts)
 
 
