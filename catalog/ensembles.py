@@ -14,6 +14,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, NaiveBayes,
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
+from tabquorum.functions.hashing import member_seed
 from tabquorum.operators import learners, metrics
 from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,
                                           GradientBoostingClassifier, StackingClassifier)
@@ -94,11 +95,11 @@ def poisson_sql(uniform: str, rate: float) -> str:
 
 def bag_sql(sampled: str) -> str:
     """Members on samples whose row counts are given by ``sampled`` with {u} for the uniform."""
-    uniform = "(((h0 + {m} * h1) % 4294967296) / 4294967296)"
-    ctes = [LINES_SQL, f"hashed AS MATERIALIZED {hashed_sql('lines', 'id', BAG_SEED)}"]
+    u = "(h0 / 4294967296)"
+    ctes = [LINES_SQL]
     for m in range(BAG_MEMBERS):
-        u = uniform.format(m=m)
-        ctes.append(f"s{m} AS (SELECT *, {sampled.format(u=u)} AS w FROM hashed)")
+        hashed = hashed_sql("lines", "id", member_seed(BAG_SEED, m))
+        ctes.append(f"s{m} AS MATERIALIZED (SELECT *, {sampled.format(u=u)} AS w FROM {hashed})")
         ctes.append(class_stump_sql(f"t{m}", f"(SELECT * FROM s{m} WHERE w > 0)", "w"))
     votes = ", ".join(f"CASE WHEN {side_sql(f't{m}')} THEN t{m}.ly ELSE t{m}.ry END AS p{m}"
                       for m in range(BAG_MEMBERS))

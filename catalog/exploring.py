@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabquorum.functions import text_shape
 from tabquorum.operators import explore
 from tabquorum.sources import table
 
@@ -52,6 +53,22 @@ def crosstab(spark, sf_dir):
     return explore.crosstab(pairs, "Title", "Sex")
 
 
+@query("text_shapes", r"""
+WITH split AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS words
+               FROM documents)
+SELECT doc_id, CAST(length(text) AS DOUBLE) AS text_chars, CAST(len(words) AS DOUBLE) AS text_words,
+       CASE WHEN len(words) > 0 THEN round(len(list_distinct(words)) / len(words), 8)
+            WHEN text IS NOT NULL THEN 0 END AS distinct_word_share,
+       CASE WHEN length(text) > 0 THEN round(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) / length(text), 8)
+            ELSE 0 END AS letter_share
+FROM split""")
+def text_shapes(spark, sf_dir):
+    """Words and letters of every document."""
+    shapes = table(spark, sf_dir, "documents").select(
+        "doc_id", *[c.alias(n) for n, c in text_shape(F.col("text")).items()])
+    return shapes.withColumns({n: F.round(n, 8) for n in ("distinct_word_share", "letter_share")})
+
+
 @query("describe_typed", """
 SELECT 'value' AS field, count(value) AS n, round(avg(value), 6) AS mean,
        round(stddev_samp(value), 6) AS stddev, min(value) AS min, max(value) AS max,

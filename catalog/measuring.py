@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
 
 from tabquorum.functions import band, hash_bucket
 from tabquorum.operators import metrics
+from tabquorum.operators.splitting import FOLD_SEED
+from tabquorum.plans import cross_validate, cv_results, param_grid
 
-from .frames import LINES_SQL, hashed_sql, line_rows
+from .frames import LINES_SQL, hashed_sql, line_rows, line_task
 from .registry import query
 
 # Two rules that are deliberately imperfect: quantity alone decides.
@@ -150,6 +153,33 @@ def param_grid_scores(spark, sf_dir):
             .select("point", F.round("accuracy", 10).alias("accuracy")))
 
 
+SMOOTHING = (0.0, 0.2, 0.4, 0.6, 0.8, 1.0)
+BAYES_FOLDS = 3
+
+
+@query("cv_naive_bayes", f"""
+WITH {LINES_SQL},
+folded AS MATERIALIZED (SELECT row_number() OVER () AS r, x0, x1, x2, x3, y, h0 % {BAYES_FOLDS} AS fold FROM {hashed_sql('lines', 'id', FOLD_SEED)}),
+points AS (SELECT unnest({list(SMOOTHING)})::DOUBLE AS s, unnest({[f"smoothing={s}" for s in SMOOTHING]}) AS point),
+sums AS (SELECT f.fold, y, count(*) AS n, sum(x0) AS s0, sum(x1) AS s1, sum(x2) AS s2, sum(x3) AS s3
+         FROM (SELECT unnest(range({BAYES_FOLDS})) AS fold) f JOIN folded d ON d.fold <> f.fold GROUP BY f.fold, y),
+fitted AS (SELECT fold, s, point, y, ln(n + s) - ln(sum(n) OVER (PARTITION BY fold, s) + 3 * s) AS pi,
+                  ln(s0 + s) - ln(s0 + s1 + s2 + s3 + 4 * s) AS t0, ln(s1 + s) - ln(s0 + s1 + s2 + s3 + 4 * s) AS t1,
+                  ln(s2 + s) - ln(s0 + s1 + s2 + s3 + 4 * s) AS t2, ln(s3 + s) - ln(s0 + s1 + s2 + s3 + 4 * s) AS t3
+           FROM sums, points),
+guessed AS (SELECT f.fold, f.s, f.point, d.r, d.y, arg_max(f.y, pi + x0 * t0 + x1 * t1 + x2 * t2 + x3 * t3) AS guess
+            FROM folded d JOIN fitted f ON f.fold = d.fold GROUP BY f.fold, f.s, f.point, d.r, d.y),
+scored AS (SELECT s, point, fold, avg(CASE WHEN y = guess THEN 1.0 ELSE 0.0 END) AS a FROM guessed GROUP BY s, point, fold),
+means AS (SELECT s, point, round(avg(a), 10) AS metric FROM scored GROUP BY s, point)
+SELECT point, metric, row_number() OVER (ORDER BY metric DESC, s) = 1 AS is_best FROM means""")
+def cv_naive_bayes(spark, sf_dir):
+    """A grid, three hash folds and the chosen point, through the tuning plans."""
+    bayes = NaiveBayes()
+    model = cross_validate(bayes, param_grid({bayes.smoothing: SMOOTHING}), line_task(spark, sf_dir),
+                           metric="accuracy", folds=BAYES_FOLDS, key="id", parallelism=4)
+    return cv_results(spark, model).select("point", F.round("metric", 10).alias("metric"), "is_best")
+
+
 @query("cv_metrics_rule", f"""
 WITH {LINES_SQL}, {GRID_SQL},
 folds AS (SELECT a, b, h0 % 5 AS fold, avg({HIT_SQL}) AS accuracy

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabquorum.functions import (band, hash_bucket, honorific, honorific_by_split, lookup,
+from tabquorum.functions import (band, honorific, honorific_by_split, lookup,
                                  zero_flag)
 from tabquorum.functions.fixed_values import (AGE_EDGES, FARE_EDGES, OVERALL_EDGES,
                                               SEX_CODES, TITLE_CODES, TITLE_RECODE)
 from tabquorum.operators.impute import fill_mean, fill_mean_lazy, fill_values, fit_means, recode
-from tabquorum.operators.splitting import hash_split, random_split, with_fold
+from tabquorum.operators.splitting import (FOLD_SEED, fold_number, hash_split, in_train,
+                                           random_split, with_fold)
 from tabquorum.plans import PassengerPrep
 from tabquorum.sources import table
 
@@ -210,10 +211,8 @@ FROM {hashed_sql('orders', 'o_orderkey')}"""
 
 def split_query(percent: int):
     def run(spark, sf_dir):
-        sides = hash_split(table(spark, sf_dir, "orders").select("o_orderkey"),
-                           F.col("o_orderkey"), percent)
-        train, test = (s.withColumn("side", F.lit(n)) for s, n in zip(sides, ("train", "test")))
-        return train.unionByName(test)
+        side = F.when(in_train(F.col("o_orderkey"), percent), "train").otherwise("test")
+        return table(spark, sf_dir, "orders").select("o_orderkey", side.alias("side"))
     return run
 
 
@@ -231,13 +230,13 @@ def split_random(spark, sf_dir):
 
 
 @query("kfold_hash", f"""
-SELECT o_orderkey, CAST(h0 % 5 AS INTEGER) AS fold FROM {hashed_sql('orders', 'o_orderkey')}""")
+SELECT o_orderkey, CAST(h0 % 5 AS INTEGER) AS fold FROM {hashed_sql('orders', 'o_orderkey', FOLD_SEED)}""")
 def kfold_hash(spark, sf_dir):
     return with_fold(table(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey"), 5)
 
 
 @query("kfold_sizes", f"""
-WITH o AS {hashed_sql('orders', 'o_orderkey')}
+WITH o AS {hashed_sql('orders', 'o_orderkey', FOLD_SEED)}
 SELECT k, fold, count(*) AS n FROM (
   SELECT 3 AS k, CAST(h0 % 3 AS INTEGER) AS fold FROM o UNION ALL
   SELECT 5, CAST(h0 % 5 AS INTEGER) FROM o)
@@ -246,7 +245,7 @@ def kfold_sizes(spark, sf_dir):
     """Rows per fold for three and five folds."""
     orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     folds = F.inline(F.array(*[
-        F.struct(F.lit(k).alias("k"), hash_bucket(key, k).cast("int").alias("fold"))
+        F.struct(F.lit(k).alias("k"), fold_number(key, k).alias("fold"))
         for k in (3, 5)]))
     return orders.select(folds).groupBy("k", "fold").agg(F.count(F.lit(1)).alias("n"))
 

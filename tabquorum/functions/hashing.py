@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = 1 << 32
+LARGEST_RATE = 100.0    # one comparison a step: some 180 of them at this rate
 
 
 def hash_word(key: Column, word: int = 0, seed: int | None = None) -> Column:
@@ -31,20 +32,22 @@ def hash_bucket(key: Column, buckets: int) -> Column:
     return hash_word(key) % buckets
 
 
-def member_uniform(first: Column, second: Column, member: int) -> Column:
-    """Uniform in [0, 1) for one ensemble member from two 32-bit words of the row.
+def member_seed(seed: int, member: int) -> int:
+    return seed * 1_000_003 + member
 
-    ``first + member * second`` modulo 2^32: uniforms of any two members are independent,
-    from one hash per row however many members there are.
-    """
-    return ((first + F.lit(member) * second) % F.lit(WORD)) / F.lit(float(WORD))
+
+def member_uniform(key: Column, seed: int, member: int) -> Column:
+    """Uniform in [0, 1) for one ensemble member: a hash of key, seed and member of its own."""
+    return hash_word(key, 0, member_seed(seed, member)) / F.lit(float(WORD))
 
 
 def poisson_steps(rate: float) -> list[float]:
     """Values of the Poisson(rate) distribution function, until the rest is below 2^-32."""
+    if not 0.0 < rate <= LARGEST_RATE:
+        raise ValueError(f"a sampling rate must be above 0 and at most {LARGEST_RATE}, not {rate}")
     term = math.exp(-rate)
     steps = [term]
-    while 1.0 - steps[-1] > 1.0 / WORD and len(steps) < 1000:
+    while 1.0 - steps[-1] > 1.0 / WORD:
         term *= rate / len(steps)
         steps.append(steps[-1] + term)
     return steps

@@ -25,13 +25,17 @@ def lookup(value: Column, codes: Mapping[str, int]) -> Column:
 
 
 def text_shape(text: Column) -> dict[str, Column]:
-    """Length, word count, share of distinct words, share of ASCII letters."""
-    words = F.split(F.trim(text), r"\s+")
+    """Length, word count, share of distinct words, share of ASCII letters.
+
+    Words are runs without white space; a text without words has none, and a share of 0.
+    """
+    words = F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
     letters = F.length(F.regexp_replace(text, "[^A-Za-z]", ""))
     length = F.length(text)
     return {
         "text_chars": length.cast("double"),
         "text_words": F.size(words).cast("double"),
-        "distinct_word_share": F.size(F.array_distinct(words)) / F.size(words),
+        "distinct_word_share": F.when(F.size(words) > 0, F.size(F.array_distinct(words)) / F.size(words))
+                                .when(length >= 0, F.lit(0.0)),
         "letter_share": F.when(length > 0, letters / length).otherwise(F.lit(0.0)),
     }

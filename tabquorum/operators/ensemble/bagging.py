@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ...functions.hashing import member_uniform, poisson_count, poisson_steps
 from ...functions.scores import argmax_index, vote_scores
-from .common import (FIRST_WORD, SECOND_WORD, WEIGHT, EnsembleEstimator, EnsembleModel,
+from .common import (ROW_KEY, WEIGHT, EnsembleEstimator, EnsembleModel,
                      ScoreParams, class_count, configured, feature_count, fit_all, strip,
                      takes_weights, training_frame)
 
@@ -41,11 +41,15 @@ class BaggingParams(ScoreParams):
     replacementFeatures: Param[bool] = Param(
         Params._dummy(), "replacementFeatures",
         "draw features with replacement; repeated draws count once", TypeConverters.toBoolean)
+    grownTogether: Param[bool] = Param(
+        Params._dummy(), "grownTogether",
+        "grow decision trees over all features in one fit of Spark's forest, which draws its own "
+        "row samples (by partition, not by row id)", TypeConverters.toBoolean)
 
     def __init__(self):
         super().__init__()
         self._setDefault(sampleRatio=1.0, replacement=True, sampleRatioFeatures=1.0,
-                         replacementFeatures=False)
+                         replacementFeatures=False, grownTogether=False)
 
     def getBaseLearner(self):
         return self.getOrDefault(self.baseLearner)
@@ -71,9 +75,9 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
     again. With replacement a row gets a Poisson(sampleRatio) count, passed as its weight,
     or as repeated rows for learners without weights.
 
-    Decision trees over all features without ``idCol`` are grown together, in the passes one
-    tree would need, by Spark's forest with every feature considered at every split; it
-    draws the same kind of row samples itself.
+    With ``grownTogether`` decision trees over all features are grown in the passes one tree
+    would need, by Spark's forest with every feature considered at every split. It draws the
+    same kind of row samples itself, from partitions instead of row ids.
     """
 
     nested = ("baseLearner",)
@@ -82,7 +86,7 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
     def __init__(self, *, baseLearner=None, maxIter=None, sampleRatio=None, replacement=None,
                  sampleRatioFeatures=None, replacementFeatures=None, parallelism=None, seed=None,
                  idCol=None, featuresCol=None, labelCol=None, predictionCol=None, weightCol=None,
-                 rawPredictionCol=None, probabilityCol=None):
+                 rawPredictionCol=None, probabilityCol=None, grownTogether=None):
         super().__init__()
         self._with(**self._input_kwargs)
 
@@ -100,9 +104,9 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
         if not self.getReplacement():
             if ratio >= 1.0:
                 return train
-            uniform = member_uniform(F.col(FIRST_WORD), F.col(SECOND_WORD), member)
+            uniform = member_uniform(F.col(ROW_KEY), self.getSeed(), member)
             return train.where(uniform < ratio)
-        uniform = member_uniform(F.col(FIRST_WORD), F.col(SECOND_WORD), member)
+        uniform = member_uniform(F.col(ROW_KEY), self.getSeed(), member)
         # The filter is the first step of the count, so pushing it down costs one hash.
         drawn = (train.where(uniform >= poisson_steps(ratio)[0])
                       .withColumn("_count", poisson_count(uniform, ratio)))
@@ -110,14 +114,14 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
             return drawn.withColumn(WEIGHT, F.col(WEIGHT) * F.col("_count"))
         return drawn.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_count"))))
 
-    def _grown_together(self, dataset: DataFrame) -> list | None:
-        """Members from one forest fit, or None where that would not be the same thing."""
+    def _grown_together(self, dataset: DataFrame) -> list:
+        """Members from one forest fit."""
         base = self.getBaseLearner()
         sampling = self.getReplacement() or self.getSampleRatio() < 1.0
         whole = self.getSampleRatioFeatures() >= 1.0 and not self.getReplacementFeatures()
-        if not (type(base) is DecisionTreeClassifier and self.getIdCol() is None and sampling
-                and whole and self.getSampleRatio() <= 1.0):
-            return None
+        if not (type(base) is DecisionTreeClassifier and sampling and whole
+                and self.getSampleRatio() <= 1.0):
+            raise ValueError("grownTogether takes decision trees, row samples up to 1.0 and all features")
         forest = RandomForestClassifier(
             numTrees=self.getMaxIter(), featureSubsetStrategy="all", seed=self.getSeed(),
             bootstrap=self.getReplacement(), subsamplingRate=self.getSampleRatio(),
@@ -135,8 +139,8 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
         if self.weight_column() and not weighted:
             raise ValueError(f"{type(base).__name__} takes no weights")
         width = feature_count(dataset, features)
-        together = self._grown_together(dataset)
-        if together is not None:
+        if self.getOrDefault(self.grownTogether):
+            together = self._grown_together(dataset)
             spaces = [list(range(width))] * len(together)
             return BaggingModel(together, spaces, width, classes)._take(self)
         spaces = [self._subspace(m, width) for m in range(self.getMaxIter())]

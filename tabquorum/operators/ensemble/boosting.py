@@ -31,7 +31,7 @@ class BoostingParams(ScoreParams):
 
     def __init__(self):
         super().__init__()
-        self._setDefault(learningRate=1.0, checkpointInterval=10)
+        self._setDefault(learningRate=1.0, checkpointInterval=1)
 
     def getBaseLearner(self):
         return self.getOrDefault(self.baseLearner)
@@ -91,7 +91,6 @@ class BoostingClassifier(BoostingParams, EnsembleEstimator):
                 for m in range(self.getMaxIter()):
                     learner = configured(base, label, features, "_guess", WEIGHT, seed_shift=m)
                     model = learner.fit(state)
-                    rounds.computed()
                     scored = model.transform(state)
                     row = weighted_error(scored, label, "_guess", WEIGHT).first()
                     error, total = row["error"], row["total"]

@@ -16,11 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from ...functions.hashing import hash_word
 from ...sources.shared import materialize, release
-from ...sources.spread import BYTES_PER_TASK, estimated_bytes
 
-FIRST_WORD, SECOND_WORD, WEIGHT = "_word0", "_word1", "_weight"
+ROW_KEY, WEIGHT = "_key", "_weight"
 
 
 class EnsembleParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasWeightCol, HasSeed,
@@ -99,7 +97,10 @@ def feature_count(df: DataFrame, features: str) -> int:
     attributes = df.schema[features].metadata.get("ml_attr", {})
     if "num_attrs" in attributes:
         return int(attributes["num_attrs"])
-    return int(df.select(features).first()[0].size)
+    first = df.select(features).first()
+    if first is None:
+        raise ValueError("no training rows")
+    return int(first[0].size)
 
 
 def takes_weights(learner: Estimator) -> bool:
@@ -141,7 +142,7 @@ def training_frame(df: DataFrame, est: EnsembleParams, words: bool,
     """The columns training needs, ready to be read many times.
 
     Columns: features, label as double, ``_weight`` (the weight column or 1.0), and with
-    ``words`` two hash words per row. The words come from ``idCol``; without one the rows
+    ``words`` the key that draws are hashed from. It is ``idCol``; without one the rows
     are numbered and written to the shared folder, as a numbering computed again after a
     lost executor could differ.
     """
@@ -158,9 +159,7 @@ def training_frame(df: DataFrame, est: EnsembleParams, words: bool,
             row_id, columns = "_id", [F.col(features), F.col(label), F.col(WEIGHT)]
         else:
             frame = df
-        key, seed = F.col(row_id), est.getSeed()
-        frame = frame.select(*columns, hash_word(key, 0, seed).alias(FIRST_WORD),
-                             hash_word(key, 1, seed).alias(SECOND_WORD))
+        frame = frame.select(*columns, F.col(row_id).alias(ROW_KEY))
     else:
         frame = df.select(*columns)
     # A frame the caller already keeps in memory only needs projecting.
@@ -179,18 +178,14 @@ def training_frame(df: DataFrame, est: EnsembleParams, words: bool,
 class RoundState:
     """The frame carried from one boosting round to the next.
 
-    A frame small enough for the memory of the cores at hand is kept, so that the passes of
-    the next fit do not evaluate all earlier members again. A larger one stays an expression
-    over the training rows: evaluating members is cheaper than copying the data each round.
-    Either way the plan is cut every ``every`` rounds by a table in the shared folder.
+    Every ``every`` rounds it is written to the shared folder, so that the passes of the next fit
+    do not evaluate all earlier members again and the plan stays short; in between it is an
+    expression over the last table written. 0 writes nothing.
     """
 
     def __init__(self, df: DataFrame, every: int):
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        self.small = estimated_bytes(df) < cores * BYTES_PER_TASK
         self.spark, self.every = df.sparkSession, every
         self.path: str | None = None
-        self.kept: list[DataFrame] = []
 
     def carry(self, df: DataFrame, done: int) -> DataFrame:
         """The frame to use for the round after ``done`` rounds."""
@@ -198,20 +193,10 @@ class RoundState:
             df, path = materialize(df, "state")
             self.close()
             self.path = path
-        if self.small:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            self.kept.append(df)
         return df
 
-    def computed(self) -> None:
-        """The latest frame has been read once: those kept before it are not needed."""
-        while len(self.kept) > 1:
-            self.kept.pop(0).unpersist()
-
     def close(self) -> None:
-        """Give up everything still held."""
-        while self.kept:
-            self.kept.pop(0).unpersist()
+        """Delete the table still held."""
         if self.path is not None:
             release(self.spark, self.path)
             self.path = None

@@ -34,7 +34,7 @@ class GradientBoostingParams(ScoreParams):
 
     def __init__(self):
         super().__init__()
-        self._setDefault(learningRate=0.1, optimizedWeights=False, checkpointInterval=5)
+        self._setDefault(learningRate=0.1, optimizedWeights=False, checkpointInterval=1)
 
     def getBaseLearner(self):
         return self.getOrDefault(self.baseLearner)
@@ -115,7 +115,6 @@ class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
 
                     models = fit_all([lambda k=k: member(k) for k in range(classes)],
                                      self.getParallelism())
-                    carried.computed()
                     stepped = with_targets
                     for model in models:
                         stepped = model.transform(stepped)

@@ -13,7 +13,8 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (FIRST_WORD, WEIGHT, EnsembleEstimator, EnsembleModel, class_count,
+from ...functions.hashing import hash_word
+from .common import (ROW_KEY, WEIGHT, EnsembleEstimator, EnsembleModel, class_count,
                      configured, fit_all, strip, takes_weights, training_frame)
 
 META = "_meta"
@@ -91,7 +92,7 @@ class StackingClassifier(StackingParams, EnsembleEstimator):
             raise ValueError("a learner takes no weights")
         classes = class_count(dataset, label)
         with training_frame(dataset, self, words=True) as train:
-            fold = F.col(FIRST_WORD) % folds
+            fold = hash_word(F.col(ROW_KEY), 0, self.getSeed()) % folds
             # Every fit reads the same kept rows; fold None is the final fit on all of them.
             plan = [(f, b) for f in [*range(folds), None] for b in range(len(bases))]
 

@@ -31,7 +31,8 @@ def crosstab(df: DataFrame, left: str, right: str, right_values: Sequence[str] |
 
     The key column is named ``left_right``; pairs that do not occur give 0 and nulls are
     counted under "null". Only the right-hand values, which become column names, come to
-    the driver, and no more than ``max_columns`` of them are accepted.
+    the driver, and no more than ``max_columns`` of them are accepted. With ``right_values``
+    only these become columns, in this order.
     """
     as_text = df.select(
         F.coalesce(F.col(f"`{left}`").cast("string"), F.lit("null")).alias("l"),
@@ -41,9 +42,15 @@ def crosstab(df: DataFrame, left: str, right: str, right_values: Sequence[str] |
         if len(found) > max_columns:
             raise ValueError(f"{right} has more than {max_columns} values; too many columns")
         right_values = sorted(row["r"] for row in found)
-    counts = (as_text.groupBy("l").pivot("r", list(right_values))
+    out = f"{left}_{right}"
+    if out in right_values:
+        raise ValueError(f"a value of {right} is named like the key column {out}")
+    key = "l"
+    while key in {v.lower() for v in right_values}:
+        key += "_"
+    counts = (as_text.withColumnRenamed("l", key).groupBy(key).pivot("r", list(right_values))
                      .agg(F.count(F.lit(1))).na.fill(0))
-    return counts.withColumnRenamed("l", f"{left}_{right}")
+    return counts.toDF(out, *right_values)
 
 
 def describe_typed(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -76,7 +76,10 @@ def area_under_roc(df: DataFrame, score: str = "score", label: str = "label",
     Rows are first reduced to one per distinct score, so a score shared by many rows costs
     nothing later. Score ranges of about equal size are then ranked independently, and only
     one row per range is ranked globally. Without ``buckets`` a range is given some 64 MB.
+    Infinite scores rank below or above all others; rows whose score is null or not a number,
+    or whose label is null, are left out.
     """
+    df = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
     if buckets is None:
         buckets = min(8192, max(16, estimated_bytes(df) // RANGE_BYTES))
     positive = F.col(label).cast("double") > 0.5

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer, StringIndexerModel
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ def range_bucket(df: DataFrame, value: str, out: str, buckets: int) -> DataFrame
     Costs one pass that keeps a bounded sketch per task. Equal values share a bucket.
     """
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(value, steps, 1.0 / (2 * buckets)))) if steps else []
+    found = df.approxQuantile(value, steps, 1.0 / (2 * buckets)) if steps else []
+    cuts = sorted({c for c in found if math.isfinite(c)})  # infinite values fall in the outer ranges
     if not cuts:
         return df.withColumn(out, F.lit(0))
     bucketizer = Bucketizer(splits=[-float("inf"), *cuts, float("inf")],
@@ -48,36 +50,28 @@ def global_row_number(df: DataFrame, order: list, out: str) -> tuple[DataFrame,
     return numbered, path
 
 
-def frequency_index(df: DataFrame, column: str, out: str, driver_labels: int = 100_000,
-                    hot_labels: int = 1_000) -> DataFrame:
+def frequency_index(df: DataFrame, column: str, out: str, hot_labels: int = 1_000) -> DataFrame:
     """0.0 for the most frequent value, 1.0 for the next; equal counts in text order.
 
-    Up to ``driver_labels`` distinct values this is Spark's string indexer, whose label
-    array lives on the driver. Beyond, positions are computed in a distributed sort and
-    joined back: the ``hot_labels`` most frequent values through a broadcast of that many
-    rows, the rest, none of which is frequent, through a shuffle. Nulls raise an error in
-    the first case and stay null in the second. The table of positions stays in the shared
-    folder, as the result reads it.
+    Positions are computed in a distributed sort of one row per value and joined back: the
+    ``hot_labels`` most frequent values through a broadcast of that many rows, the rest, none
+    of which is frequent, through a shuffle in which settled rows (nulls and hot values) are
+    dealt evenly. Nulls stay null, and the column carries no class metadata, whatever the number
+    of values. The table of positions stays in the shared folder, as the result reads it.
     """
     text = F.col(f"`{column}`").cast("string")
     counts = (df.where(text.isNotNull()).groupBy(text.alias("_value"))
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    head = counts.limit(driver_labels + 1).collect()
-    if len(head) <= driver_labels:
-        counts.unpersist()
-        labels = [r["_value"] for r in sorted(head, key=lambda r: (-r["_n"], r["_value"]))]
-        model = StringIndexerModel.from_labels(labels, inputCol=column, outputCol=out)
-        return model.transform(df)
-
+                .agg(F.count(F.lit(1)).alias("_n")))
     numbered, _ = global_row_number(counts, [F.desc("_n"), F.asc("_value")], "_pos")
-    counts.unpersist()
-    index = numbered.select("_value", F.col("_pos").cast("double").alias(out))
-    hot_rows = index.where(F.col(out) < hot_labels)
-    hot = [r["_value"] for r in hot_rows.collect()]
-    is_hot = F.coalesce(text.isin(hot), F.lit(False))
-    frequent = (df.where(is_hot).withColumn("_value", text)
-                  .join(F.broadcast(hot_rows), "_value", "left"))
-    rest = (df.where(~is_hot).withColumn("_value", text)
-              .join(index.where(F.col(out) >= hot_labels), "_value", "left"))
-    return frequent.unionByName(rest).drop("_value")
+    index = numbered.select("_value", F.col("_pos").cast("double").alias("_index"))
+    hot = index.where(F.col("_index") < hot_labels).withColumnRenamed("_index", "_hot")
+    rest = (index.where(F.col("_index") >= hot_labels)
+                 .select(F.col("_value").alias("_rest"), F.xxhash64("_value").alias("_slot"), "_index"))
+    settled = F.col("_hot").isNotNull() | F.col("_value").isNull()
+    rows = (df.withColumn("_value", text).join(F.broadcast(hot), "_value", "left")
+              .withColumn("_rest", F.when(~settled, F.col("_value")))
+              .withColumn("_slot", F.when(settled, F.xxhash64(F.monotonically_increasing_id()))
+                                    .otherwise(F.xxhash64("_value"))))
+    # the slot is a key of its own on both sides: a constant would be taken out of the join
+    return rows.join(rest, ["_rest", "_slot"], "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], F.coalesce("_hot", "_index").alias(out))

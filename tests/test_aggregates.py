@@ -67,18 +67,19 @@ def skewed_values(spark):
         F.lit("t"), (n % 40).cast("string"))).otherwise(F.concat(F.lit("v"), n.cast("string"))).alias("v"))
 
 
-@pytest.mark.parametrize("driver_labels,hot_labels", [(100_000, 10), (5, 3), (5, 100), (5, 0)])
-def test_frequency_index_forms_agree_with_spark(spark, driver_labels, hot_labels):
+@pytest.mark.parametrize("hot_labels", [10_000, 10, 3, 0])
+def test_frequency_index_agrees_with_spark(spark, hot_labels):
     rows = skewed_values(spark)
     expected = {r.id: r.i for r in StringIndexer(inputCol="v", outputCol="i").fit(rows).transform(rows).collect()}
-    got = frequency_index(rows, "v", "i", driver_labels, hot_labels)
+    got = frequency_index(rows, "v", "i", hot_labels)
     assert {r.id: r.i for r in got.collect()} == expected
     assert got.columns == ["id", "v", "i"]
 
 
-def test_distributed_index_keeps_null_rows(spark):
+@pytest.mark.parametrize("hot_labels", [0, 1, 1000])
+def test_index_keeps_null_rows(spark, hot_labels):
     rows = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "v string")
-    got = frequency_index(rows, "v", "i", driver_labels=1, hot_labels=1)
+    got = frequency_index(rows, "v", "i", hot_labels)
     assert sorted(((r.v, r.i) for r in got.collect()), key=str) == sorted(
         [("a", 0.0), ("a", 0.0), ("b", 1.0), (None, None)], key=str)
 
@@ -89,6 +90,37 @@ def test_global_row_number(spark):
     assert all(r.pos == 999 - r.k for r in numbered.collect())
 
 
+def test_index_deals_nulls_evenly_and_has_one_metadata_rule(spark):
+    rows = spark.range(8000, numPartitions=8).select(F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = frequency_index(rows, "v", "i", hot_labels=10)
+        sizes = [r.n for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got.schema["i"].metadata == {}
+    assert sum(sizes) == 8000 and max(sizes) < 8000 / len(sizes) * 1.5
+
+
+def test_area_under_roc_with_infinite_and_missing_scores(spark):
+    inf = float("inf")
+    rows = spark.createDataFrame([(-inf, 0.0), (-inf, 1.0), (0.5, 0.0), (inf, 1.0), (inf, 1.0), (None, 1.0),
+                                  (float("nan"), 0.0), (0.1, None)], "score double, label double")
+    row = metrics.area_under_roc(rows).first()
+    assert (row.positives, row.negatives) == (3, 2) and row.auc == pytest.approx(4.5 / 6)
+
+
+def test_crosstab_with_values_named_like_its_columns(spark):
+    rows = spark.createDataFrame([("a", "l"), ("b", "r"), ("a", "l"), ("b", "L_")], "x string, y string")
+    out = explore.crosstab(rows, "x", "y")
+    assert out.columns == ["x_y", "L_", "l", "r"]
+    assert {tuple(r) for r in out.collect()} == {("a", 0, 2, 0), ("b", 1, 0, 1)}
+    with pytest.raises(ValueError):
+        explore.crosstab(rows.withColumn("y", F.lit("x_y")), "x", "y")
+
+
 def test_crosstab_with_null_and_absent_pairs(spark):
     rows = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", None), (None, "y")], "l string, r string")
     out = {r.l_r: r.asDict() for r in explore.crosstab(rows, "l", "r").collect()}

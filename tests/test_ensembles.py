@@ -185,8 +185,8 @@ def test_stacker_rows_come_from_models_that_did_not_see_them(squares, monkeypatc
     real = stacking.with_meta
 
     def spy(df, models, method, features):
-        folds = {r[0] for r in df.select(F.col("_word0") % 2).distinct().collect()} \
-            if "_word0" in df.columns else None
+        folds = {r[0] for r in df.select(hash_word(F.col("_key"), 0, 4) % 2).distinct().collect()} \
+            if "_key" in df.columns else None
         seen.append((folds, [m.uid for m in models], df.count()))
         return real(df, models, method, features)
     monkeypatch.setattr(stacking, "with_meta", spy)
@@ -196,8 +196,8 @@ def test_stacker_rows_come_from_models_that_did_not_see_them(squares, monkeypatc
 
     def fit(self, rows, params=None):
         model = base_fit(self, rows, params)
-        if "_word0" in rows.columns:
-            fitted[id(model)] = {r[0] for r in rows.select(F.col("_word0") % 2).distinct().collect()}
+        if "_key" in rows.columns:
+            fitted[id(model)] = {r[0] for r in rows.select(hash_word(F.col("_key"), 0, 4) % 2).distinct().collect()}
             seen.append(("fit", fitted[id(model)], rows.count()))
         return model
     monkeypatch.setattr(DecisionTreeClassifier, "fit", fit)

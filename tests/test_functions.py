@@ -47,11 +47,13 @@ def test_lookup_without_entry_is_null(spark):
 
 
 def test_text_shape(spark):
-    rows = spark.createDataFrame([("a b a",), ("",), ("  x1 ",)], "t string")
+    rows = spark.createDataFrame([("a b a",), ("",), ("  x1 ",), ("\nab cd",), (" \t",), (None,)], "t string")
     out = rows.select(*[c.alias(n) for n, c in text_shape(F.col("t")).items()]).collect()
     assert out[0].text_words == 3 and out[0].distinct_word_share == pytest.approx(2 / 3)
     assert out[0].letter_share == pytest.approx(3 / 5)
     assert out[1].letter_share == 0.0 and out[2].text_words == 1
+    assert (out[1].text_words, out[3].text_words, out[4].text_words) == (0, 2, 0)
+    assert (out[1].distinct_word_share, out[4].distinct_word_share, out[5].distinct_word_share) == (0.0, 0.0, None)
 
 
 def test_hash_depends_on_the_key_only(spark):
@@ -68,9 +70,8 @@ def test_words_are_32_bits(spark):
 
 
 def test_poisson_counts_have_the_right_moments(spark):
-    words = [hash_word(F.col("id"), w, 1) for w in (0, 1)]
     for member in (0, 5):
-        count = poisson_count(member_uniform(*words, member), 0.7)
+        count = poisson_count(member_uniform(F.col("id"), 1, member), 0.7)
         mean, var, zero = spark.range(40_000).select(
             F.avg(count), F.var_samp(count), F.avg((count == 0).cast("double"))).first()
         assert mean == pytest.approx(0.7, abs=0.02) and var == pytest.approx(0.7, abs=0.03)
@@ -78,11 +79,27 @@ def test_poisson_counts_have_the_right_moments(spark):
 
 
 def test_members_draw_independently(spark):
-    words = [hash_word(F.col("id"), w, 1) for w in (0, 1)]
-    u, v = member_uniform(*words, 1), member_uniform(*words, 2)
+    u, v = member_uniform(F.col("id"), 1, 1), member_uniform(F.col("id"), 1, 2)
     assert abs(spark.range(40_000).select(F.corr(u, v)).first()[0]) < 0.02
 
 
+@pytest.mark.parametrize("chosen,share", [
+    (lambda u: poisson_count(u, 0.5) > 0, math.exp(-0.5)), (lambda u: u < 0.3, 0.7)])
+def test_rows_in_no_member_are_as_many_as_independent_draws_leave(spark, chosen, share):
+    n, members = 400_000, 10
+    seen = F.greatest(*[chosen(member_uniform(F.col("id"), 5, m)) for m in range(members)])
+    expected = n * share ** members
+    unseen = spark.range(n).where(~seen).count()
+    assert abs(unseen - expected) <= 3 * math.sqrt(expected)
+
+
+@pytest.mark.parametrize("rate", [0.0, -1.0, 101.0, float("nan")])
+def test_poisson_rates_out_of_range_are_refused(rate):
+    from tabquorum.functions.hashing import poisson_steps
+    with pytest.raises(ValueError):
+        poisson_steps(rate)
+
+
 def test_votes_ties_and_softmax(spark):
     row = spark.range(1).select(
         argmax_index(vote_scores([F.lit(2.0), F.lit(1.0), F.lit(0.0)], 3)).alias("tie"),
