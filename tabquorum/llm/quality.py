@@ -41,10 +41,13 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.arange(n), mix(np.full(n, (9 << 48), dtype=np.uint64))
     lower = np.where((w.data >= 65) & (w.data <= 90), w.data + 32, w.data).astype(np.uint8)
     docs, out = [w.doc], [w.hash]
-    for size in (4, 5, 6):
-        at = w.start[:, None] + np.arange(size)
-        docs.append(w.doc)
-        out.append(_sides(lower, at, at < w.end[:, None], size))
+    code, length = np.zeros(len(w.start), dtype=np.uint64), w.end - w.start
+    for i in range(6):       # beginnings of four, five and six bytes share their first steps
+        byte = lower[np.minimum(w.start + i, len(lower) - 1)]
+        code = code << np.uint64(8) | np.where(i < length, byte, 0).astype(np.uint64)
+        if i >= 3:
+            docs.append(w.doc)
+            out.append(mix(code + np.uint64((i + 1) << 56)))
     data, offsets = w.data, w.offsets
     solid = np.zeros(len(data) + 1, dtype=bool)
     solid[:-1] = ~_BLANK[data]
