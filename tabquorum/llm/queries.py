@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact, html, language, mixing, near, private, quality, tokens, urls
+from . import conversations, decontamination, exact, html, language, mixing, near, private, quality, tokens, urls
 
 TOKENIZER = "word_bpe_49k.json"
 MIX_WEIGHTS = (5, 2, 1)
@@ -84,6 +84,10 @@ def op10_html_extraction(spark, sf_dir):
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op13_conversation_trie(spark, sf_dir):
+    return conversations.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -91,7 +95,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_exact_dedup, op3_ngram_jaccard_join, op4_pii, op5_quality_classifier, op6_decontamination,
-    op7_language_id, op8_token_output, op9_source_mixing, op10_html_extraction, pipeline)}
+    op7_language_id, op8_token_output, op9_source_mixing, op10_html_extraction, op13_conversation_trie, pipeline)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -122,4 +126,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN s USING (doc_id)""",
+    "op13_conversation_trie": """
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+           coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, c - c % 100 AS base, xor(list_reduce(list_concat([4294967295::BIGINT],
+              list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+              lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+                lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT) % 6 AS h
+        FROM (SELECT DISTINCT c FROM t)),
+rebuilt AS (SELECT ids.c, 0 AS part, i, role, text FROM ids JOIN t ON t.c = ids.base AND i <= h
+            UNION ALL SELECT c, 1, i, role, text FROM ids JOIN t USING (c) WHERE i > h),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS i, role, text FROM rebuilt),
+p AS (SELECT c, i AS depth, list({'role': role, 'text': text}) OVER (PARTITION BY c ORDER BY i) AS path, length(text) AS size FROM turns
+      UNION ALL SELECT c, 0, [], 0 FROM ids),
+k AS (SELECT c, depth, md5(CAST(to_json(path) AS VARCHAR)) AS key, size, depth = max(depth) OVER (PARTITION BY c) AS last FROM p),
+own AS (SELECT key, depth, min(c) AS conv_id, count(*) AS n, (count(*) - 1) * max(size) AS saved,
+               string_agg(CASE WHEN last THEN CAST(c AS VARCHAR) END, ',' ORDER BY c) AS ends FROM k GROUP BY key, depth),
+edge AS (SELECT DISTINCT b.key, a.key AS up FROM k a JOIN k b ON a.c = b.c AND b.depth = a.depth + 1),
+below AS (SELECT DISTINCT a.key, b.key AS node FROM k a JOIN k b ON a.c = b.c AND b.depth >= a.depth),
+kids AS (SELECT up AS key, count(*) AS n_children FROM edge GROUP BY up),
+sums AS (SELECT below.key, sum(own.saved) AS saved, count(*) FILTER (WHERE kids.key IS NULL) AS leaves
+         FROM below JOIN own ON own.key = below.node LEFT JOIN kids ON kids.key = below.node GROUP BY below.key)
+SELECT own.conv_id, CAST(own.depth AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, own.n AS n_convs,
+       coalesce(n_children, 0) AS n_children, leaves AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(own.ends, '')) AS ends_sha256
+FROM own JOIN sums USING (key) LEFT JOIN kids USING (key) LEFT JOIN edge USING (key) LEFT JOIN own parent ON parent.key = edge.up""",
 }
