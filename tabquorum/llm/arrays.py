@@ -105,15 +105,15 @@ def words_of(column: pa.Array) -> Words:
     return Words(data, offsets, start, end, doc, run_hash(_BYTE[data], start, end))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in order, some two million bytes of text at a time."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in order, some ``size`` bytes of text at a time."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = utf8(batch.column(text))
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+            to = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontamination, exact, html, language, mixing, near, private, quality, tokens, urls
+from . import conversations, decontamination, exact, html, language, lexical, mixing, near, private, quality, tokens, urls
 
 TOKENIZER = "word_bpe_49k.json"
 MIX_WEIGHTS = (5, 2, 1)
@@ -84,6 +84,10 @@ def op10_html_extraction(spark, sf_dir):
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_trie(spark, sf_dir):
     return conversations.prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -95,7 +99,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_exact_dedup, op3_ngram_jaccard_join, op4_pii, op5_quality_classifier, op6_decontamination,
-    op7_language_id, op8_token_output, op9_source_mixing, op10_html_extraction, op13_conversation_trie, pipeline)}
+    op7_language_id, op8_token_output, op9_source_mixing, op10_html_extraction,
+    op12_lexical_search, op13_conversation_trie, pipeline)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -126,6 +131,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN s USING (doc_id)""",
+    "op12_lexical_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+post AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * big_n + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+           FROM post, s WHERE t IN (SELECT t FROM item) GROUP BY t, big_n),
+m AS (SELECT r, doc_id, 100 - 50 + (50 * len(w) * big_n) // big_l AS m FROM d, s WHERE len(w) > 0),
+score AS (SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+          FROM item JOIN weight USING (t) JOIN post USING (t) JOIN m USING (r) GROUP BY item_id, doc_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0) WHERE rank <= 50""",
     "op13_conversation_trie": """
 WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
            coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
