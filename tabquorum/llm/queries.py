@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontamination, exact, html, language, lexical, mixing, near, private, quality, tokens, urls
+from . import conversations, decontamination, exact, html, language, lexical, mixing, near, private, quality, suffix, tokens, urls
 
 TOKENIZER = "word_bpe_49k.json"
 MIX_WEIGHTS = (5, 2, 1)
@@ -84,6 +84,11 @@ def op10_html_extraction(spark, sf_dir):
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    rows = suffix.remove_repeats(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_lexical_search(spark, sf_dir):
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -100,7 +105,7 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_exact_dedup, op3_ngram_jaccard_join, op4_pii, op5_quality_classifier, op6_decontamination,
     op7_language_id, op8_token_output, op9_source_mixing, op10_html_extraction,
-    op12_lexical_search, op13_conversation_trie, pipeline)}
+    op11_suffix_dedup, op12_lexical_search, op13_conversation_trie, pipeline)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
