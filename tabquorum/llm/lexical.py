@@ -1,6 +1,6 @@
 """Ranked lexical search by pipelined term partitioning.
 
-Documents are indexed in shards of some four million bytes of text: a row of the index is one term of
+Documents are indexed in shards of some two million bytes of text: a row of the index is one term of
 one shard, with its postings packed. Each term is owned by one stage, by its weight; stages run
 from rare to common terms. A bundle of items carries sparse accumulators of a shard's documents
 from stage to stage; a stage cogroups the bundles with the postings of its terms and adds integer
@@ -22,7 +22,7 @@ from tabquorum.sources.shared import materialize, release
 
 from .arrays import slices, words_of
 
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 FILTER_BITS = 22           # the filter of item terms has 2**22 bits, whatever the items
 BUNDLE = 64                # items of a bundle
 STAGES = (5000, 2500, 1000)  # least weight of a term of each stage but the last

@@ -1,6 +1,6 @@
 """Removal of repeated byte strings by suffix arrays.
 
-1. Texts are cut into slices of some four million bytes. A slice's suffix array (Larsson-Sadakane
+1. Texts are cut into slices of some two million bytes. A slice's suffix array (Larsson-Sadakane
    refinement) and common prefixes (Kasai) give its classes of equal strings of ``length`` bytes;
    a string that also starts in a smaller document of its slice is settled there.
 2. The rest goes to other shards as runs: neighbouring strings whose smallest 12-byte hash is the
@@ -26,9 +26,9 @@ from .arrays import mix, slices, utf8
 
 LENGTH = 50
 GRAM = 12
-SLICE = 4_000_000
+SLICE = 2_000_000
 BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 16_000_000, 64, 1 << 18
-SHARD = 4_000_000          # bytes of a shard of a bucket
+SHARD = 2_000_000          # bytes of a shard of a bucket
 LANES = 8192
 _LAST = np.iinfo(np.int64).max
 
