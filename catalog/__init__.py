@@ -1,5 +1,5 @@
-from . import combining, encoding, ensembles, exploring, learning, measuring, preparing, scanning
+from . import combining, encoding, ensembles, exploring, learning, measuring, preparing, scanning, trees
 from .registry import CATALOG
 
 __all__ = ["CATALOG", "combining", "encoding", "ensembles", "exploring", "learning", "measuring",
-           "preparing", "scanning"]
+           "preparing", "scanning", "trees"]

@@ -109,15 +109,6 @@ def fit_predict_rows(spark, sf_dir):
         "doc_id", "label", "prediction")
 
 
-@query("model_structure")
-def model_structure(spark, sf_dir):
-    """The text form of a fitted tree, one row per line."""
-    train, _ = split(spark, sf_dir)
-    model = DecisionTreeClassifier(maxDepth=3, seed=learners.SEED).fit(train)
-    lines = model.toDebugString.rstrip().split("\n")[1:]
-    return inline_table(spark, list(enumerate(lines)), schema_of(("line", "int"), ("text", "string")))
-
-
 @query("leaderboard")
 def model_leaderboard(spark, sf_dir):
     """Seven learners tuned on the training documents and scored on the others."""
