@@ -1,12 +1,12 @@
 """Removal of repeated byte strings by suffix arrays.
 
-1. Texts are cut into slices of some two million bytes. A slice's suffix array (Larsson-Sadakane
+1. Texts are cut into slices of some million bytes. A slice's suffix array (Larsson-Sadakane
    refinement) and common prefixes (Kasai) give its classes of equal strings of ``length`` bytes;
    a string that also starts in a smaller document of its slice is settled there.
 2. The rest goes to other shards as runs: neighbouring strings whose smallest 12-byte hash is the
    same go together, and that hash picks the bucket, so equal strings of all slices meet in one
    bucket. A passage that very many documents share leaves each slice once.
-3. In a bucket, runs whose hash only one slice sent have no partner. The others form shards of
+3. In a bucket, strings whose own hash occurs once have no partner. The others form shards of
    bounded size with suffix arrays of their own; the sorted tables of distinct strings of the
    shards are merged by binary search, and a search in the merged table gives each string the
    smallest document that has it.
@@ -22,15 +22,39 @@ from pyspark.sql import functions as F
 
 from tabquorum.sources.shared import materialize
 
-from .arrays import mix, slices, utf8
+from .arrays import mix, run_hash, slices, utf8
 
 LENGTH = 50
 GRAM = 12
-SLICE = 2_000_000
-BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 16_000_000, 64, 1 << 18
-SHARD = 2_000_000          # bytes of a shard of a bucket
-LANES = 8192
+SLICE = 1_000_000
+GROUP = 4                  # slices whose runs are sent together
+BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 8_000_000, 128, 1 << 20
+SHARD = 1_000_000          # bytes of a shard of a bucket
+PASS = 8_000_000           # strings of a bucket that are looked at together
+LANES = 4096
 _LAST = np.iinfo(np.int64).max
+_SPREAD = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def first_keys(data: np.ndarray, words: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """Numbers that sort suffixes by their first bytes, and how many bytes: more than eight if the
+    data have few different bytes."""
+    used = np.flatnonzero(np.bincount(data, minlength=256))
+    bits = max(1, int(len(used)).bit_length())     # 0 stands for the end
+    size = 63 // bits
+    if size <= 8:
+        return (packed(data) if words is None else words), 8
+    code = np.zeros(256, dtype=np.uint64)
+    code[used] = np.arange(1, len(used) + 1)
+    codes = np.concatenate([code[data], np.zeros(size, np.uint64)])
+    wide, reach = codes, 1
+    while reach * 2 <= size:                       # wide: the next ``reach`` codes from each place
+        wide = (wide[: len(wide) - reach] << np.uint64(bits * reach)) | wide[reach:]
+        reach *= 2
+    out = wide[: len(data)]
+    for i in range(reach, size):
+        out = (out << np.uint64(bits)) | codes[i: i + len(data)]
+    return out, size
 
 
 def packed(data: np.ndarray) -> np.ndarray:
@@ -45,30 +69,31 @@ def packed(data: np.ndarray) -> np.ndarray:
 def suffix_array(data: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
     """Starts of the suffixes of ``data`` in order, by Larsson-Sadakane refinement.
 
-    Suffixes are sorted by eight bytes; then only groups not yet sorted are sorted again, by the
+    Suffixes are sorted by eight bytes or more; then only groups not yet sorted are sorted again, by the
     rank of what follows the part known to be equal, which doubles each time.
     """
     n = len(data)
-    key = packed(data) if words is None else words
-    order = np.argsort(key)
+    key, same = first_keys(data, words)
+    order = np.argsort(key).astype(np.int32)
+    key = key[order]
     head = np.ones(n, dtype=bool)
-    head[1:] = key[order[1:]] != key[order[:-1]]
-    slots = np.arange(n)
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.maximum.accumulate(np.where(head, slots, 0))
+    np.not_equal(key[1:], key[:-1], out=head[1:])
+    del key
+    slots = np.arange(n, dtype=np.int32)
+    rank = np.empty(n, dtype=np.int32)
+    rank[order] = np.maximum.accumulate(np.where(head, slots, np.int32(0)))
     open_ = slots[~(head & np.append(head[1:], True))]
-    same = 8
     while len(open_):
         at = order[open_]
-        then = at + same
+        then = at.astype(np.int64) + same
         then = np.where(then < n, rank[np.minimum(then, n - 1)], n - 1 - then) + same   # a shorter suffix first
         both = (rank[at].astype(np.uint64) << np.uint64(32)) | then.astype(np.uint64)
         turn = np.argsort(both)
         at, both = at[turn], both[turn]
         order[open_] = at
         head = np.ones(len(at), dtype=bool)
-        head[1:] = both[1:] != both[:-1]
-        rank[at] = open_[np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))]
+        np.not_equal(both[1:], both[:-1], out=head[1:])
+        rank[at] = open_[np.maximum.accumulate(np.where(head, np.arange(len(at), dtype=np.int32), np.int32(0)))]
         open_ = open_[~(head & np.append(head[1:], True))]
         same *= 2
     return order
@@ -81,7 +106,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     stretches of the text are gone through at once.
     """
     n = len(order)
-    before = np.empty(n, dtype=np.int64)
+    before = np.empty(n, dtype=np.int32)
     before[order[1:]] = order[:-1]
     if n:
         before[order[0]] = n
@@ -107,14 +132,18 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     return shared[order]
 
 
-def string_classes(data: np.ndarray, valid: np.ndarray, owner: np.ndarray, length: int,
-                   words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def string_classes(data: np.ndarray, valid: np.ndarray, owner: np.ndarray, length: int, words: np.ndarray | None = None,
+                   alone: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of equal strings of ``length`` bytes at the valid places: the places in suffix order,
-    the class of each (ascending, as the strings) and the smallest owner of each class."""
+    the class of each (ascending, as the strings) and the smallest owner of each class. Without
+    ``alone`` most strings without an equal are left out."""
     order = suffix_array(data, words)
-    number = np.cumsum(common_prefixes(data, order, length) < length)
-    here = valid[order]
-    place, number = order[here], number[here]
+    equal = common_prefixes(data, order, length) >= length
+    slots = np.arange(len(order)) if alone else np.flatnonzero(equal | np.append(equal[1:], False))
+    place = order[slots].astype(np.int64)
+    number = np.cumsum(~equal[slots])
+    here = valid[place]
+    place, number = place[here], number[here]
     if not len(place):
         return place, number, np.zeros(0, dtype=np.int64)
     head = np.concatenate([[True], number[1:] != number[:-1]])
@@ -152,15 +181,16 @@ def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -
 def _pack(*arrays: np.ndarray) -> bytes:
     import zstandard
     parts = [zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x).tobytes()) for x in arrays]
-    return np.array([len(p) for p in parts], dtype="<u4").tobytes() + b"".join(parts)
+    return np.array([len(parts), *map(len, parts)], dtype="<u4").tobytes() + b"".join(parts)
 
 
 def _unpack(raw: bytes, *types: str) -> list[np.ndarray]:
+    """The first arrays that ``_pack`` packed."""
     import zstandard
-    sizes = np.frombuffer(raw, "<u4", len(types))
-    ends = 4 * len(types) + np.cumsum(sizes, dtype=np.int64)
+    sizes = np.frombuffer(raw, "<u4", raw[0], 4)
+    ends = 4 * (1 + raw[0]) + np.cumsum(sizes, dtype=np.int64)
     tool = zstandard.ZstdDecompressor()
-    return [np.frombuffer(tool.decompress(raw[e - s: e]), t) for s, e, t in zip(sizes.tolist(), ends.tolist(), types, strict=True)]
+    return [np.frombuffer(tool.decompress(raw[e - s: e]), t) for s, e, t in zip(sizes.tolist(), ends.tolist(), types, strict=False)]
 
 
 def _pieces(batches, length, limit):
@@ -189,35 +219,54 @@ def _row(bucket: int, number: int, kind: int, data: bytes) -> pa.RecordBatch:
 
 
 def _settle_slices(batches, length, buckets, limit):
-    """Step 1 and 2: a row with the documents and settled strings of each slice, and its runs by bucket."""
+    """Step 1 and 2: a row with the documents and settled strings of some slices, and their runs by bucket."""
     from pyspark import TaskContext
-    number = TaskContext.get().partitionId() << 32
+    number, base, held, tables = TaskContext.get().partitionId() << 32, 0, {}, []
+
+    def group():
+        yield _row(number % buckets, number, 1, _pack(
+            np.concatenate([[0], *[t[0][1:] for t in tables]]), *[np.concatenate(x) for x in list(zip(*tables, strict=True))[1:]]))
+        for bucket, runs in held.items():
+            first, count, owner, text = (np.concatenate(x) for x in zip(*runs, strict=True))
+            yield _row(bucket, number, 0, _pack(np.diff(first, prepend=0).astype("<i4"), count.astype("<i4"),
+                                                np.diff(owner, prepend=0).astype("<i8"), text))
+
     for data, offsets, docs, texts, places in _pieces(batches, length, limit):
         sizes = np.diff(offsets)
         owner = np.repeat(docs, sizes)
         valid = np.arange(len(data)) + length <= np.repeat(offsets[1:], sizes)
         words = packed(data)
-        place, number_of, least = string_classes(data, valid, owner, length, words)
-        settled = owner[place] > least[number_of]
-        start, end = intervals(np.sort(place[settled]))
-        yield _row(number % buckets, number, 1, _pack(offsets, docs, texts, places, start, end))
-        valid[place[settled]] = False
-        out = np.flatnonzero(valid)
-        if len(out):
-            grams = mix(mix(words[: len(data) - GRAM + 1]) + words[GRAM - 8: len(data) - 8 + 1])
-            least_gram = window_minima(grams, length - GRAM + 1)[out]
-            head = np.flatnonzero(np.concatenate([[True], (out[1:] != out[:-1] + 1) | (least_gram[1:] != least_gram[:-1])]))
-            first, count, gram = out[head], np.diff(np.append(head, len(out))), least_gram[head]
-            bucket = ((gram >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            turn = np.argsort(bucket, kind="stable")
-            cuts = np.append(np.flatnonzero(np.diff(bucket[turn], prepend=-1)), len(turn))
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                own = turn[a:b]
-                yield _row(int(bucket[own[0]]), number, 0, _pack(
-                    np.diff(first[own], prepend=0).astype("<i4"), count[own].astype("<i4"),
-                    (gram[own] & np.uint64(0xFFFFFFFF)).astype("<u4"), np.diff(owner[first[own]], prepend=0).astype("<i8"),
-                    data[_spans(first[own], count[own] + length - 1)]))
-        number += 1
+        place, number_of, least = string_classes(data, valid, owner, length, words, alone=False)
+        settled = np.sort(place[owner[place] > least[number_of]])
+        start, end = intervals(settled)
+        tables.append((offsets + base, docs, texts, places, start.astype(np.int64) + base, end.astype(np.int64) + base))
+        valid[settled] = False
+        del place, number_of, least, settled
+        for bucket, first, count, text in _dealt_runs(data, words, np.flatnonzero(valid), length, buckets):
+            held.setdefault(bucket, []).append((first + base, count, owner[first], text))
+        base += len(data)
+        if base >= GROUP * limit:
+            yield from group()
+            number, base, held, tables = number + 1, 0, {}, []
+    if tables:
+        yield from group()
+
+
+def _dealt_runs(data, words, out, length, buckets):
+    """(bucket, first, count, text) of the runs of the places ``out``."""
+    if not len(out):
+        return
+    grams = mix(mix(words[: len(data) - GRAM + 1]) + words[GRAM - 8: len(data) - 8 + 1])
+    least = window_minima(grams, length - GRAM + 1)[out]
+    head = np.flatnonzero(np.concatenate([[True], (out[1:] != out[:-1] + 1) | (least[1:] != least[:-1])]))
+    first, count = out[head], np.diff(np.append(head, len(out)))
+    bucket = ((least[head] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    del grams, least
+    turn = np.argsort(bucket, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(bucket[turn], prepend=-1)), len(turn))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        own = turn[a:b]
+        yield int(bucket[own[0]]), first[own], count[own], data[_spans(first[own], count[own] + length - 1)]
 
 
 def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -226,31 +275,70 @@ def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+_BLOB = ("<i4", "<i4", "<i8", "u1")
+
+
 class _Runs:
-    """Runs of one bucket that more than one slice sent, in shards of bounded size."""
+    """Strings of one bucket that may have an equal, in shards of bounded size.
+
+    Only strings whose hash modulo ``parts`` is ``part`` are looked at, by a 32-bit hash that occurs
+    once for nearly all strings without an equal.
+    """
 
-    def __init__(self, blobs: list[tuple[int, bytes]], length: int, limit: int):
+    def __init__(self, blobs: list[tuple[int, bytes]], length: int, limit: int, part: int = 0, parts: int = 1):
         self.length, self.shards = length, []
-        grams = [np.unique(_unpack(raw, "<i4", "<i4", "<u4", "<i8", "u1")[2]) for _, raw in blobs]
-        value, times = np.unique(np.concatenate(grams), return_counts=True)
-        shared = value[times > 1]
-        part, size = [], 0
-        for number, raw in blobs:
-            first, count, gram, owner, text = _unpack(raw, "<i4", "<i4", "<u4", "<i8", "u1")
-            first, owner = np.cumsum(first, dtype=np.int64), np.cumsum(owner, dtype=np.int64)
-            at = np.searchsorted(shared, gram)
-            own = np.flatnonzero((at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == gram)) if len(shared) else at[:0]
-            if not len(own):
+        hashes = [self._hashes(raw, part, parts) for _, raw in blobs]
+        every = np.sort(np.concatenate(hashes))
+        shared = np.unique(every[1:][every[1:] == every[:-1]])
+        del every
+        if not len(shared):
+            return
+        near = np.zeros(1 << 20, dtype=bool)
+        near[shared >> np.uint32(12)] = True
+        held, size = [], 0
+        for (number, raw), own in zip(blobs, hashes, strict=True):
+            here = np.flatnonzero(near[own >> np.uint32(12)])
+            here = here[shared[np.minimum(np.searchsorted(shared, own[here]), len(shared) - 1)] == own[here]]
+            if not len(here):
                 continue
-            sizes = count.astype(np.int64) + length - 1
-            begin = np.cumsum(sizes) - sizes
-            part.append((np.full(len(own), number), first[own], sizes[own], owner[own], text[_spans(begin[own], sizes[own])]))
-            size += len(part[-1][-1])
+            first, count, owner, text = _unpack(raw, *_BLOB)
+            first, owner, run, inside = self._strings(first, count, owner)
+            if parts > 1:
+                mine = self._mine(text, count, run, inside, part, parts)
+                run, inside = run[mine], inside[mine]
+            run, inside = run[here], inside[here]
+            head = np.concatenate([[True], (run[1:] != run[:-1]) | (inside[1:] != inside[:-1] + 1)])
+            at = np.flatnonzero(head)
+            sizes = np.diff(np.append(at, len(run))) + length - 1
+            begin = np.cumsum(count.astype(np.int64) + length - 1) - (count + length - 1)
+            run, inside = run[at], inside[at]
+            held.append((np.full(len(at), number), first[run] + inside, sizes, owner[run], text[_spans(begin[run] + inside, sizes)]))
+            size += len(held[-1][-1])
             if size >= limit:
-                self._close(part)
-                part, size = [], 0
-        if part:
-            self._close(part)
+                self._close(held)
+                held, size = [], 0
+        if held:
+            self._close(held)
+
+    def _strings(self, first, count, owner):
+        """Places and owners of runs, and the run and place in it of every string."""
+        run = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        inside = np.arange(len(run)) - np.repeat(np.cumsum(count, dtype=np.int64) - count, count)
+        return np.cumsum(first, dtype=np.int64), np.cumsum(owner, dtype=np.int64), run, inside
+
+    def _all_hashes(self, text, count):
+        starts = _spans(np.cumsum(count.astype(np.int64) + self.length - 1) - (count + self.length - 1), count)
+        return run_hash(_SPREAD[text], starts, starts + self.length)
+
+    def _mine(self, text, count, run, inside, part, parts):
+        return np.flatnonzero((self._all_hashes(text, count) >> np.uint64(32)) % np.uint64(parts) == part)
+
+    def _hashes(self, raw, part, parts):
+        _, count, _, text = _unpack(raw, *_BLOB)
+        hashes = self._all_hashes(text, count)
+        if parts > 1:
+            hashes = hashes[(hashes >> np.uint64(32)) % np.uint64(parts) == part]
+        return (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
     def _close(self, part) -> None:
         """Classes of one shard: per valid place its slice, place there, owner and class."""
@@ -288,8 +376,10 @@ def _merge_buckets(batches, length, limit):
     bucket, blobs = None, []
 
     def close():
-        for number, places in _Runs(blobs, length, limit).repeated() if len(blobs) > 1 else ():
-            yield _row(0, number, 0, _pack(*intervals(places)))
+        parts = 1 + sum(int(_unpack(raw, *_BLOB[:2])[1].sum()) for _, raw in blobs) // PASS
+        for part in range(parts if blobs else 0):
+            for number, places in _Runs(blobs, length, limit, part, parts).repeated():
+                yield _row(0, number, 0, _pack(*intervals(places)))
 
     for batch in batches:
         for b, number, kind, raw in zip(*(batch.column(c).to_pylist() for c in ("bucket", "slice", "kind", "data")), strict=True):
