@@ -50,6 +50,12 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Delete one table that ``materialize`` wrote."""
     if "/tabquorum-" not in path:
