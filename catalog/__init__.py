@@ -1,5 +1,5 @@
-from . import combining, encoding, ensembles, exploring, learning, measuring, preparing, scanning, trees
+from . import combining, comparing, encoding, ensembles, exploring, learning, linear, measuring, preparing, scanning, trees
 from .registry import CATALOG
 
-__all__ = ["CATALOG", "combining", "encoding", "ensembles", "exploring", "learning", "measuring",
+__all__ = ["CATALOG", "combining", "comparing", "encoding", "ensembles", "exploring", "learning", "linear", "measuring",
            "preparing", "scanning", "trees"]

@@ -19,7 +19,6 @@ from tabquorum.operators import learners, metrics
 from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,
                                           GradientBoostingClassifier, StackingClassifier)
 from tabquorum.operators.splitting import hash_split
-from tabquorum.plans import cross_validate, cv_results, param_grid
 from tabquorum.sources import inline_table, schema_of
 
 from .frames import LINES_SQL, hashed_sql, line_task, quality_task
@@ -274,40 +273,42 @@ def held_out(estimator, spark, sf_dir):
     return metrics.accuracy(predicted).join(f1, "n").select("accuracy", "error", "f1", "n")
 
 
+def bag(**settings):
+    return BaggingClassifier(baseLearner=learners.deep_tree(), maxIter=10, parallelism=4, idCol="doc_id", **settings)
+
+
+def boost(**settings):
+    return BoostingClassifier(baseLearner=learners.deep_tree(), maxIter=10, **settings)
+
+
+def gradient(**settings):
+    return GradientBoostingClassifier(baseLearner=learners.regression_tree(), maxIter=10, parallelism=4, **settings)
+
+
+def stack():
+    bases = [DecisionTreeClassifier(seed=learners.SEED), RandomForestClassifier(seed=learners.SEED)]
+    return StackingClassifier(baseLearners=bases, stacker=learners.deep_tree(), parallelism=4, idCol="doc_id")
+
+
 @query("bagging")
 def bagging(spark, sf_dir):
-    """Deep trees on row samples and half of the features."""
-    return held_out(BaggingClassifier(baseLearner=learners.deep_tree(), maxIter=5, parallelism=4,
-                                      sampleRatioFeatures=0.7, idCol="doc_id"), spark, sf_dir)
+    """Ten deep trees on row samples and most of the features."""
+    return held_out(bag(sampleRatioFeatures=0.7), spark, sf_dir)
 
 
 @query("boosting")
 def boosting(spark, sf_dir):
-    tree = DecisionTreeClassifier(maxDepth=3, seed=learners.SEED)
-    return held_out(BoostingClassifier(baseLearner=tree, maxIter=4), spark, sf_dir)
+    """Ten rounds of deep trees."""
+    return held_out(boost(), spark, sf_dir)
 
 
 @query("gbm")
 def gbm(spark, sf_dir):
-    return held_out(GradientBoostingClassifier(
-        baseLearner=learners.regression_tree(), maxIter=3, learningRate=1.0, parallelism=2),
-        spark, sf_dir)
+    """Ten rounds of regression trees."""
+    return held_out(gradient(learningRate=1.0), spark, sf_dir)
 
 
 @query("stacking")
 def stacking(spark, sf_dir):
-    bases = [DecisionTreeClassifier(seed=learners.SEED),
-             RandomForestClassifier(seed=learners.SEED, numTrees=10)]
-    return held_out(StackingClassifier(baseLearners=bases, stacker=learners.deep_tree(),
-                                       parallelism=4, idCol="doc_id"), spark, sf_dir)
-
-
-@query("cv_bagging")
-def cv_bagging(spark, sf_dir):
-    """A grid over the sampling of the ensemble, two folds, F1 per point."""
-    bag = BaggingClassifier(baseLearner=DecisionTreeClassifier(maxDepth=3, seed=learners.SEED),
-                            maxIter=3, parallelism=2, idCol="doc_id")
-    grid = param_grid({bag.sampleRatio: [0.3, 1.0]})
-    train, _ = hash_split(quality_task(spark, sf_dir), F.col("doc_id"), 70)
-    return cv_results(spark, cross_validate(bag, grid, train, metric="f1", folds=2, key="doc_id",
-                                            parallelism=2))
+    """A tree and a forest, stacked by a deep tree."""
+    return held_out(stack(), spark, sf_dir)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabquorum.operators import learners, metrics
 from tabquorum.operators.splitting import hash_split
-from tabquorum.plans import (cross_validated_score, fit_predict, leaderboard, param_grid)
+from tabquorum.plans import fit_predict
 from tabquorum.sources import inline_table, kept, schema_of, spread_small
 
 from .frames import LINE_FEATURES, LINES_SQL, line_task, quality_task
@@ -99,38 +99,9 @@ regressor_query("boosted_regressor", learners.boosted_trees_30_regressor, "Thirt
 regressor_query("tree_regressor", learners.regression_tree, "One regression tree.")
 
 
-# --- helpers of the comparison ------------------------------------------------------------------
-
 @query("fit_predict")
 def fit_predict_rows(spark, sf_dir):
     """Predictions for every held-out document."""
     train, test = split(spark, sf_dir)
     return fit_predict(DecisionTreeClassifier(maxDepth=4, seed=learners.SEED), train, test).select(
         "doc_id", "label", "prediction")
-
-
-@query("leaderboard")
-def model_leaderboard(spark, sf_dir):
-    """Seven learners tuned on the training documents and scored on the others."""
-    train, test = split(spark, sf_dir)
-    one_vs_rest, ovr_grid = learners.one_vs_rest()
-    svm, _ = learners.linear_svm()
-    bayes, _ = learners.naive_bayes()
-    tree, _ = learners.decision_tree()
-    forest, _ = learners.random_forest()
-    perceptron, _ = learners.perceptron(4)
-    boosted, _ = learners.boosted_trees()
-    # One or two points of each grid; bench.py runs the whole grids.
-    entrants = {
-        "Logistic Regression": (one_vs_rest, ovr_grid),
-        "Support Vector Machine": (svm, {}),
-        "Naive Bayes": (bayes, {bayes.smoothing: [0.2, 1.0]}),
-        "Decision Tree": (tree, {tree.maxBins: [5, 7]}),
-        "Random Forest": (forest, {}),
-        "Gradient Boost Tree": (boosted, {boosted.maxDepth: [2]}),
-        "Perceptron": (perceptron, {}),
-    }
-    scores = {name: cross_validated_score(estimator, param_grid(grid), train, test, folds=2,
-                                          key="doc_id", parallelism=4)[0]
-              for name, (estimator, grid) in entrants.items()}
-    return leaderboard(spark, scores)
