@@ -120,7 +120,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     at, end = at[live], end[live]
     size = np.zeros(len(at), dtype=np.int64)
     while len(at):
-        equal = (size < most) & (text[at + size] == text[before[at] + size])
+        equal = text.take(at + size, mode="clip") == text.take(before.take(at, mode="clip") + size, mode="clip")
+        equal &= size < most
         step = np.flatnonzero(~equal)
         shared[at[step]] = size[step]
         size += 1
@@ -281,14 +282,17 @@ _BLOB = ("<i4", "<i4", "<i8", "u1")
 class _Runs:
     """Strings of one bucket that may have an equal, in shards of bounded size.
 
-    Only strings whose hash modulo ``parts`` is ``part`` are looked at, by a 32-bit hash that occurs
-    once for nearly all strings without an equal.
+    Equal runs are looked at once, with their smallest owner. Of the strings of the others only those
+    go on whose 32-bit hash occurs more than once. With ``parts`` above 1 only strings whose hash
+    modulo ``parts`` is ``part`` are looked at.
     """
 
     def __init__(self, blobs: list[tuple[int, bytes]], length: int, limit: int, part: int = 0, parts: int = 1):
-        self.length, self.shards = length, []
-        hashes = [self._hashes(raw, part, parts) for _, raw in blobs]
-        every = np.sort(np.concatenate(hashes))
+        self.length, self.shards, self.copies = length, [], []
+        runs = [self._runs(raw) for _, raw in blobs]
+        kept = self._distinct(blobs, runs)
+        hashes = [self._hashes(raw, run, own, part, parts) for (_, raw), run, own in zip(blobs, runs, kept, strict=True)]
+        every = np.sort(np.concatenate([h for h, _, _ in hashes]))
         shared = np.unique(every[1:][every[1:] == every[:-1]])
         del every
         if not len(shared):
@@ -296,23 +300,17 @@ class _Runs:
         near = np.zeros(1 << 20, dtype=bool)
         near[shared >> np.uint32(12)] = True
         held, size = [], 0
-        for (number, raw), own in zip(blobs, hashes, strict=True):
-            here = np.flatnonzero(near[own >> np.uint32(12)])
-            here = here[shared[np.minimum(np.searchsorted(shared, own[here]), len(shared) - 1)] == own[here]]
+        for (number, raw), (first, sizes, owner, begin), (hash_, run, inside) in zip(blobs, runs, hashes, strict=True):
+            here = np.flatnonzero(near[hash_ >> np.uint32(12)])
+            here = here[shared[np.minimum(np.searchsorted(shared, hash_[here]), len(shared) - 1)] == hash_[here]]
             if not len(here):
                 continue
-            first, count, owner, text = _unpack(raw, *_BLOB)
-            first, owner, run, inside = self._strings(first, count, owner)
-            if parts > 1:
-                mine = self._mine(text, count, run, inside, part, parts)
-                run, inside = run[mine], inside[mine]
             run, inside = run[here], inside[here]
-            head = np.concatenate([[True], (run[1:] != run[:-1]) | (inside[1:] != inside[:-1] + 1)])
-            at = np.flatnonzero(head)
-            sizes = np.diff(np.append(at, len(run))) + length - 1
-            begin = np.cumsum(count.astype(np.int64) + length - 1) - (count + length - 1)
+            at = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (inside[1:] != inside[:-1] + 1)]))
+            spans = np.diff(np.append(at, len(run))) + length - 1
             run, inside = run[at], inside[at]
-            held.append((np.full(len(at), number), first[run] + inside, sizes, owner[run], text[_spans(begin[run] + inside, sizes)]))
+            text = _unpack(raw, *_BLOB)[3]
+            held.append((np.full(len(at), number), first[run] + inside, spans, owner[run], text[_spans(begin[run] + inside, spans)]))
             size += len(held[-1][-1])
             if size >= limit:
                 self._close(held)
@@ -320,25 +318,66 @@ class _Runs:
         if held:
             self._close(held)
 
-    def _strings(self, first, count, owner):
-        """Places and owners of runs, and the run and place in it of every string."""
-        run = np.repeat(np.arange(len(count), dtype=np.int32), count)
-        inside = np.arange(len(run)) - np.repeat(np.cumsum(count, dtype=np.int64) - count, count)
-        return np.cumsum(first, dtype=np.int64), np.cumsum(owner, dtype=np.int64), run, inside
-
-    def _all_hashes(self, text, count):
-        starts = _spans(np.cumsum(count.astype(np.int64) + self.length - 1) - (count + self.length - 1), count)
-        return run_hash(_SPREAD[text], starts, starts + self.length)
-
-    def _mine(self, text, count, run, inside, part, parts):
-        return np.flatnonzero((self._all_hashes(text, count) >> np.uint64(32)) % np.uint64(parts) == part)
-
-    def _hashes(self, raw, part, parts):
-        _, count, _, text = _unpack(raw, *_BLOB)
-        hashes = self._all_hashes(text, count)
+    def _runs(self, raw):
+        """Place, bytes, owner and begin in the text of each run."""
+        first, count, owner = _unpack(raw, *_BLOB[:3])
+        sizes = count.astype(np.int64) + self.length - 1
+        return np.cumsum(first, dtype=np.int64), sizes, np.cumsum(owner, dtype=np.int64), np.cumsum(sizes) - sizes
+
+    def _distinct(self, blobs, runs) -> list[np.ndarray]:
+        """Runs of each blob that are the smallest owner's of all runs with the same bytes. The strings of
+        runs with a larger owner are repeated and noted as such; those of the same owner stay."""
+        names = []
+        for (_, raw), (_, sizes, _, begin) in zip(blobs, runs, strict=True):
+            text = _unpack(raw, *_BLOB)[3]
+            names.append(run_hash(_SPREAD[text], begin, begin + sizes) + sizes.astype(np.uint64))
+        edges = np.cumsum([0, *map(len, names)])
+        name, owner = np.concatenate(names), np.concatenate([r[2] for r in runs])
+        turn = np.lexsort((owner, name))
+        head = np.concatenate([[True], name[turn][1:] != name[turn][:-1]]) if len(turn) else np.zeros(0, bool)
+        model = np.empty(len(turn), dtype=np.int64)
+        model[turn] = turn[np.maximum.accumulate(np.where(head, np.arange(len(turn)), 0))]
+        later = np.flatnonzero(owner > owner[model])
+        later = later[self._equal(blobs, runs, edges, later, model[later])]
+        gone = np.zeros(len(turn), dtype=bool)
+        gone[later] = True
+        kept = []
+        for i, ((number, _), (first, sizes, _, _)) in enumerate(zip(blobs, runs, strict=True)):
+            out = gone[edges[i]: edges[i + 1]]
+            self.copies.append((number, first[out], sizes[out] - self.length + 1))
+            kept.append(np.flatnonzero(~out))
+        return kept
+
+    @staticmethod
+    def _equal(blobs, runs, edges, a, b) -> np.ndarray:
+        """Whether runs ``a`` and ``b`` (numbers over all blobs) have the same bytes."""
+        texts, begin = [], []
+        base = 0
+        for (_, raw), (_, _, _, at) in zip(blobs, runs, strict=True):
+            texts.append(_unpack(raw, *_BLOB)[3])
+            begin.append(at + base)
+            base += len(texts[-1])
+        text, begin = np.concatenate(texts), np.concatenate(begin)
+        sizes = np.concatenate([r[1] for r in runs])
+        same = sizes[a] == sizes[b]
+        for at in range(0, len(a), 100_000):
+            x, y = a[at: at + 100_000], b[at: at + 100_000]
+            size = np.minimum(sizes[x], sizes[y])
+            differs = text[_spans(begin[x], size)] != text[_spans(begin[y], size)]
+            same[at: at + 100_000] &= np.add.reduceat(differs, np.cumsum(size) - size) == 0
+        return same
+
+    def _hashes(self, raw, runs, own, part, parts):
+        """32-bit hash, run and place in the run of every string of the runs ``own``."""
+        _, sizes, _, begin = runs
+        count = sizes[own] - self.length + 1
+        run, inside = np.repeat(own, count), _spans(np.zeros(len(own), np.int64), count)
+        starts = begin[run] + inside
+        hashes = run_hash(_SPREAD[_unpack(raw, *_BLOB)[3]], starts, starts + self.length)
         if parts > 1:
-            hashes = hashes[(hashes >> np.uint64(32)) % np.uint64(parts) == part]
-        return (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            mine = (hashes >> np.uint64(32)) % np.uint64(parts) == part
+            hashes, run, inside = hashes[mine], run[mine], inside[mine]
+        return (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), run.astype(np.int32), inside.astype(np.int32)
 
     def _close(self, part) -> None:
         """Classes of one shard: per valid place its slice, place there, owner and class."""
@@ -354,6 +393,9 @@ class _Runs:
 
     def repeated(self):
         """(slice, places) of the strings that start in a smaller document."""
+        for number, first, count in self.copies:
+            if len(first):
+                yield number, _spans(first, count)
         tables = [s[0] for s in self.shards]
         while len(tables) > 1:
             tables = [merged(*tables[i: i + 2]) if i + 1 < len(tables) else tables[i] for i in range(0, len(tables), 2)]
