@@ -18,6 +18,7 @@ from tabquorum.functions.hashing import member_seed
 from tabquorum.operators import learners, metrics
 from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,
                                           GradientBoostingClassifier, StackingClassifier)
+from tabquorum.operators.ensemble.gbm import LARGEST_STEP, STEP_PASSES, STEP_POINTS
 from tabquorum.operators.splitting import hash_split
 from tabquorum.sources import inline_table, schema_of
 
@@ -39,14 +40,14 @@ def side_sql(name: str) -> str:
     return f"CASE WHEN {name}.f = 0 THEN x0 ELSE x1 END <= {name}.v"
 
 
-def class_stump_sql(name: str, source: str, weight: str) -> str:
-    """Member ``name``: feature, cut, and majority class on both sides, by Gini impurity."""
+def class_stump_sql(name: str, source: str, weight: str, features: str = "0, 1") -> str:
+    """Member ``name``: feature (of those given), cut, and majority class on both sides, by Gini impurity."""
     return f"""
 {name}_cells AS (SELECT 0 AS f, x0 AS v, y, sum({weight}) AS w FROM {source} GROUP BY x0, y UNION ALL
                  SELECT 1, x1, y, sum({weight}) FROM {source} GROUP BY x1, y),
 {name}_total AS (SELECT y, sum({weight}) AS w FROM {source} GROUP BY y),
 {name}_cuts AS (SELECT DISTINCT f, v FROM {name}_cells c
-                WHERE v < (SELECT max(v) FROM {name}_cells m WHERE m.f = c.f)),
+                WHERE f IN ({features}) AND v < (SELECT max(v) FROM {name}_cells m WHERE m.f = c.f)),
 {name}_sides AS (SELECT c.f, c.v, t.y, COALESCE(sum(e.w), 0) AS l, t.w - COALESCE(sum(e.w), 0) AS r
                  FROM {name}_cuts c CROSS JOIN {name}_total t
                  LEFT JOIN {name}_cells e ON e.f = c.f AND e.v <= c.v AND e.y = t.y
@@ -92,14 +93,15 @@ def poisson_sql(uniform: str, rate: float) -> str:
     return " + ".join(f"CASE WHEN {uniform} >= {c!r} THEN 1 ELSE 0 END" for c in reached)
 
 
-def bag_sql(sampled: str) -> str:
-    """Members on samples whose row counts are given by ``sampled`` with {u} for the uniform."""
+def bag_sql(sampled: str, spaces: list[str] | None = None) -> str:
+    """Members on samples whose row counts are given by ``sampled`` with {u} for the uniform, each on all
+    features or on its own."""
     u = "(h0 / 4294967296)"
     ctes = [LINES_SQL]
     for m in range(BAG_MEMBERS):
         hashed = hashed_sql("lines", "id", member_seed(BAG_SEED, m))
         ctes.append(f"s{m} AS MATERIALIZED (SELECT *, {sampled.format(u=u)} AS w FROM {hashed})")
-        ctes.append(class_stump_sql(f"t{m}", f"(SELECT * FROM s{m} WHERE w > 0)", "w"))
+        ctes.append(class_stump_sql(f"t{m}", f"(SELECT * FROM s{m} WHERE w > 0)", "w", spaces[m] if spaces else "0, 1"))
     votes = ", ".join(f"CASE WHEN {side_sql(f't{m}')} THEN t{m}.ly ELSE t{m}.ry END AS p{m}"
                       for m in range(BAG_MEMBERS))
     ctes.append(f"voted AS (SELECT y, {votes} FROM lines, t0, t1, t2)")
@@ -108,11 +110,14 @@ def bag_sql(sampled: str) -> str:
     return "WITH " + ",\n".join(ctes) + CELLS_SQL
 
 
-def bagged(spark, sf_dir, replacement: bool):
+def stump_bag(replacement: bool, features: float = 1.0):
+    return BaggingClassifier(baseLearner=stump(), maxIter=BAG_MEMBERS, sampleRatio=BAG_RATIO, replacement=replacement,
+                             sampleRatioFeatures=features, parallelism=3, seed=BAG_SEED, idCol="id")
+
+
+def bagged(spark, sf_dir, replacement: bool, features: float = 1.0):
     task = line_task(spark, sf_dir, STUMP_FEATURES)
-    bag = BaggingClassifier(baseLearner=stump(), maxIter=BAG_MEMBERS, sampleRatio=BAG_RATIO,
-                            replacement=replacement, parallelism=3, seed=BAG_SEED, idCol="id")
-    return metrics.confusion(bag.fit(task).transform(task))
+    return metrics.confusion(stump_bag(replacement, features).fit(task).transform(task))
 
 
 @query("bagging_stumps_replacement", bag_sql(poisson_sql("{u}", BAG_RATIO)))
@@ -127,6 +132,16 @@ def bagging_stumps_subset(spark, sf_dir):
     return bagged(spark, sf_dir, False)
 
 
+HALF = BaggingClassifier(sampleRatioFeatures=0.5, seed=BAG_SEED)
+SPACES = [", ".join(map(str, HALF._subspace(m, len(STUMP_FEATURES)))) for m in range(BAG_MEMBERS)]
+
+
+@query("bagging_stumps_subspace", bag_sql(poisson_sql("{u}", BAG_RATIO), SPACES))
+def bagging_stumps_subspace(spark, sf_dir):
+    """Three members on Poisson row samples, each on one of the two features."""
+    return bagged(spark, sf_dir, True, 0.5)
+
+
 # --- boosting --------------------------------------------------------------------------------
 
 BOOST_ROUNDS, BOOST_RATE = 3, 0.8
@@ -220,6 +235,54 @@ def gbm_stumps(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(p0), 8).alias("mean_p0")))
 
 
+STEP_ROUNDS, STEP_RATE = 2, 0.5
+
+
+def step_search_sql(name: str, source: str, k: int) -> str:
+    """CTE ``name`` with the step of class ``k``: the bracket of the slope's change of sign, cut into ten
+    parts nine times. ``source`` has y, s0, s1, s2 and the regressors' outputs h0, h1, h2."""
+    others = " + ".join(f"exp(s{j})" for j in range(3) if j != k)
+    ctes = [f"{name}_cells AS (SELECT s{k} AS s, h{k} AS h, {others} AS others, CASE WHEN y = {k} THEN 1 ELSE 0 END AS own, count(*) AS n FROM {source} GROUP BY ALL)",
+            f"{name}_0 AS (SELECT 0.0::DOUBLE AS low, {LARGEST_STEP}::DOUBLE AS high)"]
+    for i in range(STEP_PASSES):
+        ctes.append(f"""{name}_p{i} AS (SELECT j, any_value(low + (high - low) * j / {STEP_POINTS}) AS point,
+            sum(n * (1 / (1 + others * exp(-(s + (low + (high - low) * j / {STEP_POINTS}) * h))) - own) * h) AS slope
+            FROM {name}_cells, {name}_{i}, (SELECT unnest(range({STEP_POINTS + 1})) AS j) GROUP BY j)""")
+        ctes.append(f"""{name}_{i + 1} AS (SELECT coalesce(CASE WHEN first = 0 THEN (SELECT point FROM {name}_p{i} WHERE j = 0) ELSE
+              (SELECT point FROM {name}_p{i} WHERE j = first - 1) END, (SELECT max(point) FROM {name}_p{i})) AS low,
+            coalesce((SELECT point FROM {name}_p{i} WHERE j = first), (SELECT max(point) FROM {name}_p{i})) AS high
+            FROM (SELECT min(j) FILTER (slope >= 0) AS first FROM {name}_p{i}))""")
+    return ",\n".join([*ctes, f"{name} AS (SELECT (low + high) / 2 AS step FROM {name}_{STEP_PASSES})"])
+
+
+def step_weights_sql() -> str:
+    ctes = [LINES_SQL, """f0 AS (SELECT x0, x1, y, (SELECT ln(count(*) / (SELECT count(*) FROM lines)) FROM lines WHERE y = 0) AS s0,
+             (SELECT ln(count(*) / (SELECT count(*) FROM lines)) FROM lines WHERE y = 1) AS s1,
+             (SELECT ln(count(*) / (SELECT count(*) FROM lines)) FROM lines WHERE y = 2) AS s2 FROM lines)"""]
+    for m in range(STEP_ROUNDS):
+        shares = ", ".join(f"CASE WHEN y = {k} THEN 1 ELSE 0 END - exp(s{k}) / (exp(s0) + exp(s1) + exp(s2)) AS r{k}" for k in range(3))
+        ctes.append(f"r{m} AS (SELECT *, {shares} FROM f{m})")
+        ctes += [value_stump_sql(f"t{m}{k}", f"r{m}", f"r{k}") for k in range(3)]
+        outs = ", ".join(f"CASE WHEN {side_sql(f't{m}{k}')} THEN t{m}{k}.lm ELSE t{m}{k}.rm END AS h{k}" for k in range(3))
+        ctes.append(f"h{m} AS MATERIALIZED (SELECT x0, x1, y, s0, s1, s2, {outs} FROM f{m}, t{m}0, t{m}1, t{m}2)")
+        ctes += [step_search_sql(f"w{m}{k}", f"h{m}", k) for k in range(3)]
+        moved = ", ".join(f"s{k} + {STEP_RATE} * w{m}{k}.step * h{k} AS s{k}" for k in range(3))
+        ctes.append(f"f{m + 1} AS MATERIALIZED (SELECT x0, x1, y, {moved} FROM h{m}, w{m}0, w{m}1, w{m}2)")
+    return "WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(
+        f"SELECT {m} AS round, {k} AS class, round(step, 4) AS weight FROM w{m}{k}" for m in range(STEP_ROUNDS) for k in range(3))
+
+
+@query("gbm_step_weights", step_weights_sql())
+def gbm_step_weights(spark, sf_dir):
+    """The searched step of every round and class, as rows."""
+    task = line_task(spark, sf_dir, STUMP_FEATURES)
+    base = DecisionTreeRegressor(maxDepth=1, maxBins=64, seed=learners.SEED)
+    model = GradientBoostingClassifier(baseLearner=base, maxIter=STEP_ROUNDS, parallelism=3, learningRate=STEP_RATE,
+                                       optimizedWeights=True).fit(task)
+    rows = [(m, k, round(w, 4)) for m, weights in enumerate(model.weights) for k, w in enumerate(weights)]
+    return inline_table(spark, rows, schema_of(("round", "int"), ("class", "int"), ("weight", "double")))
+
+
 # --- stacking --------------------------------------------------------------------------------
 
 STACK_SEED = 5

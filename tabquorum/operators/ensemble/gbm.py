@@ -7,6 +7,7 @@ logistic case.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml.functions import array_to_vector
@@ -19,6 +20,7 @@ from .common import (WEIGHT, EnsembleEstimator, EnsembleModel, RoundState, Score
                      class_count, configured, fit_all, strip, takes_weights, training_frame)
 
 SMALLEST_SHARE = 1e-12
+LARGEST_STEP, STEP_POINTS, STEP_PASSES = 100.0, 10, 9    # the last bracket is 1e-7 wide
 
 
 class GradientBoostingParams(ScoreParams):
@@ -27,7 +29,7 @@ class GradientBoostingParams(ScoreParams):
         Params._dummy(), "learningRate", "factor on every step", TypeConverters.toFloat)
     optimizedWeights: Param[bool] = Param(
         Params._dummy(), "optimizedWeights",
-        "weight each step by one Newton iteration instead of (K-1)/K", TypeConverters.toBoolean)
+        "weight each step by a search for the smallest loss instead of (K-1)/K", TypeConverters.toBoolean)
     checkpointInterval: Param[int] = Param(
         Params._dummy(), "checkpointInterval",
         "rounds after which the scores are written; 0 never", TypeConverters.toInt)
@@ -57,6 +59,44 @@ def residuals(label: str, scores: list[Column]) -> list[Column]:
             for k, p in enumerate(softmax(scores))]
 
 
+def step_slopes(df: DataFrame, label: str, weight: str, scores: Sequence[str], steps: Sequence[str],
+                tried: Sequence[Sequence[float]]) -> list[list[float]]:
+    """Slope of the log loss in the step of each class at each step tried, from one aggregate.
+
+    Class k's score moves by the step times the column ``steps[k]``, the others stay. The loss is convex
+    in the step, so its slope never falls.
+    """
+    top = F.greatest(*scores)
+    rows = df.withColumn("_all", sum((F.exp(F.col(s) - top) for s in scores), F.lit(0.0))).withColumn("_top", top)
+    sums = []
+    for k, (s, h) in enumerate(zip(scores, steps, strict=True)):
+        own = F.when(F.col(label) == float(k), 1.0).otherwise(0.0)
+        others = F.col("_all") - F.exp(F.col(s) - F.col("_top"))
+        for i, step in enumerate(tried[k]):
+            share = 1.0 / (1.0 + others * F.exp(-(F.col(s) + float(step) * F.col(h) - F.col("_top"))))
+            sums.append(F.sum(F.col(weight) * (share - own) * F.col(h)).alias(f"s{k}_{i}"))
+    row = rows.agg(*sums).first()
+    return [[row[f"s{k}_{i}"] for i in range(len(tried[k]))] for k in range(len(scores))]
+
+
+def searched_steps(df: DataFrame, label: str, weight: str, scores: Sequence[str], steps: Sequence[str]) -> list[float]:
+    """The step of each class with the smallest loss in [0, LARGEST_STEP], all classes in the same passes.
+
+    A pass tries points across every class's bracket and keeps the part in which the slope changes
+    sign: STEP_PASSES aggregates in all. A loss that rises from the start gives 0, one that still falls
+    at the end LARGEST_STEP.
+    """
+    brackets = [(0.0, LARGEST_STEP)] * len(scores)
+    for _ in range(STEP_PASSES):
+        tried = [[low + (high - low) * i / STEP_POINTS for i in range(STEP_POINTS + 1)] for low, high in brackets]
+        slopes = step_slopes(df, label, weight, scores, steps, tried)
+        for k, (points, slope) in enumerate(zip(tried, slopes, strict=True)):
+            at = next((i for i, x in enumerate(slope) if x >= 0.0), None)
+            brackets[k] = ((points[-1], points[-1]) if at is None else (points[0], points[0]) if at == 0
+                           else (points[at - 1], points[at]))
+    return [(low + high) / 2 for low, high in brackets]
+
+
 class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
     """K regressors per round, one per class, each fitted on that class's residuals.
 
@@ -74,18 +114,10 @@ class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
         super().__init__()
         self._with(**self._input_kwargs)
 
-    def _step_weights(self, stepped: DataFrame, classes: int) -> list[float]:
+    def _step_weights(self, stepped: DataFrame, label: str, classes: int) -> list[float]:
         if not self.getOrDefault(self.optimizedWeights):
             return [(classes - 1.0) / classes] * classes
-        sums = []
-        for k in range(classes):
-            residual, step, weight = F.col(f"_r{k}"), F.col(f"_h{k}"), F.col(WEIGHT)
-            size = F.abs(residual)
-            sums += [F.sum(weight * residual * step).alias(f"up{k}"),
-                     F.sum(weight * size * (1.0 - size) * step * step).alias(f"down{k}")]
-        row = stepped.agg(*sums).first()
-        return [(classes - 1.0) / classes * row[f"up{k}"] / row[f"down{k}"]
-                if row[f"down{k}"] > SMALLEST_SHARE else 0.0 for k in range(classes)]
+        return searched_steps(stepped, label, WEIGHT, [f"_f{k}" for k in range(classes)], [f"_h{k}" for k in range(classes)])
 
     def _fit(self, dataset: DataFrame) -> GradientBoostingModel:
         base, label, features = self.getBaseLearner(), self.getLabelCol(), self.getFeaturesCol()
@@ -118,7 +150,7 @@ class GradientBoostingClassifier(GradientBoostingParams, EnsembleEstimator):
                     stepped = with_targets
                     for model in models:
                         stepped = model.transform(stepped)
-                    weights.append(self._step_weights(stepped, classes))
+                    weights.append(self._step_weights(stepped, label, classes))
                     rounds.append(models)
                     if m + 1 == self.getMaxIter():
                         break
