@@ -88,7 +88,7 @@ def _stage(documents: int, total: int, top: int):
 
     def run(key, bundle, postings):
         shard, number = int(key[0]), int(key[1])
-        given = [np.frombuffer(x, "<i8").reshape(-1, 3) for x in postings["wants"]]       # item, weight, bound to come
+        given = [np.asarray(x, dtype=np.int64).reshape(-1, 3) for x in postings["wants"]]  # item, weight, bound to come
         lists = [np.frombuffer(x, "<i4").reshape(-1, 3).astype(np.int64) for x in postings["data"]]
         have = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in bundle["found"]]           # doc, score
         bounds = dict(zip(bundle["item"].tolist(), bundle["bound"].tolist(), strict=True))
@@ -136,11 +136,8 @@ def _weighed(terms: DataFrame, df: DataFrame, documents: int, total: int) -> Dat
     later = Window.partitionBy("item").orderBy(F.col("stage").desc()).rangeBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("bound", F.coalesce(F.sum("most").over(later), F.lit(0)))
 
-    def pack(key, group):
-        wants = group[["item", "w", "bound"]].to_numpy(dtype="<i8")
-        return pd.DataFrame({"term": [key[0]], "bundle": [key[1]], "stage": [int(group["stage"].iloc[0])], "wants": [wants.tobytes()]})
-
-    return rows.groupBy("term", "bundle").applyInPandas(pack, "term bigint, bundle int, stage int, wants binary")
+    return rows.groupBy("term", "bundle", "stage").agg(
+        F.flatten(F.collect_list(F.array("item", "w", "bound"))).alias("wants"))    # three numbers an item of the bundle
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = 50) -> DataFrame:
