@@ -54,6 +54,12 @@ def run_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * back[start])
 
 
+def spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the spans [first, first + size), one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 @dataclass
 class Words:
     """Words of some texts: byte range in ``data``, text number and hash of each."""

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tabquorum.sources.shared import materialize
 
-from .arrays import mix, run_hash, slices, utf8
+from .arrays import mix, run_hash, slices, spans, utf8
 
 LENGTH = 50
 GRAM = 12
@@ -267,13 +267,7 @@ def _dealt_runs(data, words, out, length, buckets):
     cuts = np.append(np.flatnonzero(np.diff(bucket[turn], prepend=-1)), len(turn))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         own = turn[a:b]
-        yield int(bucket[own[0]]), first[own], count[own], data[_spans(first[own], count[own] + length - 1)]
-
-
-def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """All places of the spans [first, first + size), one after the other."""
-    ends = np.cumsum(size)
-    return np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        yield int(bucket[own[0]]), first[own], count[own], data[spans(first[own], count[own] + length - 1)]
 
 
 _BLOB = ("<i4", "<i4", "<i8", "u1")
@@ -310,7 +304,7 @@ class _Runs:
             spans = np.diff(np.append(at, len(run))) + length - 1
             run, inside = run[at], inside[at]
             text = _unpack(raw, *_BLOB)[3]
-            held.append((np.full(len(at), number), first[run] + inside, spans, owner[run], text[_spans(begin[run] + inside, spans)]))
+            held.append((np.full(len(at), number), first[run] + inside, spans, owner[run], text[spans(begin[run] + inside, spans)]))
             size += len(held[-1][-1])
             if size >= limit:
                 self._close(held)
@@ -363,7 +357,7 @@ class _Runs:
         for at in range(0, len(a), 100_000):
             x, y = a[at: at + 100_000], b[at: at + 100_000]
             size = np.minimum(sizes[x], sizes[y])
-            differs = text[_spans(begin[x], size)] != text[_spans(begin[y], size)]
+            differs = text[spans(begin[x], size)] != text[spans(begin[y], size)]
             same[at: at + 100_000] &= np.add.reduceat(differs, np.cumsum(size) - size) == 0
         return same
 
@@ -371,7 +365,7 @@ class _Runs:
         """32-bit hash, run and place in the run of every string of the runs ``own``."""
         _, sizes, _, begin = runs
         count = sizes[own] - self.length + 1
-        run, inside = np.repeat(own, count), _spans(np.zeros(len(own), np.int64), count)
+        run, inside = np.repeat(own, count), spans(np.zeros(len(own), np.int64), count)
         starts = begin[run] + inside
         hashes = run_hash(_SPREAD[_unpack(raw, *_BLOB)[3]], starts, starts + self.length)
         if parts > 1:
@@ -395,7 +389,7 @@ class _Runs:
         """(slice, places) of the strings that start in a smaller document."""
         for number, first, count in self.copies:
             if len(first):
-                yield number, _spans(first, count)
+                yield number, spans(first, count)
         tables = [s[0] for s in self.shards]
         while len(tables) > 1:
             tables = [merged(*tables[i: i + 2]) if i + 1 < len(tables) else tables[i] for i in range(0, len(tables), 2)]
@@ -452,7 +446,7 @@ def _by_document(batches, length):
         piece = np.searchsorted(offsets, start, side="right") - 1   # a span may run through several pieces
         last = np.searchsorted(offsets, end, side="left") - 1
         copies = last - piece + 1
-        which = _spans(piece, copies)
+        which = spans(piece, copies)
         start = np.maximum(np.repeat(start, copies), offsets[which]) - offsets[which] + places[which]
         end = np.minimum(np.repeat(end, copies), offsets[which + 1]) - offsets[which] + places[which]
         full = end > start

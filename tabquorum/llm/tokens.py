@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from tabquorum.sources.shared import new_shared_path
 
-from .arrays import slices
+from .arrays import mix, run_hash, slices, spans, utf8
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
 BLOCKS = "part int, skip bigint, n_ids bigint, n_docs bigint, data binary"
-CACHE_WORDS = 400_000
+CACHE_BYTES = 48_000_000
 CACHED_CHARS = 64
 SAMPLE = 256
 _MAGIC = b"TQEF"
@@ -110,81 +110,215 @@ def unpack_block(raw: bytes):
     return doc_ids, ends, np.frombuffer(view[at: at + size], "<u4")
 
 
-class Encoder:
-    """Ids of texts, word by word: no token of this vocabulary spans a blank or a line break.
+def word_by_word(spec: dict) -> bool:
+    """Whether a tokenizer file encodes a text as the sum of its words, as ``WordEncoder`` takes it.
 
-    Words are cached. A new word is first brought to a base that has the same ids: without a
-    closing full stop or comma after a letter (a token sequence of its own), and in lower case
-    (the vocabulary has no other). Bases of letters are encoded many at a time; the ids that end
-    a word part them.
+    That holds for a normalizer of NFC, white space and lower case, a split that drops white space and
+    keeps runs of letters and of marks apart, merges that end at a word's end, and nothing added or
+    cut afterwards. The added tokens must hold ``<`` and no white space.
     """
+    kinds = lambda part, name: [x.get("type") for x in (spec.get(part) or {}).get(name, [])]
+    split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    pattern = (split.get("pattern") or {}).get("Regex", "")
+    model = spec.get("model") or {}
+    return (kinds("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"]
+            and kinds("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"]
+            and split.get("behavior") == "Removed" and split.get("invert") is True
+            and pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            and not any(spec.get(k) for k in ("truncation", "padding", "post_processor"))
+            and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+            and all("<" in t["content"] and not t["content"].split()[1:] and not t.get("lstrip") and not t.get("rstrip")
+                    for t in spec.get("added_tokens", [])))
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.ends[number] = token.endswith("</w>")
-        self._clear()
 
-    def _clear(self) -> None:
-        self.cache: dict[str, bytes] = {"": b"", **{x: self._plain([x])[0] for x in ".,"}}
+class Encoder:
+    """Ids of texts by the tokenizer, whole text by whole text."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
 
-    def _plain(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each text has."""
+        found = self.tokenizer.encode_batch_fast([t or "" for t in column.to_pylist()], add_special_tokens=False)
+        parts = [np.array(e.ids, dtype="<u4") for e in found]
+        return np.concatenate([np.zeros(0, "<u4"), *parts]), np.array([len(p) for p in parts], dtype=np.int64)
 
-    def _encoded(self, words: set[str]) -> dict[str, bytes]:
-        letters = [w for w in words if w.isalpha() and len(w) <= CACHED_CHARS]
-        others = [w for w in words if not (w.isalpha() and len(w) <= CACHED_CHARS)]
-        out: dict[str, bytes] = {}
+
+class WordEncoder(Encoder):
+    """Ids of texts word by word, for tokenizers that ``word_by_word`` accepts.
+
+    The words of a slice are found, hashed and reduced to the different ones in numpy; only words that
+    are not in the cache go to the tokenizer. Words are taken between blanks and line breaks, without
+    a closing full stop or comma after an ASCII letter, which is a word of its own; ASCII words without
+    ``<`` are taken in lower case. The cache keeps bytes and ids of words in flat arrays of bounded
+    size; a hit is verified against the bytes, and words not used lately are dropped.
+    """
+
+    def __init__(self, tokenizer, cache_bytes: int = CACHE_BYTES):
+        super().__init__(tokenizer)
+        self.cache_bytes, self.turn = cache_bytes, 0
+        self.ends = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
+        for token, number in tokenizer.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+        self.hash = np.zeros(0, dtype=np.uint64)
+        self.used = np.zeros(0, dtype=np.int32)
+        self.word, self.ids = _Lists.empty(np.uint8), _Lists.empty(np.dtype("<u4"))
+
+    def _words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes (lowered where that changes nothing), and text, start and end of each word."""
+        raw, offsets = utf8(column)
+        inside = np.zeros(len(raw) + 2, dtype=bool)
+        inside[1:-1] = (raw != 32) & (raw != 10)
+        begins, ends = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+        cut = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(raw))]
+        begins[cut] = inside[1:-1][cut]
+        ends[cut - 1] = inside[1:-1][cut - 1]
+        letter = _LETTER[raw]
+        stop = ends.copy()           # a closing mark after a letter is cut off
+        stop[:1] = False
+        stop[1:] &= _CLOSING[raw[1:]] & letter[:-1] & inside[1:-2]
+        stop &= ~begins
+        ends[:-1] |= stop[1:]
+        begins |= stop
+        start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        data = _LOWER[raw]
+        kept = np.concatenate([[0], np.cumsum(_KEPT[raw])])
+        odd = np.flatnonzero(kept[end] > kept[start])
+        places = spans(start[odd], end[odd] - start[odd])
+        data[places] = raw[places]
+        return data, np.searchsorted(offsets, start, side="right") - 1, start, end
+
+    def _encoded(self, words: list[str]) -> _Lists:
+        """Ids of each word; words of letters are encoded many at a time, parted by the ids that end a word."""
+        letters = [i for i, w in enumerate(words) if len(w) <= CACHED_CHARS and w.isalpha()]
+        taken = set(letters)
+        rest = [i for i in range(len(words)) if i not in taken]
+        data, sizes, order = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)], []
         for at in range(0, len(letters), 512):
             part = letters[at: at + 512]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
-            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            ids = np.array(self.tokenizer.encode(" ".join([words[i] for i in part]), add_special_tokens=False).ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):      # some word is not one run of letters to the tokenizer
-                others += part
+                rest += part
                 continue
-            raw = ids.tobytes()
-            out |= {w: raw[a:b] for w, a, b in zip(part, [0, *cuts], cuts, strict=False)}
-        for at in range(0, len(others), 8192):
-            part = others[at: at + 8192]
-            out |= dict(zip(part, self._plain(part), strict=True))
-        return out
-
-    @staticmethod
-    def _base(word: str) -> tuple[str, str]:
-        end = ""
-        if word[-1:] in (".", ",") and word[-2:-1].isalpha():
-            word, end = word[:-1], word[-1]
-        return (word.lower() if word.isascii() and "<" not in word else word), end
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        words = set().union(*split)
-        missing = words - self.cache.keys()
-        if missing and len(self.cache) + len(missing) > CACHE_WORDS:
-            self._clear()
-            missing = words - self.cache.keys()
-        long: dict[str, bytes] = {}
-        if missing:
-            bases = {w: self._base(w) for w in missing}
-            encoded = self._encoded({b for b, _ in bases.values()} - self.cache.keys())
-            for w, (b, end) in bases.items():
-                ids = encoded[b] if b in encoded else self.cache[b]
-                (self.cache if len(w) <= CACHED_CHARS else long)[w] = ids + self.cache[end]
-        if long:
-            return [b"".join(self.cache[w] if w in self.cache else long[w] for w in row) for row in split]
-        return [b"".join(map(self.cache.__getitem__, row)) for row in split]
+            data.append(ids)
+            sizes.append(np.diff(cuts, prepend=0))
+            order += part
+        for at in range(0, len(rest), 8192):
+            part = rest[at: at + 8192]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)]
+            data.append(np.array([x for ids in found for x in ids], dtype="<u4"))
+            sizes.append(np.array([len(ids) for ids in found], dtype=np.int64))
+            order += part
+        back = np.empty(len(words), dtype=np.int64)
+        back[order] = np.arange(len(words))
+        return _Lists(np.concatenate(data), np.concatenate(sizes)).pick(back)
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        self.turn += 1
+        data, doc, start, end = self._words(column)
+        hashes = run_hash(_BYTES[data], start, end) + (end - start).astype(np.uint64)
+        known, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        start, size = start[first], end[first] - start[first]
+        at = np.minimum(np.searchsorted(self.hash, known), max(len(self.hash) - 1, 0))
+        hit = self.hash[at] == known if len(self.hash) else np.zeros(len(known), dtype=bool)
+        clash = hit.copy()
+        hit[hit] = self.word.equal(at[hit], data, start[hit], size[hit])
+        clash &= ~hit
+        self.used[at[hit]] = self.turn
+        miss = np.flatnonzero(~hit)
+        new_words = _Lists.cut(data, start[miss], size[miss])
+        new = self._encoded(new_words.texts())
+        ids = _Lists.both(self.ids.pick(at[hit]), new)              # of the different words, hits first
+        place = np.empty(len(known), dtype=np.int64)
+        place[np.flatnonzero(hit)] = np.arange(int(hit.sum()))
+        place[miss] = int(hit.sum()) + np.arange(len(miss))
+        of = place[back]
+        counts = np.zeros(len(column), dtype=np.int64)
+        np.add.at(counts, doc, ids.sizes[of])
+        out = ids.pick(of).data
+        self._remember(known[miss], new_words, new, np.flatnonzero((new_words.sizes <= CACHED_CHARS) & ~clash[miss]))
+        return out, counts
+
+    def _remember(self, hashes: np.ndarray, words: _Lists, ids: _Lists, fresh: np.ndarray) -> None:
+        """Add the words ``fresh`` to the cache, in the order of their hashes."""
+        self.word, self.ids = _Lists.both(self.word, words.pick(fresh)), _Lists.both(self.ids, ids.pick(fresh))
+        self.hash = np.concatenate([self.hash, hashes[fresh]])
+        self.used = np.concatenate([self.used, np.full(len(fresh), self.turn, dtype=np.int32)])
+        order = np.argsort(self.hash, kind="stable")
+        if self.size() > self.cache_bytes:                           # keep what was used last, half the size
+            last = np.argsort(-self.used[order], kind="stable")
+            order = order[np.sort(last[: len(last) // 2])]
+        self.word, self.ids, self.hash, self.used = self.word.pick(order), self.ids.pick(order), self.hash[order], self.used[order]
+
+    def size(self) -> int:
+        """Bytes the cache holds."""
+        return self.hash.nbytes + self.used.nbytes + self.word.size() + self.ids.size()
 
 
+@dataclass
+class _Lists:
+    """Lists of numbers in one array, with their sizes."""
+    data: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def empty(cls, kind) -> _Lists:
+        return cls(np.zeros(0, dtype=kind), np.zeros(0, dtype=np.int64))
+
+    @classmethod
+    def cut(cls, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> _Lists:
+        return cls(data[spans(start, size)], size)
+
+    @classmethod
+    def both(cls, a: _Lists, b: _Lists) -> _Lists:
+        return cls(np.concatenate([a.data, b.data]), np.concatenate([a.sizes, b.sizes]))
+
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def pick(self, at: np.ndarray) -> _Lists:
+        return _Lists.cut(self.data, self.starts()[at], self.sizes[at])
+
+    def equal(self, at: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether lists ``at`` are the pieces [start, start + size) of ``data``."""
+        same = self.sizes[at] == size
+        at, start, size = at[same], start[same], size[same]
+        if len(at):
+            differs = self.data[spans(self.starts()[at], size)] != data[spans(start, size)]
+            same[same] = np.add.reduceat(differs, np.cumsum(size) - size) == 0
+        return same
+
+    def texts(self) -> list[str]:
+        raw, ends = self.data.tobytes(), np.cumsum(self.sizes)
+        return [raw[a:b].decode() for a, b in zip((ends - self.sizes).tolist(), ends.tolist(), strict=True)]
+
+    def size(self) -> int:
+        return self.data.nbytes + self.sizes.nbytes
+
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_CLOSING = np.zeros(256, dtype=bool)
+_CLOSING[[44, 46]] = True                   # comma, full stop
+_KEPT = np.zeros(256, dtype=np.int32)       # bytes whose words are not lowered: "<" and non-ASCII
+_KEPT[60] = _KEPT[128:] = 1
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
+
 _encoders: dict[str, Encoder] = {}
 
 
 def _encoder(path: str) -> Encoder:
+    import json
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        _encoders[path] = (WordEncoder if word_by_word(spec) else Encoder)(Tokenizer.from_file(path))
     return _encoders[path]
 
 
@@ -203,16 +337,16 @@ def _blocks(batches, path, end_id, block_ids):
 
     encoder = _encoder(path)
     for batch in slices(batches):
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for name, ids in zip(batch.column("doc_id").to_pylist(), encoder.texts(texts), strict=True):
-            n = len(ids) // 4 + 1
-            if names and size + n > block_ids:
+        ids, counts = encoder.texts(batch.column("text"))
+        stops = np.cumsum(counts)
+        for name, n, stop in zip(batch.column("doc_id").to_pylist(), counts.tolist(), stops.tolist(), strict=True):
+            if names and size + n + 1 > block_ids:
                 yield block()
                 skip += size
                 names, pieces, ends, size = [], [], [], 0
             names.append(name)
-            pieces += [ids, end]
-            size += n
+            pieces += [ids[stop - n: stop].tobytes(), end]
+            size += n + 1
             ends.append(size)
     if names:
         yield block()
@@ -271,4 +405,4 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFra
     return read_tokens(docs.sparkSession, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-__all__ = ["EliasFano", "Encoder", "pack_block", "read_tokens", "token_rows", "unpack_block", "write_tokens"]
+__all__ = ["EliasFano", "Encoder", "WordEncoder", "pack_block", "read_tokens", "token_rows", "unpack_block", "word_by_word", "write_tokens"]
