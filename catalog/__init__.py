@@ -1,5 +1,5 @@
-from . import combining, comparing, encoding, ensembles, exploring, learning, linear, measuring, preparing, scanning, trees
+from . import combining, comparing, encoding, ensembles, exploring, learning, linear, measuring, players, preparing, scanning, sparse, trees
 from .registry import CATALOG
 
 __all__ = ["CATALOG", "combining", "comparing", "encoding", "ensembles", "exploring", "learning", "linear", "measuring",
-           "preparing", "scanning", "trees"]
+           "players", "preparing", "scanning", "sparse", "trees"]

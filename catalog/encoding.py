@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tabquorum.operators.encode import (assembler, chained, decode_prediction, label_indexer,
                                         string_indexer, vector_entries)
-from tabquorum.operators.ranking import frequency_index
+from tabquorum.operators.ranking import apply_index, decode_index, fit_index, frequency_index
+from tabquorum.operators.splitting import hash_split
 from tabquorum.sources import table
 
+from .frames import hashed_sql
 from .registry import query
 
 
@@ -97,3 +99,33 @@ def chained_stages(spark, sf_dir):
                         F.col("o_orderstatus_indexed").alias("status"),
                         F.col("o_orderpriority_indexed").alias("priority"))
                .agg(F.count(F.lit(1)).alias("n")))
+
+
+# --- an index fitted on training rows, applied to the others --------------------------------------
+
+FIT_SQL = f"""sides AS (SELECT o_orderkey, o_custkey, h0 % 100 < 70 AS train FROM {hashed_sql('orders', 'o_orderkey')}),
+fitted AS (SELECT o_custkey AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS DOUBLE) AS position
+           FROM sides WHERE train GROUP BY o_custkey)"""
+
+
+def split_orders(spark, sf_dir):
+    return hash_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("o_orderkey"), 70)
+
+
+@query("index_keep_unseen", f"""WITH {FIT_SQL}
+SELECT o_orderkey, coalesce(position, (SELECT CAST(count(*) AS DOUBLE) FROM fitted)) AS idx
+FROM sides LEFT JOIN fitted ON v = o_custkey WHERE NOT train""")
+def index_keep_unseen(spark, sf_dir):
+    """Customers by their frequency in the training orders; new ones share one more position."""
+    train, test = split_orders(spark, sf_dir)
+    return apply_index(test, fit_index(train, "o_custkey"), "o_custkey", "idx", "keep", hot_labels=50).select("o_orderkey", "idx")
+
+
+@query("index_skip_unseen", f"""WITH {FIT_SQL}
+SELECT o_orderkey, position AS idx, CAST(o_custkey AS VARCHAR) AS customer FROM sides JOIN fitted ON v = o_custkey WHERE NOT train""")
+def index_skip_unseen(spark, sf_dir):
+    """The same without orders of new customers, and decoded again."""
+    train, test = split_orders(spark, sf_dir)
+    index = fit_index(train, "o_custkey")
+    known = apply_index(test, index, "o_custkey", "idx", "skip", hot_labels=50)
+    return decode_index(known, index, "idx", "customer", hot_labels=50).select("o_orderkey", "idx", "customer")

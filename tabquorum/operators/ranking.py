@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialize
+from ..sources.shared import materialize, release
 
 _PART_SHIFT = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -50,28 +50,70 @@ def global_row_number(df: DataFrame, order: list, out: str) -> tuple[DataFrame,
     return numbered, path
 
 
-def frequency_index(df: DataFrame, column: str, out: str, hot_labels: int = 1_000) -> DataFrame:
-    """0.0 for the most frequent value, 1.0 for the next; equal counts in text order.
+UNSEEN = ("error", "skip", "keep")
+
+
+def fit_index(df: DataFrame, column: str) -> DataFrame:
+    """The values of a column with their positions by frequency, as a table (value, position, n).
 
-    Positions are computed in a distributed sort of one row per value and joined back: the
-    ``hot_labels`` most frequent values through a broadcast of that many rows, the rest, none
-    of which is frequent, through a shuffle in which settled rows (nulls and hot values) are
-    dealt evenly. Nulls stay null, and the column carries no class metadata, whatever the number
-    of values. The table of positions stays in the shared folder, as the result reads it.
+    Position 0.0 is the most frequent value; equal counts are in text order; nulls are no value. The
+    positions come from a distributed sort of one row per value, so any number of values is indexed.
+    The table stays in the shared folder: fit it on one frame, apply it to others.
     """
     text = F.col(f"`{column}`").cast("string")
-    counts = (df.where(text.isNotNull()).groupBy(text.alias("_value"))
-                .agg(F.count(F.lit(1)).alias("_n")))
-    numbered, _ = global_row_number(counts, [F.desc("_n"), F.asc("_value")], "_pos")
-    index = numbered.select("_value", F.col("_pos").cast("double").alias("_index"))
-    hot = index.where(F.col("_index") < hot_labels).withColumnRenamed("_index", "_hot")
-    rest = (index.where(F.col("_index") >= hot_labels)
-                 .select(F.col("_value").alias("_rest"), F.xxhash64("_value").alias("_slot"), "_index"))
-    settled = F.col("_hot").isNotNull() | F.col("_value").isNull()
-    rows = (df.withColumn("_value", text).join(F.broadcast(hot), "_value", "left")
-              .withColumn("_rest", F.when(~settled, F.col("_value")))
-              .withColumn("_slot", F.when(settled, F.xxhash64(F.monotonically_increasing_id()))
-                                    .otherwise(F.xxhash64("_value"))))
+    counts = df.where(text.isNotNull()).groupBy(text.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    numbered, path = global_row_number(counts, [F.desc("n"), F.asc("value")], "position")
+    index, _ = materialize(numbered.select("value", F.col("position").cast("double").alias("position"), "n"), "index")
+    release(df.sparkSession, path)
+    return index
+
+
+def _looked_up(df: DataFrame, index: DataFrame, key: str, found: str, wanted: Column, out: str, hot: Column) -> DataFrame:
+    """``df`` with ``out``: column ``found`` of the index row whose ``key`` equals ``wanted``, or null.
+
+    The rows of the index that ``hot`` selects, a fixed number, are broadcast; the others, none of
+    which is frequent, are joined through a shuffle in which settled rows are dealt evenly.
+    """
+    own = {c: f"_own{i}" for i, c in enumerate(df.columns)}
+    rows = df.select(wanted.alias("_wanted"), *[F.col(f"`{c}`").alias(a) for c, a in own.items()])
+    common = index.where(hot).select(F.col(key).alias("_wanted"), F.col(found).alias("_common"))
+    rest = index.where(~hot).select(F.col(key).alias("_rest"), F.xxhash64(key).alias("_slot"), F.col(found).alias("_found"))
+    settled = F.col("_common").isNotNull() | F.col("_wanted").isNull()
+    rows = (rows.join(F.broadcast(common), "_wanted", "left")
+                .withColumn("_rest", F.when(~settled, F.col("_wanted")))
+                .withColumn("_slot", F.when(settled, F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64("_wanted"))))
     # the slot is a key of its own on both sides: a constant would be taken out of the join
     return rows.join(rest, ["_rest", "_slot"], "left").select(
-        *[F.col(f"`{c}`") for c in df.columns], F.coalesce("_hot", "_index").alias(out))
+        *[F.col(a).alias(c) for c, a in own.items()], F.coalesce("_common", "_found").alias(out))
+
+
+def apply_index(df: DataFrame, index: DataFrame, column: str, out: str, unseen: str = "error", hot_labels: int = 1_000) -> DataFrame:
+    """``df`` with the position of each value in a fitted index.
+
+    A value the index does not have raises an error when rows are read (``error``), drops its row
+    (``skip``) or gets the number of values in the index (``keep``). Nulls stay null. The column
+    carries no class metadata, whatever the number of values.
+    """
+    if unseen not in UNSEEN:
+        raise ValueError(f"unseen must be one of {UNSEEN}, not {unseen}")
+    text = F.col(f"`{column}`").cast("string")
+    rows = _looked_up(df, index, "value", "position", text, out, F.col("position") < hot_labels)
+    new = F.col(f"`{out}`").isNull() & text.isNotNull()
+    if unseen == "skip":
+        return rows.where(~new)
+    other = (F.raise_error(F.concat(F.lit(f"value of {column} not in the index: "), text)).cast("double") if unseen == "error"
+             else F.lit(float(index.count())))
+    return rows.withColumn(out, F.when(new, other).otherwise(F.col(f"`{out}`")))
+
+
+def decode_index(df: DataFrame, index: DataFrame, column: str, out: str, hot_labels: int = 1_000) -> DataFrame:
+    """``df`` with the value that stands at the position in ``column``; null where none does."""
+    return _looked_up(df, index, "position", "value", F.col(f"`{column}`").cast("double"), out, F.col("position") < hot_labels)
+
+
+def frequency_index(df: DataFrame, column: str, out: str, hot_labels: int = 1_000) -> DataFrame:
+    """0.0 for the most frequent value of ``df`` itself, 1.0 for the next; equal counts in text order.
+
+    Nulls stay null; see ``fit_index`` and ``apply_index``.
+    """
+    return apply_index(df, fit_index(df, column), column, out, "keep", hot_labels)
