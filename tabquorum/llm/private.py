@@ -1,10 +1,12 @@
 """Personal data by weak supervision. DataFrame functions only.
 
 Strict patterns give the base spans. Looser patterns propose more; a regex, a gazetteer, a
-context and a boundary labeler vote on every proposal and every base span, expectation
-maximisation over the counts of vote patterns estimates how reliable each labeler is, and the
-resulting soft labels train a naive Bayes classifier over span features, which decides about the
-proposals. Only tables of fixed size (vote patterns, feature values) reach the driver.
+context and a boundary labeler vote (-1, 0, 1) on every proposal and every base span. Per kind,
+expectation maximisation over the counts of vote patterns estimates how reliable each labeler is,
+with base spans known to be true; the soft labels it gives train a naive Bayes classifier over
+span features, which decides about the proposals. All smoothing is a share of the counts, so a
+text's spans are the same however often the table's rows are repeated. Only tables of fixed size
+(vote patterns, feature values) reach the driver.
 """
 
 from __future__ import annotations
@@ -30,18 +32,34 @@ LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{1,63}+)++",
     "phone": r"(?<![0-9+])(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "name": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Don|Doña|Señor|Señora)\.? \p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?",
-    "secret": r"(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key)(?-i)[\"']? ?[:=] ?[\"']?[A-Za-z0-9_-]{8,256}+[\"']?",
+    "secret": r"(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key)(?-i)[\"']? ?[:=] ?[\"']?[A-Za-z0-9_-]{4,256}+[\"']?",
+    "card": r"(?<![0-9.+-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![0-9])",
 }
 KINDS = ["email", "ip", "card", "phone", "name", "secret"]
 LABELERS = ["regex", "gazetteer", "context", "boundary"]
+# Words before a span that speak for its kind, and against any.
 CUES = {
     "email": "mail|kontakt|contact|write|correo|courriel", "ip": "ip|host|server|address|adresse",
     "card": "card|visa|credit|karte|carte|tarjeta", "phone": "phone|tel|call|mobile|anruf|appel|llama",
     "name": "name|by|from|von|signed|dear|sehr|cher|estimad", "secret": "auth|login|api|key|bearer|config",
 }
-AGAINST = r"(?i)(version|license|licence|isbn|issn|doi|page|chapter|seite|section|copyright|figure|table)\W{0,3}$"
-TOP_DOMAINS = "com|org|net|edu|gov|io|info|de|fr|es|uk|eu|ch|at|it|nl|be|us|ca|mx|ar"
-ROUNDS, SMOOTH, BLOCK = 50, 1.0, 256
+AGAINST = r"(?i)(version|license|licence|isbn|issn|doi|page|chapter|seite|section|copyright|figure|table|example|sample)\W{0,3}$"
+# Fixed values, the gazetteers: top domains, card issuers' first digits, given names and surnames
+# common in the four languages, and values that only stand for a secret.
+TOP_DOMAINS = "com|org|net|edu|gov|mil|int|io|info|biz|de|fr|es|uk|eu|ch|at|it|nl|be|us|ca|mx|ar|pt|br|pl|se|no|dk|fi|jp|cn|in|au"
+ISSUERS = "^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35|36|62)"
+GIVEN = ("Anna|Maria|Peter|Paul|John|James|Mary|Robert|Michael|David|Thomas|Hans|Karl|Klaus|Stefan|Julia|Laura|Sofia|Lucia|Carlos|Juan|"
+         "José|Luis|Miguel|Carmen|Pierre|Jean|Jacques|Marie|Claire|Louis|Sophie|Emma|Lukas|Martin|Elena|Pablo|Antonio|Sarah|Linda")
+SURNAMES = ("Smith|Jones|Brown|Taylor|Miller|Wilson|Davis|Müller|Schmidt|Schneider|Fischer|Weber|Meyer|Wagner|Becker|Martin|Bernard|Dubois|"
+            "Durand|Moreau|Laurent|García|Fernández|González|Rodríguez|López|Martínez|Sánchez|Pérez|Gómez|Hoffmann|Johnson|Williams|Clark")
+PLACEHOLDER = "(?i)(?:example|changeme|your|xxxx|test|none|null|dummy|placeholder|sample|1234|abcd|password|secret)"
+ROUNDS, BLOCK = 50, 256
+# What is believed of the labelers before any count, as P(vote | truth) for (-1, 0, 1); it weighs as
+# much as the share WEIGHT of a kind's spans. A feature value is taken to be one of VALUES.
+WEIGHT = 0.5
+TRUE = [(0.10, 0.30, 0.60), (0.15, 0.45, 0.40), (0.05, 0.65, 0.30), (0.10, 0.05, 0.85)]
+FALSE = [(0.60, 0.30, 0.10), (0.40, 0.45, 0.15), (0.15, 0.75, 0.10), (0.25, 0.05, 0.70)]
+VALUES = 20
 
 
 def _prefix(lengths: Column) -> Column:
@@ -105,22 +123,37 @@ def _valid(x: Column) -> Column:
             .when(kind == "phone", F.length(digits).between(10, 15)).otherwise(True))
 
 
+def _value(text: Column) -> Column:
+    """What a secret is set to."""
+    return F.regexp_extract(text, r"[:=] ?[\"']?([A-Za-z0-9_-]+)", 1)
+
+
 def _votes(x: Column) -> Column:
     """Votes of the four labelers (-1, 0, 1) on one span."""
     kind, text = x["kind"], x["text"]
-    digits = _digits(text)
-    gazetteer = (F.when(kind == "email", F.when(F.lower(text).rlike(rf"(?:\.|dot[\])] ?)(?:{TOP_DOMAINS})$"), 1).otherwise(-1))
-                 .when(kind == "card", F.when(digits.rlike("^[3-6]"), 1).otherwise(-1))
-                 .when(kind == "ip", F.when(text.rlike(r"^(?:0|127|255)\."), -1).otherwise(0))
-                 .when(kind == "phone", F.when(digits.rlike(r"555[0-9]{4}$|^(?:1|33|34|44|49)"), 1).otherwise(0))
-                 .when(kind == "secret", F.when(text.rlike("[0-9]") & text.rlike("[A-Za-z].*[=:]"), 1).otherwise(-1))
+    digits, value = _digits(text), _value(text)
+    vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
+    strict = (F.when(x["base"], 1)
+              .when(kind == "email", vote(F.lower(text).rlike(r"(?:\.|dot[\])] ?)[a-z]{2,6}$"), text.rlike("[0-9]$")))
+              .when(kind == "card", vote(F.length(digits).between(14, 19) & luhn(digits), ~luhn(digits)))
+              .when(kind == "phone", vote(digits.rlike("^[2-9][0-9]{2}[2-9]"), digits.rlike("^[01]|^[0-9]{3}[01]")))
+              .when(kind == "name", vote(text.rlike(r" \p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$"), F.lit(False)))
+              .when(kind == "secret", vote((F.length(value) >= 16) & value.rlike("[0-9]") & value.rlike("[A-Za-z]"),
+                                           (F.length(value) < 8) | ~value.rlike("[0-9]")))
+              .otherwise(0))
+    gazetteer = (F.when(kind == "email", vote(F.lower(text).rlike(rf"(?:\.|dot[\])] ?)(?:{TOP_DOMAINS})$"), F.lit(True)))
+                 .when(kind == "card", vote(digits.rlike(ISSUERS), F.lit(True)))
+                 .when(kind == "ip", vote(F.lit(False), text.rlike(r"^(?:0|127|255)\.")))
+                 .when(kind == "phone", vote(digits.rlike(r"555[0-9]{4}$|^(?:1|33|34|44|49)"), F.lit(False)))
+                 .when(kind == "name", vote(text.rlike(rf" (?:{GIVEN}|{SURNAMES})(?: |$)"), F.lit(False)))
+                 .when(kind == "secret", vote(F.lit(False), value.rlike(PLACEHOLDER)))
                  .otherwise(0))
     cues = F.lit(None)
     for name, words in CUES.items():
         cues = F.when(kind == name, F.lower(x["before"]).rlike(words)).otherwise(cues)
     context = F.when(x["before"].rlike(AGAINST), -1).when(cues, 1).otherwise(0)
     boundary = F.when(x["before"].rlike(r"[\p{L}\p{N}]$") | x["after"].rlike(r"^[\p{L}\p{N}]"), -1).otherwise(1)
-    return F.array(F.when(x["base"], 1).otherwise(0), gazetteer, context, boundary)
+    return F.array(strict, gazetteer, context, boundary)
 
 
 def _side(text: Column) -> Column:
@@ -135,40 +168,75 @@ def _features(x: Column) -> Column:
     return F.array(named("length", F.least(F.floor(F.length(x["text"]) / 4), F.lit(15))),
                    named("digits", F.least(digits, F.lit(20))), named("left", _side(F.right(x["before"], F.lit(1)))),
                    named("right", _side(F.left(x["after"], F.lit(1)))),
-                   named("cue", F.element_at(x["votes"], 3)))
+                   *[named(labeler, F.element_at(x["votes"], i + 1)) for i, labeler in enumerate(LABELERS)])
 
 
 @dataclass(frozen=True)
 class Reliability:
-    """Estimates of one run: prior by kind, P(vote | truth) by labeler, posterior by pattern."""
+    """Estimates by kind: prior, P(vote | truth) by labeler, and the posterior by (kind, votes)."""
     prior: dict[str, float]
-    vote: list[dict[tuple[int, bool], float]]
+    vote: dict[str, list[dict[tuple[int, bool], float]]]
     posterior: dict[tuple[str, tuple[int, ...]], float]
 
 
-def estimate(patterns: list[tuple[str, tuple[int, ...], int]]) -> Reliability:
-    """Two-class expectation maximisation over (kind, votes, count); at most 6 * 3**4 patterns."""
-    post = {(k, v): 1 / (1 + math.exp(-sum(v))) for k, v, _ in patterns}
+def believed(votes: tuple[int, ...]) -> float:
+    """Probability that a span is true by the beliefs alone, true and not true alike before the votes."""
+    odds = math.prod(TRUE[i][s + 1] / FALSE[i][s + 1] for i, s in enumerate(votes))
+    return odds / (1 + odds)
+
+
+def estimate(patterns: list[tuple[str, bool, tuple[int, ...], int]]) -> Reliability:
+    """Expectation maximisation over (kind, base, votes, count), kind by kind; base spans are true.
+
+    At most 2 * 6 * 3**4 patterns. Multiplying all counts by one number changes nothing.
+    """
     prior: dict[str, float] = {}
-    vote: list[dict[tuple[int, bool], float]] = []
-    for _ in range(ROUNDS):
-        for kind in {k for k, _, _ in patterns}:
-            n = sum(c for k, _, c in patterns if k == kind)
-            prior[kind] = (sum(c * post[k, v] for k, v, c in patterns if k == kind) + SMOOTH) / (n + 2 * SMOOTH)
-        vote = []
-        for i in range(len(LABELERS)):
-            table = {}
-            for truth in (True, False):
-                mass = {s: SMOOTH for s in (-1, 0, 1)}
-                for k, v, c in patterns:
-                    mass[v[i]] += c * (post[k, v] if truth else 1 - post[k, v])
-                table |= {(s, truth): m / sum(mass.values()) for s, m in mass.items()}
-            vote.append(table)
-        for k, v, _ in patterns:
-            odds = math.log(prior[k] / (1 - prior[k])) + sum(
-                math.log(vote[i][s, True] / vote[i][s, False]) for i, s in enumerate(v))
-            post[k, v] = 1 / (1 + math.exp(-max(min(odds, 30), -30)))
-    return Reliability(prior, vote, post)
+    vote: dict[str, list[dict[tuple[int, bool], float]]] = {}
+    posterior: dict[tuple[str, tuple[int, ...]], float] = {}
+    for kind in sorted({k for k, *_ in patterns}):
+        known = [(v, n) for k, base, v, n in patterns if k == kind and base]
+        asked = [(v, n) for k, base, v, n in patterns if k == kind and not base]
+        total = sum(n for _, n in known + asked)
+        post = {v: believed(v) for v, _ in asked}
+        for _ in range(ROUNDS):
+            true = sum(n for _, n in known) + sum(n * post[v] for v, n in asked)
+            # the prior is that of proposals: base spans say nothing about how many of those are true
+            open_ = sum(n for _, n in asked)
+            prior[kind] = (sum(n * post[v] for v, n in asked) + WEIGHT * total / 2) / (open_ + WEIGHT * total)
+            vote[kind] = []
+            for i in range(len(LABELERS)):
+                table = {}
+                for truth in (True, False):
+                    mass = {s: WEIGHT * total * (TRUE if truth else FALSE)[i][s + 1] for s in (-1, 0, 1)}
+                    for v, n in asked:
+                        mass[v[i]] += n * (post[v] if truth else 1 - post[v])
+                    for v, n in known if truth else []:
+                        mass[v[i]] += n
+                    size = WEIGHT * total + (true if truth else total - true)
+                    table |= {(s, truth): m / size for s, m in mass.items()}
+                vote[kind].append(table)
+            for v, _ in asked:
+                odds = math.log(prior[kind] / (1 - prior[kind])) + sum(
+                    math.log(vote[kind][i][s, True] / vote[kind][i][s, False]) for i, s in enumerate(v))
+                post[v] = 1 / (1 + math.exp(-max(min(odds, 30), -30)))
+        posterior |= {(kind, v): p for v, p in post.items()}
+    return Reliability(prior, vote, posterior)
+
+
+def feature_weights(mass: dict[str, tuple[float, float]], spans: dict[str, float]) -> dict[str, float]:
+    """Log ratio of each feature value (``kind|feature|value``) from its soft counts (true, not true);
+    ``spans`` has the spans of each kind."""
+    totals: dict[str, list[float]] = {}
+    for f, (yes, no) in mass.items():
+        sums = totals.setdefault(f.rsplit("|", 1)[0], [0.0, 0.0])
+        sums[0] += yes
+        sums[1] += no
+    out = {}
+    for f, (yes, no) in mass.items():
+        all_yes, all_no = totals[f.rsplit("|", 1)[0]]
+        share = 0.1 * WEIGHT * spans[f.split("|", 1)[0]] / VALUES
+        out[f] = math.log((yes + share) / (all_yes + VALUES * share)) - math.log((no + share) / (all_no + VALUES * share))
+    return out
 
 
 def _literal_map(values: dict[str, float]) -> Column:
@@ -191,7 +259,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
     gates = [F.col("_at"), F.col("_digit"), F.col("_digit"), F.col("_digit") & F.contains(text, F.lit("+")),
              some(text, "(at)", "[at]", "(AT)", "[AT]"), F.col("_digit"),
              some(text, "Mr", "Ms", "Dr", "Prof", "Herr ", "Frau ", "Monsieur ", "Madame ", "Don ", "Doña ", "Señor"),
-             some(lower, "token", "secret", "passw", "api")]
+             some(lower, "token", "secret", "passw", "api"), F.col("_digit")]
     patterns = [(k, True, x) for k, x in BASE.items()] + [(k, False, x) for k, x in LOOSE.items()]
     df = df.withColumns({f"_m{i}": F.when(gate, F.regexp_extract_all("text", F.lit(x), F.lit(0)))
                          for i, (gate, (_, _, x)) in enumerate(zip(gates, patterns, strict=True))})
@@ -219,7 +287,7 @@ def _joined(spans: Column) -> Column:
 
 
 def personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Personal data of every row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
+    """Personal data of every row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans.
 
     ``docs`` has columns doc_id and text; others are not looked at. Null and empty texts have no
     spans; rows are judged one by one, repeated rows alike; an empty table gives no rows. The
@@ -227,24 +295,18 @@ def personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """
     found, _ = materialize(find_spans(docs), "spans")
     every = found.select(F.explode(F.concat("base", "loose")).alias("x")).select("x.*")
-    patterns = [(r.kind, tuple(r.votes), r.n) for r in
-                every.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()]
+    patterns = [(r.kind, r.base, tuple(r.votes), r.n) for r in
+                every.groupBy("kind", "base", "votes").agg(F.count("*").alias("n")).collect()]
     told = estimate(patterns)
     key = F.concat_ws("|", "kind", F.array_join(F.transform("votes", lambda v: v.cast("string")), ","))
     posterior = _literal_map({f"{k}|{','.join(map(str, v))}": p for (k, v), p in told.posterior.items()})
-    soft = every.withColumn("p", F.element_at(posterior, key))
+    soft = every.withColumn("p", F.when(F.col("base"), 1.0).otherwise(F.element_at(posterior, key)))
     mass = {r.f: (r.yes, r.no) for r in soft.select(F.explode("features").alias("f"), "p").groupBy("f").agg(
         F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()}
-    totals: dict[str, list[float]] = {}
-    for f, (yes, no) in mass.items():
-        sums = totals.setdefault(f.rsplit("|", 1)[0], [0.0, 0.0])
-        sums[0] += yes
-        sums[1] += no
-    ratio = {}
-    for f, (yes, no) in mass.items():
-        all_yes, all_no = totals[f.rsplit("|", 1)[0]]
-        ratio[f] = math.log((yes + SMOOTH) / (all_yes + 20 * SMOOTH)) - math.log((no + SMOOTH) / (all_no + 20 * SMOOTH))
-    weights = _literal_map(ratio)
+    counts: dict[str, float] = {}
+    for kind, _, _, n in patterns:
+        counts[kind] = counts.get(kind, 0) + n
+    weights = _literal_map(feature_weights(mass, counts))
     prior = _literal_map({k: math.log(p / (1 - p)) for k, p in told.prior.items()})
     score = lambda x: F.coalesce(F.element_at(prior, x["kind"]), F.lit(0.0)) + F.aggregate(
         x["features"], F.lit(0.0), lambda a, f: a + F.coalesce(F.element_at(weights, f), F.lit(0.0)))
@@ -253,4 +315,5 @@ def personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     df = found.withColumn("added", added)
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     return df.select("doc_id", *[count(k) for k in BASE], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-                     _joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+                     _joined(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+                     (F.size("base") + F.size("added")).cast("long").alias("n_spans"))

@@ -283,10 +283,12 @@ class _Runs:
 
     def __init__(self, blobs: list[tuple[int, bytes]], length: int, limit: int, part: int = 0, parts: int = 1):
         self.length, self.shards, self.copies = length, [], []
-        runs = [self._runs(raw) for _, raw in blobs]
-        kept = self._distinct(blobs, runs)
-        hashes = [self._hashes(raw, run, own, part, parts) for (_, raw), run, own in zip(blobs, runs, kept, strict=True)]
-        every = np.sort(np.concatenate([h for h, _, _ in hashes]))
+        runs, texts = zip(*[self._runs(raw) for _, raw in blobs], strict=True)
+        names, hashes = zip(*[self._hashes(t, r) for t, r in zip(texts, runs, strict=True)], strict=True)
+        kept = self._distinct(blobs, runs, texts, names)
+        asked = [self._strings(r, own, h, part, parts) for r, own, h in zip(runs, kept, hashes, strict=True)]
+        del names, hashes
+        every = np.sort(np.concatenate([h for h, _, _ in asked]))
         shared = np.unique(every[1:][every[1:] == every[:-1]])
         del every
         if not len(shared):
@@ -294,17 +296,16 @@ class _Runs:
         near = np.zeros(1 << 20, dtype=bool)
         near[shared >> np.uint32(12)] = True
         held, size = [], 0
-        for (number, raw), (first, sizes, owner, begin), (hash_, run, inside) in zip(blobs, runs, hashes, strict=True):
+        for (number, _), text, (first, _, owner, begin), (hash_, run, inside) in zip(blobs, texts, runs, asked, strict=True):
             here = np.flatnonzero(near[hash_ >> np.uint32(12)])
             here = here[shared[np.minimum(np.searchsorted(shared, hash_[here]), len(shared) - 1)] == hash_[here]]
             if not len(here):
                 continue
             run, inside = run[here], inside[here]
             at = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (inside[1:] != inside[:-1] + 1)]))
-            spans = np.diff(np.append(at, len(run))) + length - 1
+            sizes = np.diff(np.append(at, len(run))) + length - 1
             run, inside = run[at], inside[at]
-            text = _unpack(raw, *_BLOB)[3]
-            held.append((np.full(len(at), number), first[run] + inside, spans, owner[run], text[spans(begin[run] + inside, spans)]))
+            held.append((np.full(len(at), number), first[run] + inside, sizes, owner[run], text[spans(begin[run] + inside, sizes)]))
             size += len(held[-1][-1])
             if size >= limit:
                 self._close(held)
@@ -313,18 +314,22 @@ class _Runs:
             self._close(held)
 
     def _runs(self, raw):
-        """Place, bytes, owner and begin in the text of each run."""
-        first, count, owner = _unpack(raw, *_BLOB[:3])
+        """Place, bytes, owner and begin in the text of each run, and the text."""
+        first, count, owner, text = _unpack(raw, *_BLOB)
         sizes = count.astype(np.int64) + self.length - 1
-        return np.cumsum(first, dtype=np.int64), sizes, np.cumsum(owner, dtype=np.int64), np.cumsum(sizes) - sizes
+        return (np.cumsum(first, dtype=np.int64), sizes, np.cumsum(owner, dtype=np.int64), np.cumsum(sizes) - sizes), text
 
-    def _distinct(self, blobs, runs) -> list[np.ndarray]:
+    def _hashes(self, text, runs):
+        """A 64-bit name of each run, from the hashes of its strings, and 32 bits of each of these."""
+        _, sizes, _, begin = runs
+        count = sizes - self.length + 1
+        starts = spans(begin, count)
+        hashes = run_hash(_SPREAD[text], starts, starts + self.length)
+        return np.add.reduceat(hashes, np.cumsum(count) - count), (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+    def _distinct(self, blobs, runs, texts, names) -> list[np.ndarray]:
         """Runs of each blob that are the smallest owner's of all runs with the same bytes. The strings of
         runs with a larger owner are repeated and noted as such; those of the same owner stay."""
-        names = []
-        for (_, raw), (_, sizes, _, begin) in zip(blobs, runs, strict=True):
-            text = _unpack(raw, *_BLOB)[3]
-            names.append(run_hash(_SPREAD[text], begin, begin + sizes) + sizes.astype(np.uint64))
         edges = np.cumsum([0, *map(len, names)])
         name, owner = np.concatenate(names), np.concatenate([r[2] for r in runs])
         turn = np.lexsort((owner, name))
@@ -332,51 +337,50 @@ class _Runs:
         model = np.empty(len(turn), dtype=np.int64)
         model[turn] = turn[np.maximum.accumulate(np.where(head, np.arange(len(turn)), 0))]
         later = np.flatnonzero(owner > owner[model])
-        later = later[self._equal(blobs, runs, edges, later, model[later])]
+        later = later[self._equal(texts, runs, later, model[later])]
         gone = np.zeros(len(turn), dtype=bool)
         gone[later] = True
         kept = []
         for i, ((number, _), (first, sizes, _, _)) in enumerate(zip(blobs, runs, strict=True)):
             out = gone[edges[i]: edges[i + 1]]
             self.copies.append((number, first[out], sizes[out] - self.length + 1))
-            kept.append(np.flatnonzero(~out))
+            kept.append(~out)
         return kept
 
     @staticmethod
-    def _equal(blobs, runs, edges, a, b) -> np.ndarray:
+    def _equal(texts, runs, a, b) -> np.ndarray:
         """Whether runs ``a`` and ``b`` (numbers over all blobs) have the same bytes."""
-        texts, begin = [], []
-        base = 0
-        for (_, raw), (_, _, _, at) in zip(blobs, runs, strict=True):
-            texts.append(_unpack(raw, *_BLOB)[3])
-            begin.append(at + base)
-            base += len(texts[-1])
-        text, begin = np.concatenate(texts), np.concatenate(begin)
+        bases = np.cumsum([0, *map(len, texts)])
+        text, begin = np.concatenate(texts), np.concatenate([r[3] + base for r, base in zip(runs, bases, strict=False)])
         sizes = np.concatenate([r[1] for r in runs])
         same = sizes[a] == sizes[b]
-        for at in range(0, len(a), 100_000):
-            x, y = a[at: at + 100_000], b[at: at + 100_000]
+        for at in range(0, len(a), 20_000):
+            x, y = a[at: at + 20_000], b[at: at + 20_000]
             size = np.minimum(sizes[x], sizes[y])
             differs = text[spans(begin[x], size)] != text[spans(begin[y], size)]
-            same[at: at + 100_000] &= np.add.reduceat(differs, np.cumsum(size) - size) == 0
+            same[at: at + 20_000] &= np.add.reduceat(differs, np.cumsum(size) - size) == 0
         return same
 
-    def _hashes(self, raw, runs, own, part, parts):
-        """32-bit hash, run and place in the run of every string of the runs ``own``."""
-        _, sizes, _, begin = runs
-        count = sizes[own] - self.length + 1
-        run, inside = np.repeat(own, count), spans(np.zeros(len(own), np.int64), count)
-        starts = begin[run] + inside
-        hashes = run_hash(_SPREAD[_unpack(raw, *_BLOB)[3]], starts, starts + self.length)
+    def _strings(self, runs, own, hashes, part, parts):
+        """32-bit hash, run and place in the run of the strings of the runs ``own``."""
+        count = runs[1] - self.length + 1
+        here = np.repeat(own, count)
+        run = np.repeat(np.flatnonzero(own).astype(np.int32), count[own])
+        inside = spans(np.zeros(len(count[own]), np.int64), count[own]).astype(np.int32)
+        hashes = hashes[here]
         if parts > 1:
-            mine = (hashes >> np.uint64(32)) % np.uint64(parts) == part
+            mine = hashes % np.uint32(parts) == part
             hashes, run, inside = hashes[mine], run[mine], inside[mine]
-        return (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), run.astype(np.int32), inside.astype(np.int32)
+        return hashes, run, inside
 
     def _close(self, part) -> None:
         """Classes of one shard: per valid place its slice, place there, owner and class."""
         number, first, sizes, owner, text = (np.concatenate(x) for x in zip(*part, strict=True))
         begin = np.cumsum(sizes) - sizes
+        turn = np.argsort(mix(np.arange(len(sizes), dtype=np.uint64)))  # neighbours of copies must not line up: equal runs of runs take long to sort
+        text = text[spans(begin[turn], sizes[turn])]
+        number, first, sizes, owner = number[turn], first[turn], sizes[turn], owner[turn]
+        begin = np.cumsum(sizes) - sizes
         run = np.repeat(np.arange(len(sizes)), sizes)
         inside = np.arange(len(text)) - begin[run]
         place, of, least = string_classes(text, inside + self.length <= sizes[run], owner[run], self.length)

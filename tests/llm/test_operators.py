@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import struct
@@ -254,9 +255,70 @@ def test_personal_data(spark, docs, empty):
 
 
 def test_labelers_are_weighed_by_agreement():
-    told = private.estimate([("card", (1, 1, 0, 1), 500), ("card", (0, -1, 0, -1), 400), ("card", (0, -1, 1, -1), 60), ("card", (1, 1, -1, 1), 20)])
-    assert told.posterior["card", (1, 1, 0, 1)] > 0.95 > 0.05 > told.posterior["card", (0, -1, 0, -1)]
-    assert told.posterior["card", (0, -1, 1, -1)] < 0.5        # one unreliable cue does not outweigh two labelers
+    told = private.estimate([("card", True, (1, 1, 0, 1), 500), ("card", False, (-1, -1, 0, -1), 400), ("card", False, (-1, -1, 1, -1), 60),
+                             ("card", False, (1, 1, -1, 1), 20), ("secret", False, (1, 0, 0, 1), 3)])
+    assert told.posterior["card", (1, 1, -1, 1)] > 0.9 > 0.1 > told.posterior["card", (-1, -1, 0, -1)]
+    assert told.posterior["card", (-1, -1, 1, -1)] < 0.5       # one unreliable cue does not outweigh three labelers
+    assert told.posterior["secret", (1, 0, 0, 1)] > 0.9        # no other kind speaks about secrets
+
+
+def test_estimates_against_rows_counted_one_by_one():
+    """The same expectation maximisation over single spans instead of counted patterns."""
+    rng = random.Random(8)
+    spans = [(truth and rng.random() < 0.3, tuple(rng.choices((-1, 0, 1), (1, 3, 6) if truth else (6, 3, 1))[0] for _ in range(4)))
+             for truth in [rng.random() < 0.4 for _ in range(300)]]
+    spans = [(base, (1, *v[1:]) if base else v) for base, v in spans]
+    p = [1.0 if base else private.believed(v) for base, v in spans]
+    n = len(spans)
+    for _ in range(private.ROUNDS):
+        asked = [x for x, (base, _) in zip(p, spans, strict=True) if not base]
+        prior = (sum(asked) + private.WEIGHT * n / 2) / (len(asked) + private.WEIGHT * n)
+        seen = lambda i, s, truth: ((private.WEIGHT * n * (private.TRUE if truth else private.FALSE)[i][s + 1] + sum(
+            (x if truth else 1 - x) for x, (_, v) in zip(p, spans, strict=True) if v[i] == s))
+            / (private.WEIGHT * n + sum(x if truth else 1 - x for x in p)))
+        ratio = [{s: math.log(seen(i, s, True) / seen(i, s, False)) for s in (-1, 0, 1)} for i in range(4)]
+        p = [1.0 if base else 1 / (1 + math.exp(-(math.log(prior / (1 - prior)) + sum(ratio[i][s] for i, s in enumerate(v)))))
+             for base, v in spans]
+    told = private.estimate([("ip", base, v, c) for (base, v), c in Counter(spans).items()])
+    for x, (base, v) in zip(p, spans, strict=True):
+        assert base or told.posterior["ip", v] == pytest.approx(x, abs=1e-9)
+
+
+PII = ['token = "24be64439e3e49cf46b2d7c9"', "api_key: Zx81kd93ksLq02kd", "password = welcome", "secret: changeme1", "4111 1111 1111 1112",
+       "version 4111111111111112", "Mr. Peter Smith", "Dr. Foo", "bob [at] mail [dot] com", "x [at] y [dot] q9", "(555) 234-5678", "123 056 7890",
+       "4111-1111-1111-1111", "a@b.org", "contact 10.0.0.1"]
+
+
+def test_spans_do_not_depend_on_repeated_rows(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(PII) if rng.random() < 0.2 else prose(rng, 3) for _ in range(12)) for _ in range(150)]
+    spans = lambda times: {r.doc_id: r.spans for r in private.personal_data(spark.createDataFrame(
+        [(i, t) for t_ in range(times) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    once = spans(1)
+    assert once == spans(2) == spans(20)
+    found = lambda text: [k for i, t in enumerate(texts) for k in [text in t and f":{t.index(text)}:" in once[i]] if text in t]
+    assert all(found(PII[0])) and all(found(PII[1]))                           # strong secrets are added
+    assert not any(found(PII[2])) and not any(found(PII[4])) and not any(found(PII[5]))   # words and failing numbers are not
+
+
+def test_votes_on_proposals_differ(spark):
+    rows = private.find_spans(spark.createDataFrame(list(enumerate(PII)), "doc_id long, text string")).collect()
+    votes = {(s.kind, tuple(s.votes)) for r in rows for s in r.loose}
+    by_kind = Counter(kind for kind, _ in votes)
+    assert by_kind["secret"] >= 3 and by_kind["card"] >= 2 and by_kind["email"] >= 2 and by_kind["name"] >= 2 and by_kind["phone"] >= 2
+
+
+def test_planted_personal_data_is_found(spark, sf_dir):
+    """Every email, address, phone, passing card and hexadecimal token of the given documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = by_id(private.personal_data(docs))
+    planted = found = 0
+    for r in docs.collect():
+        text = r.text or ""
+        secrets = [m.start() for m in re.finditer(r'token = "[0-9a-f]{40}"', text)]
+        planted += len(secrets) + (base_spans(text) != "")
+        found += sum(f"secret:{a}:" in out[r.doc_id].spans for a in secrets) + (base_spans(text) != "" and out[r.doc_id].n_spans > 0)
+    assert planted and found >= 0.9 * planted
 
 
 # 5 ------------------------------------------------------------------------------------------
