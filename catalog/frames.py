@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabquorum.functions import band, text_shape
 from tabquorum.operators.encode import assembler
-from tabquorum.sources import kept, spread_small, table
+from tabquorum.sources import dealt, table
 
 TITLES = ["Mr", "Mrs", "Miss", "Master", "Don", "Countess", "Col", "Rev", "Lady", "Mme", "Capt",
           "Dr", "Sir", "Jonkheer", "Mlle", "Major", "Ms", "Dona"]
@@ -128,9 +128,9 @@ def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_task(spark: SparkSession, sf_dir: str, features=LINE_FEATURES) -> DataFrame:
     """``line_rows`` with the features as a vector and the classes in the metadata, kept for
     the many passes of training."""
-    rows = assembler(features).transform(spread_small(line_rows(spark, sf_dir)))
+    rows = assembler(features).transform(line_rows(spark, sf_dir))
     classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1", "2"], "name": "label"}}
-    return kept(rows.select("id", "features", "label").withMetadata("label", classes))
+    return dealt(rows.select("id", "features", "label").withMetadata("label", classes), "id")
 
 
 LINES_SQL = """
@@ -153,7 +153,7 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The shape is computed before the join, so texts are never shuffled by it.
     """
-    shapes = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    shapes = table(spark, sf_dir, "documents").select(
         "doc_id", *[c.alias(n) for n, c in text_shape(F.col("text")).items()])
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("label"))
@@ -162,5 +162,5 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1"], "name": "label"}}
-    return kept(assembler(QUALITY_FEATURES).transform(quality_rows(spark, sf_dir))
-                .select("doc_id", "features", "label").withMetadata("label", classes))
+    rows = assembler(QUALITY_FEATURES).transform(quality_rows(spark, sf_dir)).select("doc_id", "features", "label")
+    return dealt(rows.withMetadata("label", classes), "doc_id")

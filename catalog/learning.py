@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabquorum.operators import learners, metrics
 from tabquorum.operators.splitting import hash_split
 from tabquorum.plans import fit_predict
-from tabquorum.sources import inline_table, kept, schema_of, spread_small
+from tabquorum.sources import dealt, inline_table, schema_of
 
 from .frames import LINE_FEATURES, LINES_SQL, line_task, quality_task
 from .registry import query
@@ -82,12 +82,12 @@ def regressor_query(name: str, make, doc: str):
     def run(spark, sf_dir):
         from tabquorum.functions import text_shape
         from tabquorum.sources import table
-        docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
         shaped = docs.select("doc_id", F.col("n_chars").cast("double").alias("label"),
                              *[c.alias(n) for n, c in text_shape(F.col("text")).items()])
         rows = VectorAssembler(inputCols=["text_words", "distinct_word_share", "letter_share"],
                                outputCol="features").transform(shaped)
-        train, test = hash_split(kept(rows.select("doc_id", "label", "features")),
+        train, test = hash_split(dealt(rows.select("doc_id", "label", "features"), "doc_id"),
                                  F.col("doc_id"), 70)
         return metrics.mean_squared_error(fit_predict(make(), train, test))
     run.__doc__ = doc

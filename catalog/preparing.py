@@ -151,11 +151,9 @@ def impute_train_stats_on_test(spark, sf_dir):
     """The mean of the training side fills both sides."""
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", null_every("o_orderkey", 7, F.col("o_totalprice")).alias("price"))
-    train, test = hash_split(rows, F.col("o_orderkey"), 70)
-    means = fit_means(train, ["price"])
-    both = [fill_values(side, means).withColumn("side", F.lit(name))
-            for side, name in ((train, "train"), (test, "test"))]
-    return both[0].unionByName(both[1]).withColumn("price", F.round("price", 4))
+    learns = in_train(F.col("o_orderkey"), 70)
+    filled = fill_mean_lazy(rows, "price", where=learns)
+    return filled.select("o_orderkey", F.when(learns, "train").otherwise("test").alias("side"), F.round("price", 4).alias("price"))
 
 
 RECODE_SQL = "CASE title " + " ".join(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,11 +24,16 @@ def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return fill_values(df, fit_means(df, columns))
 
 
-def fill_mean_lazy(df: DataFrame, column: str, source: DataFrame | None = None) -> DataFrame:
-    """As ``fill_mean`` with the mean as a scalar subquery: no job until the result is used."""
+def fill_mean_lazy(df: DataFrame, column: str, source: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+    """As ``fill_mean`` with the mean as a scalar subquery: no job until the result is used.
+
+    The mean is that of ``source`` (``df`` itself by default), of the rows that ``where`` selects; with a
+    condition for training rows, one pass fills training and other rows alike.
+    """
     source = df if source is None else source
     kind = df.schema[column].dataType
-    mean = source.agg(F.coalesce(F.avg(F.col(f"`{column}`")), F.lit(0.0))).scalar()
+    value = F.col(f"`{column}`") if where is None else F.when(where, F.col(f"`{column}`"))
+    mean = source.agg(F.coalesce(F.avg(value), F.lit(0.0))).scalar()
     return df.withColumn(column, F.coalesce(F.col(f"`{column}`"), mean.cast(kind)))
 
 

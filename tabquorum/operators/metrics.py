@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.spread import estimated_bytes
-from .ranking import range_bucket
-
-RANGE_BYTES = 64 * 1024 * 1024
-
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per (label, prediction); everything class-based below starts from these."""
@@ -74,25 +69,23 @@ def area_under_roc(df: DataFrame, score: str = "score", label: str = "label",
     equal scores counting half.
 
     Rows are first reduced to one per distinct score, so a score shared by many rows costs
-    nothing later. Score ranges of about equal size are then ranked independently, and only
-    one row per range is ranked globally. Without ``buckets`` a range is given some 64 MB.
+    nothing later. The scores are dealt by range (in as many ranges as the session shuffles to, or in
+    ``buckets``), each range is ranked by itself, and only one row per range is ranked globally.
     Infinite scores rank below or above all others; rows whose score is null or not a number,
     or whose label is null, are left out.
     """
     df = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
-    if buckets is None:
-        buckets = min(8192, max(16, estimated_bytes(df) // RANGE_BYTES))
     positive = F.col(label).cast("double") > 0.5
-    per_score = (range_bucket(df.select(score, label), score, "_range", buckets)
-                 .groupBy("_range", score)
-                 .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")))
+    per_score = df.groupBy(score).agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+    dealt = per_score.repartitionByRange(score) if buckets is None else per_score.repartitionByRange(buckets, score)
+    per_score = dealt.withColumn("_range", F.spark_partition_id())
     lower = (Window.partitionBy("_range").orderBy(score)
              .rowsBetween(Window.unboundedPreceding, -1))
     beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg") / 2
     per_range = (per_score.withColumn("pairs", F.col("pos") * beaten).groupBy("_range")
                  .agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"),
                       F.sum("neg").alias("neg")))
-    # At most ``buckets`` rows from here on.
+    # One row a range from here on.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     total = per_range.withColumn(
         "pairs", F.col("pairs") + F.col("pos") * F.coalesce(F.sum("neg").over(before), F.lit(0)))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,21 +10,6 @@ from ..sources.shared import materialize, release
 _PART_SHIFT = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def range_bucket(df: DataFrame, value: str, out: str, buckets: int) -> DataFrame:
-    """Number of the value range a row falls in; ranges hold about equally many rows.
-
-    Costs one pass that keeps a bounded sketch per task. Equal values share a bucket.
-    """
-    steps = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(value, steps, 1.0 / (2 * buckets)) if steps else []
-    cuts = sorted({c for c in found if math.isfinite(c)})  # infinite values fall in the outer ranges
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    bucketizer = Bucketizer(splits=[-float("inf"), *cuts, float("inf")],
-                            inputCol=value, outputCol=out)
-    return bucketizer.transform(df).withColumn(out, F.col(out).cast("int"))
-
-
 def global_row_number(df: DataFrame, order: list, out: str) -> tuple[DataFrame, str]:
     """0-based position of each row in a total order; returns the table and its path.
 

@@ -1,38 +1,19 @@
-"""Task counts for data that iterative fitting reads again and again.
-
-Inputs of any real size keep the partitioning Spark gives them. Only inputs too small to
-fill the cores are touched: a single-file table is spread out, and a kept frame of a few
-hundred rows is packed, because there the cost of starting tasks is all there is.
-"""
+"""Training rows dealt the same way on any cluster."""
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-BYTES_PER_TASK = 128 * 1024 * 1024
-SMALL_TASK = 512 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; exact for a kept frame that has been computed."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+ROWS_PER_TASK = 1 << 16
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """``df`` over more tasks if its estimated size would give fewer scan tasks than cores.
+def dealt(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` in tasks of about ``rows_per_task`` rows, dealt by a hash of ``key`` and sorted by it,
+    kept in memory and on disk for the many passes of a fit.
 
-    At most cores x 128 MB are shuffled; anything larger is already split well and is
-    returned unchanged, and so is anything below half a MB.
+    Learners that sample rows or sum in the order of their partitions give the same model whatever
+    the files, cores or executors, also when lost partitions are computed again.
     """
-    cores, size = df.sparkSession.sparkContext.defaultParallelism, estimated_bytes(df)
-    tasks = min(cores, -(-size // SMALL_TASK))
-    return df.repartition(tasks) if 1 < tasks and size < cores * BYTES_PER_TASK else df
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` kept in memory and on disk and computed, in no more tasks than its size needs."""
-    stored = df.persist(StorageLevel.MEMORY_AND_DISK)
-    stored.count()
-    cores, size = df.sparkSession.sparkContext.defaultParallelism, estimated_bytes(stored)
-    return stored.coalesce(max(1, -(-size // SMALL_TASK))) if size < cores * SMALL_TASK else stored
+    tasks = max(1, -(-df.count() // rows_per_task))
+    return df.repartition(tasks, key).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
