@@ -100,6 +100,51 @@ def test_urls(spark):
     assert urls.judge(frame.limit(0), counts, RULES).count() == 0
 
 
+def test_hosts_without_a_seed_word_are_blocked_by_what_they_share(spark):
+    """Words that go with seed words in other hosts decide; seed words themselves are no features."""
+    bad = [f"http://{a}.{b}luck.example.net/win/{i}" for i, (a, b) in enumerate([("casino", "mega"), ("poker", "big"), ("jackpot", "mega"), ("casino", "hot")])]
+    good = [f"http://site{'abcdefghij'[i % 10]}.garden.example.net/page/{i}" for i in range(30)]
+    asked = ["http://megaluck.example.net/win/7", "http://garden.example.net/page/7", "http://unseenword.example.net/page/1", "http://poker.garden.example.net/page/2"]
+    frame = spark.createDataFrame(list(enumerate(bad + good + asked)), "page_id long, url string")
+    counts = urls.word_counts(spark.createDataFrame([("casino poker jackpot mega big hot luck garden site example net unseen word " * 3,)], "text string"))
+    rows = {r.page_id: r for r in urls.judge(frame, counts, []).collect()}
+    told = [rows[len(bad) + len(good) + i] for i in range(4)]
+    assert not any(set(r.host_words) & set(urls.SEED_WORDS) for r in told[:3])
+    assert [r.verdict for r in told] == ["block", "allow", "allow", "block"]
+    assert told[0].log_odds > 0 > told[1].log_odds and not told[0].example and told[3].example
+    assert told[3].log_odds < 0         # blocked as an example, not through a feature
+    none = {r.page_id: r for r in urls.judge(frame, counts, [], seeds=[]).collect()}
+    assert all(r.verdict == "allow" for r in none.values())
+
+
+def test_bayes_against_counts(spark):
+    rng = random.Random(4)
+    rows = [(f"h{rng.randrange(12)}", rng.random() < 0.4, [rng.randrange(9) for _ in range(rng.randrange(5))]) for _ in range(80)]
+    rows = [(h, int(h[1:]) % 3 == 0, b) for h, _, b in rows]
+    odds, prior = urls.learned_odds(spark.createDataFrame(rows, "host string, bad boolean, buckets array<int>"))
+    seen = {(h, bad, b) for h, bad, bs in rows for b in bs}
+    count = Counter((bad, b) for _, bad, b in seen)
+    vocabulary = {b for _, _, b in seen}
+    size = {bad: sum(count[bad, b] + 1 for b in vocabulary) for bad in (True, False)}
+    for b in range(12):
+        want = math.log((count[True, b] + 1) / size[True] * size[False] / (count[False, b] + 1)) if b in vocabulary else 0.0
+        assert odds[b] == pytest.approx(want)
+    hosts = Counter({h: bad for h, bad, _ in rows}.values())
+    assert prior == pytest.approx(math.log((hosts[True] + 1) / (hosts[False] + 1)))
+
+
+def test_very_long_hosts(spark):
+    import time
+    name = "goodwords" * 11_000 + "q" * 1000
+    begun = time.perf_counter()
+    words_ = urls.best_split(name, [i * 9 for i in range(11_000)] + [i * 9 + 4 for i in range(11_000)], ["good"] * 11_000 + ["words"] * 11_000,
+                             [2.0] * 22_000, 9.0)
+    assert time.perf_counter() - begun < 1 and words_[:2] == ["good", "words"] and words_[-1] == "q" * 1000
+    counts = urls.word_counts(spark.createDataFrame([("good words",)], "text string"))
+    page = spark.createDataFrame([(1, f"http://{name}.net/x")], "page_id long, url string")
+    assert urls.judge(page, counts, []).first().host_words[:2] == ["good", "words"]
+
+
 def test_viterbi_is_the_best_split():
     costs = {"ab": 2.0, "abc": 4.0, "c": 1.5, "cd": 1.0, "d": 3.0}
     name, unknown = "abcd", 9.0
