@@ -2,9 +2,8 @@
 
 Each benchmark item gives its runs of ``k`` words (an item of fewer words gives one run of all).
 Texts are scanned with running window hashes; hashes found in the set are verified against the
-words themselves. The set is broadcast in parts of at most ``PART`` windows: a benchmark beyond
-that bound is scanned part after part, each part in the same pass over a row, and the hits of
-all parts are merged. Nothing is shuffled.
+words themselves. The set is broadcast in parts of at most ``PART`` windows. One pass over the texts
+goes through the parts in turn, and a task holds one part at a time. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -17,9 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import Words, slices, words_of
+from .columns import apart
 
 K = 13
 PART = 1_000_000
+GROUP = 16           # slices that a part goes over before the next part is taken
 _BITS = 22
 
 
@@ -33,12 +34,13 @@ def _window_table(batches, k):
         out = defaultdict(list)
         for n in range(1, k + 1):
             first, hashes = w.windows(n)
-            for i, h in zip(first.tolist(), hashes.tolist(), strict=True):
-                if n == k or counts[w.doc[i]] == n:
-                    out["hash"].append(np.uint64(h).astype(np.int64))
-                    out["n"].append(n)
-                    out["words"].append(_words(raw, w, i, n))
-                    out["item"].append(items[w.doc[i]])
+            if n < k:
+                whole = counts[w.doc[first]] == n
+                first, hashes = first[whole], hashes[whole]
+            out["hash"] += hashes.view(np.int64).tolist()
+            out["n"] += [n] * len(first)
+            out["words"] += [_words(raw, w, i, n) for i in first.tolist()]
+            out["item"] += [items[d] for d in w.doc[first].tolist()]
         if out:
             yield pa.RecordBatch.from_pydict({
                 "hash": pa.array(out["hash"], pa.int64()), "n": pa.array(out["n"], pa.int32()),
@@ -52,15 +54,14 @@ def _words(raw: bytes, w: Words, first: int, n: int) -> bytes:
 class Windows:
     """A bounded part of the benchmark's windows, with a bit table in front of the exact one."""
 
-    def __init__(self, rows):
+    def __init__(self, rows: pa.Table):
         self.exact: dict[bytes, list[str]] = defaultdict(list)
-        hashes: dict[int, set[int]] = defaultdict(set)
-        for row in rows:
-            self.exact[bytes(row.words)].append(row.item)
-            hashes[row.n].add(row.hash)
+        for words, item in zip(rows.column("words").to_pylist(), rows.column("item").to_pylist(), strict=True):
+            self.exact[words].append(item)
+        sizes, hashes = rows.column("n").to_numpy(), rows.column("hash").to_numpy()
         self.tables = {}
-        for n, values in sorted(hashes.items()):
-            sorted_hashes = np.sort(np.fromiter(values, dtype=np.int64).astype(np.uint64))
+        for n in np.unique(sizes).tolist():
+            sorted_hashes = np.unique(hashes[sizes == n].view(np.uint64))
             bits = np.zeros(1 << _BITS, dtype=bool)
             bits[(sorted_hashes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
             self.tables[n] = (bits, sorted_hashes)
@@ -97,54 +98,79 @@ def scan(docs: DataFrame, benchmark: DataFrame, k: int = K, part: int = PART) ->
     parts = max(1, -(-table.count() // part))
     df = docs.withColumns({"hit_spans": F.expr("CAST(array() AS array<struct<first:int,end:int>>)"),
                            "hit_items": F.expr("CAST(array() AS array<string>)"), "n_words": F.lit(0).cast("long")})
-    for p in range(parts):
-        rows = table.where(F.pmod("hash", F.lit(parts)) == p).collect()  # at most some PART rows
-        shared = spark.sparkContext.broadcast(rows)
-        df = df.mapInArrow(lambda it, shared=shared: _scan(it, shared), df.schema)
+    shared = []
+    for p in range(parts):      # at most some PART windows at a time on the driver
+        rows = table.where(F.pmod("hash", F.lit(parts)) == p).select("hash", "n", "words", "item").toArrow()
+        shared.append(spark.sparkContext.broadcast(_packed(rows)))
+    df = df.mapInArrow(lambda it: _scan(it, shared), df.schema)
     table.unpersist()
     return df.withColumn("n_hit", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["first"])))
 
 
-_last: list = []     # rows and Windows of the part this worker used last; holding the rows keeps `is` sound
+def _packed(rows: pa.Table) -> bytes:
+    """A part of the windows as one compressed Arrow stream: what a broadcast of it costs in bytes."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(rows)
+    return out.getvalue().to_pybytes()
 
 
-def _windows(shared) -> Windows:
-    rows = shared.value
-    if not _last or _last[0] is not rows:
-        _last[:] = [rows, Windows(rows)]
-    return _last[1]
+def _unpacked(raw: bytes) -> Windows:
+    return Windows(pa.ipc.open_stream(raw).read_all())
 
 
-def _scan(batches, shared):
-    known = _windows(shared)
-    for batch in slices(batches):
-        w = words_of(batch.column("text"))
-        counts = w.per_text()
-        begins = np.concatenate([[0], np.cumsum(counts)])
+class _Slice:
+    """A slice of texts while the parts of the windows go over it."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.batch, self.words = batch, words_of(batch.column("text"))
+        self.edge = np.zeros(len(self.words.doc) + 1, dtype=np.int32)
+        self.items: dict[int, set[str]] = defaultdict(set)
+
+    def pass_over(self, part: Windows) -> None:
+        for i, length, of in part.hits(self.words):
+            self.edge[i] += 1
+            self.edge[i + length] -= 1
+            self.items[int(self.words.doc[i])].update(x for x in of if x is not None)
+
+    def result(self) -> pa.RecordBatch:
+        batch, counts = self.batch, self.words.per_text()
         spans, items = batch.column("hit_spans").to_pylist(), batch.column("hit_items").to_pylist()
-        edge = np.zeros(len(w.doc) + 1, dtype=np.int32)
-        touched = set()
-        for i, length, of in known.hits(w):
-            edge[i] += 1
-            edge[i + length] -= 1
-            doc = int(w.doc[i])
-            touched.add(doc)
-            items[doc].extend(x for x in of if x is not None)
-        inside = np.cumsum(edge[:-1]) > 0
-        for doc in touched:
-            own = inside[begins[doc]: begins[doc + 1]]
-            for span in spans[doc]:
-                own[span["first"]: span["end"]] = True
-            step = np.diff(np.concatenate([[0], own.astype(np.int8), [0]]))
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        inside = np.cumsum(self.edge[:-1]) > 0
+        for doc, found in self.items.items():
+            step = np.diff(np.concatenate([[0], inside[begins[doc]: begins[doc + 1]].astype(np.int8), [0]]))
             spans[doc] = [{"first": int(a), "end": int(b)} for a, b in zip(
                 np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)]
-            items[doc] = sorted(set(items[doc]))
+            items[doc] = sorted(found)
         new = {"hit_spans": spans, "hit_items": items, "n_words": counts}
-        yield pa.RecordBatch.from_arrays([
+        return pa.RecordBatch.from_arrays([
             pa.array(new[f.name], type=f.type) if f.name in new else batch.column(f.name)
             for f in batch.schema], schema=batch.schema)
 
 
+def _scan(batches, shared):
+    """Rows with their hits. A task holds one part of the windows: a single one for all its rows, several
+    in turn for each group of ``GROUP`` slices."""
+    single = _unpacked(shared[0].value) if len(shared) == 1 else None
+    group: list[_Slice] = []
+
+    def done():
+        for part in shared:
+            windows = single or _unpacked(part.value)
+            for one in group:
+                one.pass_over(windows)
+        yield from (one.result() for one in group)
+
+    for batch in slices(batches):
+        group.append(_Slice(batch))
+        if single or len(group) == GROUP:
+            yield from done()
+            group = []
+    if group:
+        yield from done()
+
+
 def judged(scanned: DataFrame, ratio: int = 20) -> DataFrame:
     """Add n_items, items_sha256 and contaminated (n_hit > 0 and ratio * n_hit >= n_words)."""
     return scanned.withColumns({
@@ -178,7 +204,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Rows are judged one by one; only their text is looked at, so null ids, repeated rows and
     extra columns pass as they are.
     """
-    kept = {c: f"_own{i}" for i, c in enumerate(docs.columns)}
-    own = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in kept.items()], F.col("text").alias("text"))
-    rows = judged(scan(own, benchmark)).where("NOT contaminated")
-    return rows.select(*[F.col(a).alias(c) for c, a in kept.items()])
+    own, back = apart(docs, "text")
+    return back(judged(scan(own, benchmark)).where("NOT contaminated"))

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tabquorum.sources.shared import materialize
 
+from .columns import apart
+
 CHUNK = 128
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -168,15 +170,17 @@ def largest_rows_fit(stats: DataFrame) -> bool:
 def mixed_rows(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), limit: int = 3, seed: int = 9) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with their own columns.
 
-    Rows without words carry none of the mixed words and stay once. Decisions are joined by
-    doc_id, source and size; rows equal in all three have one decision.
+    Rows without words (null, empty or blank texts) carry none of the mixed words and stay once.
+    Decisions are joined by doc_id, source and size; rows equal in all three have one decision. Columns
+    may have any name; an empty table gives no rows.
     """
-    taken = mix_sources(docs, weights, limit, seed).groupBy("doc_id", "source", "size").agg(
+    taken = mix_sources(docs.select("doc_id", "text", "source"), weights, limit, seed).groupBy("doc_id", "source", "size").agg(
         F.first("copies").alias("copies"))
-    taken = taken.select(*[F.col(c).alias(f"_{c}") for c in taken.columns])
-    rows = docs.withColumn("_words", words(F.col("text")))
-    joined = rows.join(taken, rows["doc_id"].eqNullSafe(taken["_doc_id"]) & rows["source"].eqNullSafe(taken["_source"])
-                       & (rows["_words"] == taken["_size"]))
-    times = F.when(F.col("_words") == 0, 1).otherwise(F.col("_copies")).cast("int")
-    repeated = joined.withColumn("_n", times).where("_n > 0").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    taken = taken.withColumnsRenamed({"doc_id": "t_id", "source": "t_source", "size": "t_size"})
+    own, back = apart(docs, "doc_id", "source", "text")
+    rows = own.withColumn("words", words(F.col("text"))).drop("text")
+    joined = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source"))
+                       & (F.col("words") == F.col("t_size")))
+    times = F.when(F.col("words") == 0, 1).otherwise(F.col("copies")).cast("int")
+    repeated = joined.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return back(repeated)

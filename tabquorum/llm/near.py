@@ -11,7 +11,9 @@
    blocks, and all pairs of each component are verified exactly on shingle sets. A task returns
    link counts and a spanning forest; components of the latter are the classes.
 
-What one task holds is bounded by the block sizes, whatever the size of a bucket or component.
+What one task holds is bounded by the block sizes, in texts and in shingles, whatever the size of a
+bucket or component; the work on a class grows with the square of its different texts, since each
+text's links are counted.
 """
 
 from __future__ import annotations
@@ -28,13 +30,14 @@ from pyspark.sql import functions as F
 from tabquorum.sources.shared import materialize
 
 from .arrays import Words, mix, slices, words_of
+from .columns import apart
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 4          # a pair at 0.8 shares no band with probability 3e-6
 STEP, TOLERANCE = 8, 1e-6
 BLOCK = 1024                 # representatives of a block of a bucket
-SET_BLOCK = 400_000          # shingles of a block of a component
+SET_BLOCK, TEXT_BLOCK = 400_000, 1024    # shingles and texts of a block of a component
 
 _K = BANDS * ROWS
 _A = (mix(np.arange(1, _K + 1, dtype=np.uint64)) | np.uint64(1))
@@ -268,14 +271,14 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
     # texts of each component, fetched once, verified in blocks
     grouped = texts.select("key", "rep", "copies", "n").join(candidates, F.col("key") == F.col("node")).drop("node")
-    weight = grouped.groupBy("root").agg(F.sum("n").alias("total"))
+    weight = grouped.groupBy("root").agg(F.greatest(F.sum("n") / SET_BLOCK, F.count("*") / TEXT_BLOCK).alias("total"))
     wanted = grouped.join(weight, "root").select(
         F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash"), "key", "root", "copies", "total")
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sets = source.join(wanted, ["doc_id", "text_hash"]).select("key", "root", "copies", "total", "text").mapInArrow(
-        _sets, "key binary, root binary, copies bigint, total bigint, set binary").dropDuplicates(["key"])
+        _sets, "key binary, root binary, copies bigint, total double, set binary").dropDuplicates(["key"])
     sets, _ = materialize(sets, "sets")
-    blocks = F.greatest(F.ceil(F.col("total") / SET_BLOCK), F.lit(1))
+    blocks = F.greatest(F.ceil("total"), F.lit(1))
     links = _paired(sets, blocks, "key").drop("total").groupBy("root", "left", "right").applyInPandas(
         _verified, "key binary, other binary, texts bigint, rows bigint")
     links, _ = materialize(links, "links")
@@ -298,13 +301,16 @@ def near_classes(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one of each class: the one with the smallest doc_id.
 
-    Rows without words or without a doc_id stay; rows keep all their columns. Of rows equal in doc_id and text one stays; a doc_id repeated with
-    different texts stays with each of them.
+    Rows without words (null and empty texts too) or without a doc_id stay; rows keep all their
+    columns, whatever these are called. Of rows equal in doc_id and text one stays; a doc_id repeated
+    with different texts stays with each of them. Very long texts are compared whole; an empty table
+    gives no rows.
     """
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    rows, _ = materialize(near_classes(docs), "near")
+    own, back = apart(docs, "doc_id", "text")
+    hashed = own.withColumn("hash", F.xxhash64("text")).drop("text")
+    rows, near_at = materialize(near_classes(docs.select("doc_id", "text")), "near")
     kept = rows.where("doc_id IS NULL OR class_id = doc_id").groupBy("doc_id", "text_hash").agg(
-        F.count("*").alias("_n"), F.max("n_copies").alias("_c")).withColumnsRenamed({"doc_id": "_id", "text_hash": "_h"})
-    joined = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["_id"]) & (hashed["_hash"] == kept["_h"]))
-    once, more = joined.where("_n = 1 OR doc_id IS NULL"), joined.where("_n > 1 AND doc_id IS NOT NULL")
-    return once.select(*docs.columns).union(more.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns))
+        F.count("*").alias("times")).withColumnsRenamed({"doc_id": "id", "text_hash": "of"})
+    joined = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["id"]) & (hashed["hash"] == kept["of"]))
+    once, more = joined.where("times = 1 OR doc_id IS NULL"), joined.where("times > 1 AND doc_id IS NOT NULL")
+    return back(once).union(back(more.dropDuplicates(["doc_id", "hash"])))

@@ -160,12 +160,12 @@ class WordEncoder(Encoder):
         self.ends = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
         for token, number in tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
-        self.hash = np.zeros(0, dtype=np.uint64)
+        self.hash, self.slot = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)   # hashes in order, places of their words
         self.used = np.zeros(0, dtype=np.int32)
         self.word, self.ids = _Lists.empty(np.uint8), _Lists.empty(np.dtype("<u4"))
 
     def _words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes (lowered where that changes nothing), and text, start and end of each word."""
+        """Bytes (lowered where that changes nothing), start and end of each word, and the first word of each text."""
         raw, offsets = utf8(column)
         inside = np.zeros(len(raw) + 2, dtype=bool)
         inside[1:-1] = (raw != 32) & (raw != 10)
@@ -182,11 +182,12 @@ class WordEncoder(Encoder):
         begins |= stop
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         data = _LOWER[raw]
-        kept = np.concatenate([[0], np.cumsum(_KEPT[raw])])
+        kept = np.zeros(len(raw) + 1, dtype=np.int32)
+        np.cumsum(_KEPT[raw], out=kept[1:])
         odd = np.flatnonzero(kept[end] > kept[start])
         places = spans(start[odd], end[odd] - start[odd])
         data[places] = raw[places]
-        return data, np.searchsorted(offsets, start, side="right") - 1, start, end
+        return data, start, end, np.searchsorted(start, offsets)
 
     def _encoded(self, words: list[str]) -> _Lists:
         """Ids of each word; words of letters are encoded many at a time, parted by the ids that end a word."""
@@ -212,89 +213,100 @@ class WordEncoder(Encoder):
             order += part
         back = np.empty(len(words), dtype=np.int64)
         back[order] = np.arange(len(words))
-        return _Lists(np.concatenate(data), np.concatenate(sizes)).pick(back)
+        return _Lists.of(np.concatenate(data), np.concatenate(sizes)).pick(back)
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         self.turn += 1
-        data, doc, start, end = self._words(column)
+        data, start, end, firsts = self._words(column)
         hashes = run_hash(_BYTES[data], start, end) + (end - start).astype(np.uint64)
-        known, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        start, size = start[first], end[first] - start[first]
+        order = np.argsort(hashes)
+        known = hashes[order]
+        head = np.ones(len(known), dtype=bool)
+        np.not_equal(known[1:], known[:-1], out=head[1:])
+        back = np.empty(len(known), dtype=np.int64)
+        back[order] = np.cumsum(head) - 1
+        first = order[head]
+        known, start, size = known[head], start[first], end[first] - start[first]
         at = np.minimum(np.searchsorted(self.hash, known), max(len(self.hash) - 1, 0))
-        hit = self.hash[at] == known if len(self.hash) else np.zeros(len(known), dtype=bool)
-        clash = hit.copy()
-        hit[hit] = self.word.equal(at[hit], data, start[hit], size[hit])
-        clash &= ~hit
-        self.used[at[hit]] = self.turn
+        seen = self.hash[at] == known if len(self.hash) else np.zeros(len(known), dtype=bool)
+        hit = seen.copy()
+        hit[seen] = self.word.equal(self.slot[at[seen]], data, start[seen], size[seen])
+        slots = self.slot[at[hit]]
+        self.used[slots] = self.turn
         miss = np.flatnonzero(~hit)
         new_words = _Lists.cut(data, start[miss], size[miss])
         new = self._encoded(new_words.texts())
-        ids = _Lists.both(self.ids.pick(at[hit]), new)              # of the different words, hits first
         place = np.empty(len(known), dtype=np.int64)
-        place[np.flatnonzero(hit)] = np.arange(int(hit.sum()))
-        place[miss] = int(hit.sum()) + np.arange(len(miss))
-        of = place[back]
-        counts = np.zeros(len(column), dtype=np.int64)
-        np.add.at(counts, doc, ids.sizes[of])
-        out = ids.pick(of).data
-        self._remember(known[miss], new_words, new, np.flatnonzero((new_words.sizes <= CACHED_CHARS) & ~clash[miss]))
-        return out, counts
-
-    def _remember(self, hashes: np.ndarray, words: _Lists, ids: _Lists, fresh: np.ndarray) -> None:
-        """Add the words ``fresh`` to the cache, in the order of their hashes."""
-        self.word, self.ids = _Lists.both(self.word, words.pick(fresh)), _Lists.both(self.ids, ids.pick(fresh))
-        self.hash = np.concatenate([self.hash, hashes[fresh]])
-        self.used = np.concatenate([self.used, np.full(len(fresh), self.turn, dtype=np.int32)])
-        order = np.argsort(self.hash, kind="stable")
-        if self.size() > self.cache_bytes:                           # keep what was used last, half the size
-            last = np.argsort(-self.used[order], kind="stable")
-            order = order[np.sort(last[: len(last) // 2])]
-        self.word, self.ids, self.hash, self.used = self.word.pick(order), self.ids.pick(order), self.hash[order], self.used[order]
+        place[hit], place[miss] = slots, len(self.ids) + np.arange(len(miss))
+        ids = _Lists.both(self.ids, new).pick(place[back])
+        stops = np.concatenate([[0], np.cumsum(ids.sizes)])[firsts]
+        fresh = np.flatnonzero((new_words.sizes <= CACHED_CHARS) & ~seen[miss])
+        self._remember(known[miss[fresh]], new_words.pick(fresh), new.pick(fresh))
+        return ids.data, np.diff(stops)
+
+    def _remember(self, hashes: np.ndarray, words: _Lists, ids: _Lists) -> None:
+        """Add words to the cache, in the order of their hashes."""
+        at = np.searchsorted(self.hash, hashes)
+        self.hash = np.insert(self.hash, at, hashes)
+        self.slot = np.insert(self.slot, at, len(self.ids) + np.arange(len(hashes)))
+        self.word, self.ids = _Lists.both(self.word, words), _Lists.both(self.ids, ids)
+        self.used = np.concatenate([self.used, np.full(len(hashes), self.turn, dtype=np.int32)])
+        if self.size() > self.cache_bytes:                           # keep the half that was used last
+            last = np.argsort(-self.used[self.slot], kind="stable")
+            kept = np.sort(last[: len(last) // 2])
+            slots = self.slot[kept]
+            self.hash, self.slot, self.used = self.hash[kept], np.arange(len(kept)), self.used[slots]
+            self.word, self.ids = self.word.pick(slots), self.ids.pick(slots)
 
     def size(self) -> int:
         """Bytes the cache holds."""
-        return self.hash.nbytes + self.used.nbytes + self.word.size() + self.ids.size()
+        return self.hash.nbytes + self.slot.nbytes + self.used.nbytes + self.word.size() + self.ids.size()
 
 
 @dataclass
 class _Lists:
-    """Lists of numbers in one array, with their sizes."""
+    """Lists of numbers in one array, with their sizes and starts."""
     data: np.ndarray
     sizes: np.ndarray
+    starts: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    @classmethod
+    def of(cls, data: np.ndarray, sizes: np.ndarray) -> _Lists:
+        return cls(data, sizes, np.cumsum(sizes) - sizes)
 
     @classmethod
     def empty(cls, kind) -> _Lists:
-        return cls(np.zeros(0, dtype=kind), np.zeros(0, dtype=np.int64))
+        return cls.of(np.zeros(0, dtype=kind), np.zeros(0, dtype=np.int64))
 
     @classmethod
     def cut(cls, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> _Lists:
-        return cls(data[spans(start, size)], size)
+        return cls.of(data[spans(start, size)], size)
 
     @classmethod
     def both(cls, a: _Lists, b: _Lists) -> _Lists:
-        return cls(np.concatenate([a.data, b.data]), np.concatenate([a.sizes, b.sizes]))
-
-    def starts(self) -> np.ndarray:
-        return np.cumsum(self.sizes) - self.sizes
+        return cls(np.concatenate([a.data, b.data]), np.concatenate([a.sizes, b.sizes]), np.concatenate([a.starts, b.starts + len(a.data)]))
 
     def pick(self, at: np.ndarray) -> _Lists:
-        return _Lists.cut(self.data, self.starts()[at], self.sizes[at])
+        return _Lists.cut(self.data, self.starts[at], self.sizes[at])
 
     def equal(self, at: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Whether lists ``at`` are the pieces [start, start + size) of ``data``."""
         same = self.sizes[at] == size
         at, start, size = at[same], start[same], size[same]
         if len(at):
-            differs = self.data[spans(self.starts()[at], size)] != data[spans(start, size)]
+            differs = self.data[spans(self.starts[at], size)] != data[spans(start, size)]
             same[same] = np.add.reduceat(differs, np.cumsum(size) - size) == 0
         return same
 
     def texts(self) -> list[str]:
-        raw, ends = self.data.tobytes(), np.cumsum(self.sizes)
-        return [raw[a:b].decode() for a, b in zip((ends - self.sizes).tolist(), ends.tolist(), strict=True)]
+        raw = self.data.tobytes()
+        return [raw[a: a + n].decode() for a, n in zip(self.starts.tolist(), self.sizes.tolist(), strict=True)]
 
     def size(self) -> int:
-        return self.data.nbytes + self.sizes.nbytes
+        return self.data.nbytes + self.sizes.nbytes + self.starts.nbytes
 
 
 _LETTER = np.zeros(256, dtype=bool)
