@@ -1,7 +1,8 @@
 """A training-data pipeline of five stages, each by one operator of ``tabquorum.llm``.
 
 Stages take (spark, docs, sf_dir) and return a DataFrame, which is written and read again before
-the next one. All but the last return the columns of ``docs``.
+the next one. All but the last return the columns of ``docs``, whatever these are called. Every
+stage takes whole texts of any length, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -9,39 +10,58 @@ from __future__ import annotations
 import public_tokenizers
 
 from tabquorum.llm import decontamination, mixing, near, queries, tokens
+from tabquorum.llm.columns import apart
 from tabquorum.sources.shared import materialize
 
 
 def good_documents(spark, docs, sf_dir):
-    """Documents whose grade is the highest with probability one half or more."""
-    columns = docs.columns
-    return queries.graded(spark, docs, sf_dir).where(queries.KEEP).select(*columns)
+    """Documents whose grade is the highest with probability one half or more.
+
+    Rows are judged one by one by their text (null is empty); rows with equal texts stay or go
+    together; doc_id is not looked at.
+    """
+    own, back = apart(docs, "text")
+    return back(queries.graded(spark, own, sf_dir).where(queries.KEEP))
 
 
 def without_near_copies(spark, docs, sf_dir):
-    """One document of each near-duplicate class."""
+    """One document of each near-duplicate class, that with the smallest doc_id.
+
+    Rows without words or without doc_id stay; of rows equal in doc_id and text one stays.
+    """
     return near.drop_near_duplicates(docs)
 
 
 def without_benchmark(spark, docs, sf_dir):
-    """Documents that are not contaminated by the benchmark."""
+    """Documents that are not contaminated by the benchmark.
+
+    Rows are judged one by one by their text; null and empty texts stay, repeated rows alike.
+    """
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark, docs, sf_dir):
-    """Each document as often as the mix of sources takes it; documents without words stay once."""
+    """Each document as often as the mix of sources takes it; documents without words stay once.
+
+    A null source is a source of its own; rows equal in doc_id, source and size are taken alike.
+    """
     return mixing.mixed_rows(docs, queries.MIX_WEIGHTS)
 
 
 def tokenized(spark, docs, sf_dir):
-    """Documents of the token file: doc_id, start, n_tokens, ids_crc32."""
+    """Documents of the token file, in order of doc_id: doc_id, start, n_tokens, ids_crc32.
+
+    A null doc_id comes first, rows with one doc_id in the order of their texts; a null or empty text
+    is the end id alone.
+    """
     return tokens.token_rows(docs, public_tokenizers.path(queries.TOKENIZER))
 
 
 STAGES = [("quality", good_documents), ("near_duplicates", without_near_copies),
           ("decontamination", without_benchmark), ("mixing", mixed), ("tokens", tokenized)]
 
-# Sampling hashes and a trained model have no SQL form; the tests hold run() against plain Python.
+# Sampling hashes and a trained model have no SQL form; tests/llm/test_pipeline.py holds the stages
+# against plain Python.
 ORACLE_SQL = None
 
 
