@@ -13,12 +13,13 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def apart(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+def apart(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """``df`` with its columns out of the way, and the function that brings them back.
 
     All columns get names no operator uses; those of ``needed`` are there once more under their own
-    name. The function selects exactly the columns of ``df`` again, from any frame made of these rows.
+    name. The function, given a frame made of these rows, selects exactly the columns of ``df`` again,
+    and after them the result columns named; a column of ``df`` with the name of a result gives way.
     """
     names = {c: f"_own_{i}_" for i, c in enumerate(df.columns)}
     rows = df.select(*[column(c).alias(a) for c, a in names.items()], *[column(c).alias(c) for c in needed])
-    return rows, lambda out: out.select(*[F.col(a).alias(c) for c, a in names.items()])
+    return rows, lambda out, *results: out.select(*[F.col(a).alias(c) for c, a in names.items() if c not in results], *results)

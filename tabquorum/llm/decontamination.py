@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import Words, slices, words_of
-from .columns import apart
+from .columns import apart, column
 
 K = 13
 PART = 1_000_000
@@ -90,13 +90,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, k: int = K, part: int = PART) ->
     (array of [first word, end word), disjoint and ascending), ``hit_items`` (distinct item ids
     as strings) and ``n_hit``. Null or empty texts have no words; null and empty items have no
     windows; repeated items count once by id (a null id is left out of ``hit_items``); an empty
-    benchmark hits nothing. Other columns pass through.
+    benchmark hits nothing. Other columns pass through, whatever their names, but for columns named as
+    the results.
     """
+    own, back = apart(docs, "text")
     spark = docs.sparkSession
     table = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text")).mapInArrow(
         lambda it: _window_table(it, k), "hash long, n int, words binary, item string").distinct().persist()
     parts = max(1, -(-table.count() // part))
-    df = docs.withColumns({"hit_spans": F.expr("CAST(array() AS array<struct<first:int,end:int>>)"),
+    df = own.withColumns({"hit_spans": F.expr("CAST(array() AS array<struct<first:int,end:int>>)"),
                            "hit_items": F.expr("CAST(array() AS array<string>)"), "n_words": F.lit(0).cast("long")})
     shared = []
     for p in range(parts):      # at most some PART windows at a time on the driver
@@ -104,7 +106,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, k: int = K, part: int = PART) ->
         shared.append(spark.sparkContext.broadcast(_packed(rows)))
     df = df.mapInArrow(lambda it: _scan(it, shared), df.schema)
     table.unpersist()
-    return df.withColumn("n_hit", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["first"])))
+    return back(df.withColumn("n_hit", F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["first"]))), "n_words", "hit_spans", "hit_items", "n_hit")
 
 
 def _packed(rows: pa.Table) -> bytes:
@@ -195,7 +197,8 @@ def without_spans(scanned: DataFrame) -> DataFrame:
                     texts[doc] = b"".join([*kept, raw[at: w.offsets[doc + 1]]]).decode()
             yield pa.RecordBatch.from_arrays([pa.array(texts, type=f.type) if f.name == "text" else batch.column(f.name)
                                               for f in batch.schema], schema=batch.schema)
-    return scanned.mapInArrow(cut, scanned.schema)
+    own, back = apart(scanned, "text", "hit_spans")
+    return back(own.mapInArrow(cut, own.schema), "text").select(*[column(c) for c in scanned.columns])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

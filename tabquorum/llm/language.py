@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import slices, utf8
+from .columns import apart
 
 SLOT_BITS = 21
 FACTORS = (0x2C1B3C6D, 0x297A2D39, 0x7FEB352D)   # odd multipliers of the slot hashes
@@ -133,10 +134,12 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
     Null texts and texts without a letter are ``und`` with score 0; other texts get a learned
     language (the first by name among equals; if no language holds any n-gram, score 0). The
     score is the best corrected share over the sum of all. Rows are judged one by one by their
-    text alone; other columns pass through.
+    text alone; other columns pass through, whatever their names, but for columns named as the two
+    results; an empty table gives no rows.
     """
+    own, back = apart(docs, "text")
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.planes))
-    df = docs.withColumns({"lang_pred": F.when(F.col("text").rlike(r"\p{L}"), F.lit("")).otherwise(F.lit("und")),
+    df = own.withColumns({"lang_pred": F.when(F.col("text").rlike(r"\p{L}"), F.lit("")).otherwise(F.lit("und")),
                            "score": F.lit(0.0)})
 
     def run(batches):
@@ -154,4 +157,4 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
                    "score": pa.array([0.0 if p == "und" else s for p, s in zip(pred, score.tolist(), strict=True)], pa.float64())}
             yield pa.RecordBatch.from_arrays([new.get(f.name, batch.column(f.name)) for f in batch.schema], schema=batch.schema)
 
-    return df.mapInArrow(run, df.schema)
+    return back(df.mapInArrow(run, df.schema), "lang_pred", "score")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabquorum.sources.shared import materialize
+from tabquorum.sources.shared import materialize, release
 
 from .arrays import Words, mix, slices, words_of
 from .columns import apart
@@ -255,7 +255,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     texts = usable.groupBy("key").agg(
         F.min_by(F.struct("doc_id", "text_hash"), F.struct("doc_id", "text_hash")).alias("rep"),
         F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    texts, _ = materialize(texts, "texts")
+    texts, texts_at = materialize(texts, "texts")
 
     # buckets of two texts or more, cut into blocks
     bands = texts.select("key", F.posexplode(F.array(*[
@@ -277,11 +277,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sets = source.join(wanted, ["doc_id", "text_hash"]).select("key", "root", "copies", "total", "text").mapInArrow(
         _sets, "key binary, root binary, copies bigint, total double, set binary").dropDuplicates(["key"])
-    sets, _ = materialize(sets, "sets")
+    sets, sets_at = materialize(sets, "sets")
     blocks = F.greatest(F.ceil("total"), F.lit(1))
     links = _paired(sets, blocks, "key").drop("total").groupBy("root", "left", "right").applyInPandas(
         _verified, "key binary, other binary, texts bigint, rows bigint")
-    links, _ = materialize(links, "links")
+    links, links_at = materialize(links, "links")
+    release(docs.sparkSession, sets_at)
     counts = links.groupBy("key").agg(F.sum("texts").alias("texts"), F.sum("rows").alias("rows"))
     roots = components(links.select(F.col("key").alias("a"), F.col("other").alias("b")))
     classes = texts.select("key", "first_id", "copies").join(roots, F.col("key") == F.col("node"), "left").join(counts, "key", "left")
@@ -290,6 +291,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     named = classes.groupBy("root").agg(F.min("first_id").alias("class_id"))
     classes = classes.join(named, "root").select("key", "class_id", "copies", "texts", "rows")
     classes, _ = materialize(classes, "classes")
+    for path in (texts_at, links_at):
+        release(docs.sparkSession, path)
     alone = F.col("class_id").isNull() | (F.col("n") == 0) | F.col("doc_id").isNull()
     return rows.drop("sig").join(classes, "key", "left").select(
         "doc_id", "text_hash", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import mix, slices, words_of
+from .columns import apart
 
 TRAIN_ROWS = 20_000      # labelled rows the model is fitted on, at most
 LEAST_TEXTS, LEAST_Z = 5, 4.0
@@ -234,10 +235,12 @@ def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
     """Add ``expected_grade`` and ``tails`` (P(grade > k) for k = 0, 1, ...) to every row.
 
     Only the text is looked at, in whole; a null text is empty, and an empty text is judged by
-    its shape. Other columns pass through.
+    its shape. Rows are judged one by one, repeated rows alike; other columns pass through, whatever
+    their names, but for columns named as the two results; an empty table gives no rows.
     """
+    own, back = apart(docs, "text")
     shared = docs.sparkSession.sparkContext.broadcast((model.hashes, model.weights, model.thresholds))
-    df = docs.withColumns({"expected_grade": F.lit(0.0), "tails": F.expr("CAST(array() AS array<double>)")})
+    df = own.withColumns({"expected_grade": F.lit(0.0), "tails": F.expr("CAST(array() AS array<double>)")})
 
     def run(batches):
         known = Ordinal(*shared.value)
@@ -247,7 +250,7 @@ def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(new[f.name], type=f.type) if f.name in new else batch.column(f.name)
                                               for f in batch.schema], schema=batch.schema)
 
-    return df.mapInArrow(run, df.schema)
+    return back(df.mapInArrow(run, df.schema), "expected_grade", "tails")
 
 
 __all__ = ["Ordinal", "features", "fit_ordinal", "grade", "train"]
