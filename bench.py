@@ -1,8 +1,8 @@
 """Headline queries on one machine; prints one JSON line.
 
 BENCH_SF_DIR and BENCH_CPUS choose the data and the cores. BENCH_FULL=1 adds the comparison
-of seven learners over their whole grids (40 points, 3 folds, 127 fits) and the grids of the
-four ensembles.
+of seven learners over their whole grids (40 points, 3 folds) and the grids of the four ensembles
+(5 folds).
 """
 
 from __future__ import annotations
@@ -16,15 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from catalog import CATALOG  # noqa: E402
-from catalog.frames import line_task, quality_task  # noqa: E402
+from catalog.frames import line_task  # noqa: E402
 from tabquorum.operators import learners  # noqa: E402
 from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,  # noqa: E402
                                           GradientBoostingClassifier, StackingClassifier)
-from tabquorum.operators.splitting import hash_split  # noqa: E402
-from tabquorum.plans import cross_validate, cross_validated_score, param_grid  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -53,29 +50,6 @@ def ensembles():
     }
 
 
-def ensemble_grids(fits):
-    bag, boost, gbm, stack = fits.values()
-    return {
-        "bagging_grid": (bag, {bag.sampleRatioFeatures: [0.3, 0.7, 1.0],
-                               bag.replacementFeatures: [False], bag.replacement: [True, False],
-                               bag.sampleRatio: [0.3, 0.7, 1.0]}, "f1"),
-        "boosting_grid": (boost, {boost.learningRate: [0.3, 0.8, 1.0]}, "f1"),
-        "gbm_grid": (gbm, {gbm.learningRate: [0.1, 1.0], gbm.maxIter: [1, 10]}, "accuracy"),
-        "stacking_grid": (stack, {}, "f1"),
-    }
-
-
-def comparison(spark):
-    """Seven learners, 40 grid points, 3 folds."""
-    train, test = hash_split(quality_task(spark, SF_DIR), F.col("doc_id"), 70)
-    entrants = [learners.one_vs_rest(), learners.linear_svm(), learners.naive_bayes(),
-                learners.decision_tree(), learners.random_forest(), learners.perceptron(4),
-                learners.boosted_trees()]
-    for estimator, grid in entrants:
-        cross_validated_score(estimator, param_grid(grid), train, test, folds=3, key="doc_id",
-                              parallelism=int(CPUS))
-
-
 def main() -> None:
     spark = (SparkSession.builder.master(f"local[{CPUS}]").appName("bench")
              .config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
@@ -98,11 +72,8 @@ def main() -> None:
     for name, estimator in fits.items():
         timed(name, lambda: estimator.fit(task))
     if os.environ.get("BENCH_FULL") == "1":
-        timed("comparison_127_fits", lambda: comparison(spark))
-        docs = quality_task(spark, SF_DIR).withColumnRenamed("doc_id", "id")
-        for name, (estimator, grid, metric) in ensemble_grids(fits).items():
-            timed(name, lambda: cross_validate(estimator, param_grid(grid), docs, metric=metric,
-                                               folds=5, key="id", parallelism=4))
+        for name in ("leaderboard", "cv_bagging", "cv_boosting", "cv_gbm", "cv_stacking"):
+            timed(name, lambda: CATALOG[name].run(spark, SF_DIR).collect())
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": SF_DIR.rsplit("sf", 1)[-1]}))
 

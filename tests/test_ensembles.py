@@ -256,3 +256,24 @@ def test_no_scratch_is_left_behind(spark, squares):
     BaggingClassifier(baseLearner=NaiveBayes(), maxIter=1).fit(squares)
     BoostingClassifier(baseLearner=tree(2), maxIter=3, checkpointInterval=1).fit(squares)
     assert set(os.listdir(root)) == before
+
+
+# --- the searched step -----------------------------------------------------------------------
+
+def test_searched_steps_minimise_the_loss(spark):
+    from tabquorum.operators.ensemble.gbm import LARGEST_STEP, searched_steps
+    rows = [(float(y), 1.0 + (i % 2), -0.3, 0.4, 0.2 * (1 if y == 0 else -1) * (1 if i % 5 else -1), (-1.0 if y else 1.0) * 0.5)
+            for i in range(60) for y in (0, 1)]
+    df = spark.createDataFrame(rows, ["label", "w", "f0", "f1", "h0", "h1"])
+    steps = searched_steps(df, "label", "w", ["f0", "f1"], ["h0", "h1"])
+
+    def loss(k, step):
+        total = 0.0
+        for y, w, f0, f1, h0, h1 in rows:
+            f = [f0 + (step * h0 if k == 0 else 0), f1 + (step * h1 if k == 1 else 0)]
+            total -= w * (f[int(y)] - math.log(math.exp(f[0]) + math.exp(f[1])))
+        return total
+
+    assert 0 < steps[0] < LARGEST_STEP
+    assert loss(0, steps[0]) <= min(loss(0, steps[0] + d) for d in (-0.01, 0.01)) + 1e-9
+    assert steps[1] == 0.0 and loss(1, 0.0) < loss(1, 0.1)      # class 1's output points away: no step

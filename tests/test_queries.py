@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from catalog import CATALOG
+from catalog import CATALOG, comparing
+from tabquorum.plans.comparison import fit_groups
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SLOW = {"leaderboard", "boosted_trees_30", "boosted_regressor", "one_vs_rest", "linear_svm"}
+# Whole grids of up to 450 fits: below they run with one point and two folds.
+GRIDS = {"leaderboard", "cv_bagging", "cv_boosting", "cv_gbm", "cv_stacking"}
 
 
 @pytest.fixture(scope="module")
@@ -37,11 +39,30 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
     assert expected
 
 
-@pytest.mark.parametrize("name", sorted(n for n, q in CATALOG.items() if q.sql is None and n not in SLOW))
+@pytest.mark.parametrize("name", sorted(n for n, q in CATALOG.items() if q.sql is None and n not in GRIDS))
 def test_query_gives_rows(spark, sf_dir, name):
     assert entry_points.queries()[name](spark, sf_dir).count() > 0
 
 
+def test_every_learner_of_the_comparison_is_fitted(spark, sf_dir):
+    entrants = {name: (estimator, grid[:1]) for name, (estimator, grid) in comparing.seven_learners().items()}
+    assert sum(len(grid) for _, grid in comparing.seven_learners().values()) == 40
+    comparison, board = comparing.compared(spark, sf_dir, entrants, 2, "accuracy")
+    rows = board.collect()
+    assert {r.Model for r in rows} == set(entrants) and all(0.5 < r.Score <= 1 for r in rows)
+    assert [r.Score for r in rows] == sorted((r.Score for r in rows), reverse=True)
+    assert comparison.fits == 3 * 7 and comparison.points(spark).where("is_best").count() == 7
+
+
+@pytest.mark.parametrize("kind,points,fits", [("bagging", 18, 90), ("boosting", 3, 15), ("gbm", 4, 10), ("stacking", 1, 5)])
+def test_ensemble_grids(spark, sf_dir, kind, points, fits):
+    estimator, grid, metric = comparing.ensemble_grids()[kind]
+    assert len(grid) == points and 5 * len(fit_groups(estimator, grid)) == fits
+    comparison, _ = comparing.compared(spark, sf_dir, {kind: (estimator, grid[-1:])}, 2, metric)
+    row = comparison.points(spark).first()
+    assert row.is_best and 0.5 < row.metric <= 1 and row.folds == 2
+
+
 def test_entry(spark):
     row = entry_points.entry(spark).first()
     assert row.n > 0 and row.accuracy > 0.6
