@@ -91,6 +91,8 @@ def layer_weights(weights: Sequence[float], layers: Sequence[int]) -> list[tuple
 
     A layer's weights are stored by input (all outputs of the first input first), then its biases.
     """
+    if len(weights) != sum((i + 1) * o for i, o in zip(layers[:-1], layers[1:], strict=True)):
+        raise ValueError(f"{len(weights)} weights for layers {list(layers)}")
     out, at = [], 0
     for inputs, outputs in zip(layers[:-1], layers[1:], strict=True):
         flat = [float(w) for w in weights[at: at + inputs * outputs]]
@@ -98,8 +100,6 @@ def layer_weights(weights: Sequence[float], layers: Sequence[int]) -> list[tuple
         out.append(([[flat[i * outputs + o] for i in range(inputs)] for o in range(outputs)],
                     [float(b) for b in weights[at: at + outputs]]))
         at += outputs
-    if at != len(weights):
-        raise ValueError(f"{len(weights)} weights for layers {list(layers)}")
     return out
 
 
