@@ -46,11 +46,16 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def power(way: str, n: int) -> np.ndarray:
+    """The first ``n`` powers of the hash's base (``up``) or of its inverse (``down``)."""
+    return _power(way, _BASE if way == "up" else pow(_BASE, -1, 1 << 64) & _MASK, n)
+
+
 def run_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of ``values[start:end]`` for each pair, the same wherever the run stands."""
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * _power("up", _BASE, len(values)), dtype=np.uint64, out=sums[1:])
-    back = _power("down", pow(_BASE, -1, 1 << 64) & _MASK, len(values) + 1)
+    np.cumsum(values * power("up", len(values)), dtype=np.uint64, out=sums[1:])
+    back = power("down", len(values) + 1)
     return mix((sums[end] - sums[start]) * back[start])
 
 

@@ -1,8 +1,10 @@
 """Removal of repeated byte strings by suffix arrays.
 
-1. Texts are cut into slices of some million bytes. A slice's suffix array (Larsson-Sadakane
-   refinement) and common prefixes (Kasai) give its classes of equal strings of ``length`` bytes;
-   a string that also starts in a smaller document of its slice is settled there.
+1. Texts are cut into slices of some million bytes. The strings of ``length`` bytes whose hash a slice
+   has more than once form its shard; the shard's suffix array (Larsson-Sadakane refinement) and
+   common prefixes (Kasai) give the classes of equal strings; a string that also starts in a smaller
+   document of its slice is settled there. A hash decides nothing: it only leaves out strings
+   without an equal.
 2. The rest goes to other shards as runs: neighbouring strings whose smallest 12-byte hash is the
    same go together, and that hash picks the bucket, so equal strings of all slices meet in one
    bucket. A passage that very many documents share leaves each slice once.
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tabquorum.sources.shared import materialize
 
-from .arrays import mix, run_hash, slices, spans, utf8
+from .arrays import mix, power, slices, spans, utf8
 
 LENGTH = 50
 GRAM = 12
@@ -152,6 +154,59 @@ def string_classes(data: np.ndarray, valid: np.ndarray, owner: np.ndarray, lengt
     return place, np.cumsum(head) - 1, least
 
 
+def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """32-bit hash of the ``length`` bytes from each place on, by running sums."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_SPREAD[data] * power("up", len(data)), dtype=np.uint64, out=sums[1:])
+    found = (sums[length:] - sums[:-length]) * power("down", len(data) + 1)[: len(data) - length + 1]
+    return (found >> np.uint64(32)).astype(np.uint32)
+
+
+def more_than_once(hashes: np.ndarray) -> np.ndarray:
+    """Places of the 32-bit hashes that occur more than once."""
+    every = np.sort(hashes)
+    shared = np.unique(every[1:][every[1:] == every[:-1]])
+    return _among(hashes, shared)
+
+
+def _among(hashes: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Places of the hashes that are in the ascending ``shared``."""
+    if not len(shared):
+        return np.zeros(0, dtype=np.int64)
+    near = np.zeros(1 << 20, dtype=bool)
+    near[shared >> np.uint32(12)] = True
+    here = np.flatnonzero(near[hashes >> np.uint32(12)])
+    return here[shared[np.minimum(np.searchsorted(shared, hashes[here]), len(shared) - 1)] == hashes[here]]
+
+
+def slice_classes(data: np.ndarray, valid: np.ndarray, owner: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``string_classes`` of a slice, of its strings that may have an equal."""
+    none = np.zeros(0, dtype=np.int64)
+    if len(data) < length:
+        return none, none, none
+    places = np.flatnonzero(valid[: len(data) - length + 1])
+    places = places[more_than_once(window_hashes(data, length)[places])]
+    if not len(places):
+        return none, none, none
+    head = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1] + 1]))
+    first, sizes = places[head], np.diff(np.append(head, len(places))) + length - 1
+    text, first, sizes, run, inside = shuffled(data, first, sizes)
+    at = first[run] + inside
+    place, number, least = string_classes(text, inside + length <= sizes[run], owner[at], length, alone=False)
+    return at[place], number, least
+
+
+def shuffled(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The spans [first, first + size) of ``data`` one after the other in a mixed order: bytes, starts and
+    sizes in that order, and the span of each byte with its place there. In their own order the spans of
+    copies would line up, and equal runs of spans take long to sort."""
+    turn = np.argsort(mix(np.arange(len(first), dtype=np.uint64)))
+    first, sizes = first[turn], sizes[turn]
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    inside = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return data[first[run] + inside], first, sizes, run, inside
+
+
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest of ``width`` values from each place on."""
     size = 1
@@ -236,14 +291,13 @@ def _settle_slices(batches, length, buckets, limit):
         sizes = np.diff(offsets)
         owner = np.repeat(docs, sizes)
         valid = np.arange(len(data)) + length <= np.repeat(offsets[1:], sizes)
-        words = packed(data)
-        place, number_of, least = string_classes(data, valid, owner, length, words, alone=False)
+        place, number_of, least = slice_classes(data, valid, owner, length)
         settled = np.sort(place[owner[place] > least[number_of]])
         start, end = intervals(settled)
         tables.append((offsets + base, docs, texts, places, start.astype(np.int64) + base, end.astype(np.int64) + base))
         valid[settled] = False
         del place, number_of, least, settled
-        for bucket, first, count, text in _dealt_runs(data, words, np.flatnonzero(valid), length, buckets):
+        for bucket, first, count, text in _dealt_runs(data, np.flatnonzero(valid), length, buckets):
             held.setdefault(bucket, []).append((first + base, count, owner[first], text))
         base += len(data)
         if base >= GROUP * limit:
@@ -253,10 +307,11 @@ def _settle_slices(batches, length, buckets, limit):
         yield from group()
 
 
-def _dealt_runs(data, words, out, length, buckets):
+def _dealt_runs(data, out, length, buckets):
     """(bucket, first, count, text) of the runs of the places ``out``."""
     if not len(out):
         return
+    words = packed(data)
     grams = mix(mix(words[: len(data) - GRAM + 1]) + words[GRAM - 8: len(data) - 8 + 1])
     least = window_minima(grams, length - GRAM + 1)[out]
     head = np.flatnonzero(np.concatenate([[True], (out[1:] != out[:-1] + 1) | (least[1:] != least[:-1])]))
@@ -291,14 +346,9 @@ class _Runs:
         every = np.sort(np.concatenate([h for h, _, _ in asked]))
         shared = np.unique(every[1:][every[1:] == every[:-1]])
         del every
-        if not len(shared):
-            return
-        near = np.zeros(1 << 20, dtype=bool)
-        near[shared >> np.uint32(12)] = True
         held, size = [], 0
         for (number, _), text, (first, _, owner, begin), (hash_, run, inside) in zip(blobs, texts, runs, asked, strict=True):
-            here = np.flatnonzero(near[hash_ >> np.uint32(12)])
-            here = here[shared[np.minimum(np.searchsorted(shared, hash_[here]), len(shared) - 1)] == hash_[here]]
+            here = _among(hash_, shared)
             if not len(here):
                 continue
             run, inside = run[here], inside[here]
@@ -323,9 +373,9 @@ class _Runs:
         """A 64-bit name of each run, from the hashes of its strings, and 32 bits of each of these."""
         _, sizes, _, begin = runs
         count = sizes - self.length + 1
-        starts = spans(begin, count)
-        hashes = run_hash(_SPREAD[text], starts, starts + self.length)
-        return np.add.reduceat(hashes, np.cumsum(count) - count), (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        hashes = window_hashes(text, self.length)[spans(begin, count)]
+        firsts = np.cumsum(count) - count
+        return np.add.reduceat(mix(hashes.astype(np.uint64)), firsts) + sizes.astype(np.uint64), hashes
 
     def _distinct(self, blobs, runs, texts, names) -> list[np.ndarray]:
         """Runs of each blob that are the smallest owner's of all runs with the same bytes. The strings of
@@ -377,12 +427,9 @@ class _Runs:
         """Classes of one shard: per valid place its slice, place there, owner and class."""
         number, first, sizes, owner, text = (np.concatenate(x) for x in zip(*part, strict=True))
         begin = np.cumsum(sizes) - sizes
-        turn = np.argsort(mix(np.arange(len(sizes), dtype=np.uint64)))  # neighbours of copies must not line up: equal runs of runs take long to sort
-        text = text[spans(begin[turn], sizes[turn])]
-        number, first, sizes, owner = number[turn], first[turn], sizes[turn], owner[turn]
-        begin = np.cumsum(sizes) - sizes
-        run = np.repeat(np.arange(len(sizes)), sizes)
-        inside = np.arange(len(text)) - begin[run]
+        text, begin_, sizes, run, inside = shuffled(text, begin, sizes)
+        turn = np.searchsorted(begin, begin_)
+        number, first, owner = number[turn], first[turn], owner[turn]
         place, of, least = string_classes(text, inside + self.length <= sizes[run], owner[run], self.length)
         heads = place[np.flatnonzero(np.diff(of, prepend=-1))]
         keys = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, self.length)[heads]).view(f"S{self.length}").ravel()

@@ -115,8 +115,9 @@ def word_by_word(spec: dict) -> bool:
 
     That holds for a normalizer of NFC, white space and lower case, a split that drops white space and
     keeps runs of letters and of marks apart, merges that end at a word's end, and nothing added or
-    cut afterwards. The added tokens must hold ``<`` and no white space.
+    cut afterwards. The added tokens must hold ``<`` and no place where words are cut.
     """
+    cuts = lambda text: any(_PARTS[_KIND[a], _KIND[b]] for a, b in zip(text, text[1:], strict=False))
     kinds = lambda part, name: [x.get("type") for x in (spec.get(part) or {}).get(name, [])]
     split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
     pattern = (split.get("pattern") or {}).get("Regex", "")
@@ -127,8 +128,8 @@ def word_by_word(spec: dict) -> bool:
             and pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
             and not any(spec.get(k) for k in ("truncation", "padding", "post_processor"))
             and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
-            and all("<" in t["content"] and not t["content"].split()[1:] and not t.get("lstrip") and not t.get("rstrip")
-                    for t in spec.get("added_tokens", [])))
+            and all("<" in t["content"] and not t["content"].split()[1:] and not cuts(t["content"].encode())
+                    and not t.get("lstrip") and not t.get("rstrip") for t in spec.get("added_tokens", [])))
 
 
 class Encoder:
@@ -148,9 +149,10 @@ class WordEncoder(Encoder):
     """Ids of texts word by word, for tokenizers that ``word_by_word`` accepts.
 
     The words of a slice are found, hashed and reduced to the different ones in numpy; only words that
-    are not in the cache go to the tokenizer. Words are taken between blanks and line breaks, without
-    a closing full stop or comma after an ASCII letter, which is a word of its own; ASCII words without
-    ``<`` are taken in lower case. The cache keeps bytes and ids of words in flat arrays of bounded
+    are not in the cache go to the tokenizer. Words are taken between blanks and line breaks, and are cut
+    between ASCII letters, single digits and marks, as the tokenizer itself does, but never beside an
+    apostrophe, ``<``, ``|``, ``>`` or a byte that is not ASCII; ASCII words without these are taken in
+    lower case. The cache keeps bytes and ids of words in flat arrays of bounded
     size; a hit is verified against the bytes, and words not used lately are dropped.
     """
 
@@ -167,23 +169,17 @@ class WordEncoder(Encoder):
     def _words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes (lowered where that changes nothing), start and end of each word, and the first word of each text."""
         raw, offsets = utf8(column)
-        inside = np.zeros(len(raw) + 2, dtype=bool)
-        inside[1:-1] = (raw != 32) & (raw != 10)
-        begins, ends = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
-        cut = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(raw))]
-        begins[cut] = inside[1:-1][cut]
-        ends[cut - 1] = inside[1:-1][cut - 1]
-        letter = _LETTER[raw]
-        stop = ends.copy()           # a closing mark after a letter is cut off
-        stop[:1] = False
-        stop[1:] &= _CLOSING[raw[1:]] & letter[:-1] & inside[1:-2]
-        stop &= ~begins
-        ends[:-1] |= stop[1:]
-        begins |= stop
+        kind = np.zeros(len(raw) + 2, dtype=np.uint8)
+        np.take(_KIND, raw, out=kind[1:-1])
+        pair = kind[:-1] * np.uint8(5) + kind[1:]
+        begins, ends = _BEGINS[pair[:-1]], _ENDS[pair[1:]]
+        cut = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(raw))]  # no word crosses texts
+        begins[cut] = kind[cut + 1] != _BLANK
+        ends[cut - 1] = kind[cut] != _BLANK
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         data = _LOWER[raw]
         kept = np.zeros(len(raw) + 1, dtype=np.int32)
-        np.cumsum(_KEPT[raw], out=kept[1:])
+        np.cumsum(kind[1:-1] == _WHOLE, out=kept[1:])
         odd = np.flatnonzero(kept[end] > kept[start])
         places = spans(start[odd], end[odd] - start[odd])
         data[places] = raw[places]
@@ -309,12 +305,18 @@ class _Lists:
         return self.data.nbytes + self.sizes.nbytes + self.starts.nbytes
 
 
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_CLOSING = np.zeros(256, dtype=bool)
-_CLOSING[[44, 46]] = True                   # comma, full stop
-_KEPT = np.zeros(256, dtype=np.int32)       # bytes whose words are not lowered: "<" and non-ASCII
-_KEPT[60] = _KEPT[128:] = 1
+# Kinds of bytes: blanks and line breaks, ASCII letters, digits, marks, and bytes whose neighbours stay
+# with them (other white space and controls, non-ASCII, and the marks of contractions and added tokens).
+_BLANK, _A, _ONE, _MARK, _WHOLE = range(5)
+_KIND = np.full(256, _WHOLE, dtype=np.uint8)
+_KIND[33:127] = _MARK
+_KIND[[10, 32]] = _BLANK
+_KIND[65:91] = _KIND[97:123] = _A
+_KIND[48:58] = _ONE
+_KIND[[ord(c) for c in "'<|>"]] = _WHOLE
+_PARTS = np.array([[b != _BLANK and (a == _BLANK or (a != b and _WHOLE not in (a, b)) or a == b == _ONE) for b in range(5)] for a in range(5)])
+_BEGINS = _PARTS.ravel()                                                # of (kind before, kind): a word begins here
+_ENDS = np.array([[a != _BLANK and (b == _BLANK or _PARTS[a, b]) for b in range(5)] for a in range(5)]).ravel()  # of (kind, kind after)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))

@@ -26,7 +26,7 @@ def spec():
 def test_only_files_that_fit_are_encoded_by_words(tmp_path):
     assert tokens.word_by_word(spec()) and type(tokens._encoder(PATH)) is tokens.WordEncoder
     for change in ({"truncation": {"max_length": 3}}, {"post_processor": {"type": "x"}}, {"normalizer": {"type": "Sequence", "normalizers": []}},
-                   {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [{"content": "the end", "lstrip": False}]}):
+                   {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [{"content": "the end", "lstrip": False}]}, {"added_tokens": [{"content": "<a.b>"}]}):
         assert not tokens.word_by_word(spec() | change)
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         assert not tokens.word_by_word(json.load(file))
