@@ -100,7 +100,7 @@ def linear_svm_optimum(spark, sf_dir):
 
 # --- the network, evaluated again as expressions -----------------------------------------------
 
-@query("perceptron_forward", """SELECT count(*) AS n, 0 AS mismatches, true AS shares_agree, true AS settled
+@query("perceptron_forward", """SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches, true AS shares_agree, true AS settled
 FROM documents JOIN labels USING (doc_id)""")
 def perceptron_forward(spark, sf_dir):
     """Forward pass of the fitted network over all labelled documents, and the slope of its loss."""

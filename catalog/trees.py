@@ -171,7 +171,7 @@ def walk_query(name: str, make, kind: str, task, keys: str, sql_rows: str, doc:
         differs = F.abs(F.col("told") - F.col("prediction")) > 1e-9 * (1 + F.abs(F.col("told")))
         return walked_rows.join(told, keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(differs).alias("mismatches"))
     run.__doc__ = doc
-    query(name, f"SELECT count(*) AS n, 0 AS mismatches FROM {sql_rows}")(run)
+    query(name, f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM {sql_rows}")(run)
 
 
 def length_task(spark, sf_dir):
