@@ -38,8 +38,10 @@ IMPLIED = {
 _SCOPE = set("html body table td th caption button object template".split())
 LARGEST_SPAN = 100
 _OPEN = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
-_STOP = re.compile(r"[>\"']")
+_STOP = re.compile(r"(=\s*)?([>\"'])")
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# A style sheet's comment, to the end of the sheet if nothing ends it.
+_COMMENT = re.compile(r"/(?:\*/|\*.*?(?:\*/|\Z))", re.S)
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _PLAIN = re.compile(r"[a-z][a-z0-9]*|(?:[a-z][a-z0-9]*)?\.[A-Za-z0-9_-]+|#[A-Za-z0-9_-]+")
@@ -52,12 +54,7 @@ class Sheet:
         self.hidden: set[str] = set()
 
     def read(self, css: str) -> None:
-        while (start := css.find("/*")) >= 0:
-            end = css.find("*/", start)
-            css = css[:start] + (css[end + 2:] if end >= 0 else "")
-            if css.count("/*") > 1000:      # comments by the thousand: drop what follows the next one
-                css = css[: css.find("/*")]
-        for rule in css.split("}"):
+        for rule in _COMMENT.sub("", css).split("}"):
             names, _, body = rule.rpartition("{")
             if _HIDING.search(body) and "{" not in names:
                 self.hidden |= {n.strip() for n in names.split(",") if _PLAIN.fullmatch(n.strip())}
@@ -108,11 +105,10 @@ class Tags:
         if self.last[">"] < at:
             return -1
         while self.quotes and (stop := _STOP.search(text, at)):
-            mark, place = stop[0], stop.start()
+            mark, at = stop[2], stop.end()
             if mark == ">":
-                return place
-            at = place + 1
-            if at <= self.last[mark] and text[max(start, place - 64): place].rstrip().endswith("="):
+                return at - 1
+            if stop[1] and at <= self.last[mark]:
                 at = text.find(mark, at) + 1
         self.quotes = False
         return text.find(">", start)
@@ -155,7 +151,7 @@ def build(text: str) -> tuple[Node, Sheet]:
         while at is not None and len(stack) > at:
             pop()
 
-    at, low = 0, None
+    at = 0
     tags = Tags(text)
     for start, end, closing, tag, rest in tags:
         if start > at:
@@ -179,12 +175,8 @@ def build(text: str) -> tuple[Node, Sheet]:
         node = Node(tag, attrs)
         stack[-1].parts.append(node)
         if tag in RAW:
-            low = text.lower() if low is None else low
-            end = low.find(f"</{tag}", at) if len(low) == len(text) else -1
-            end = len(text) if end < 0 and len(low) == len(text) else end
-            if end < 0:  # lower-casing changed lengths: search as is
-                found = re.compile(f"</{re.escape(tag)}", re.I).search(text, at)
-                end = found.start() if found else len(text)
+            found = re.compile(f"</{tag}", re.I | re.A).search(text, at)
+            end = found.start() if found else len(text)
             node.parts.append(entities.unescape(text[at:end]) if tag in ("textarea", "title") else text[at:end])
             after = text.find(">", end)
             at = tags.at = len(text) if after < 0 else after + 1

@@ -115,6 +115,15 @@ def test_layout(page, text):
     assert html.text_of(page) == text
 
 
+@pytest.mark.parametrize("n", [1, 100, 5000])
+def test_text_does_not_depend_on_the_size_of_a_part(n):
+    """Many comments in a style sheet, much white space before a value, and letters that grow in lower case."""
+    assert html.text_of("<style>" + "/* c */" * n + ".y{display:none}" + "/*/" * n + ".z{display:none}</style><p class=y>a<p class=z>b<p>c") == "c"
+    assert html.text_of(f'<a title={" " * n}"x>y">b</a>') == "b"
+    for mark in ("i", "\u0130" * n):
+        assert html.text_of("<script>1</\u017fcript>2</script>" + mark) == mark
+
+
 def test_random_trees_against_a_plain_walk():
     """Words of visible text in order, from trees written out as markup."""
     rng = random.Random(6)
