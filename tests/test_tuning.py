@@ -1,12 +1,15 @@
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabquorum.operators import learners
 from tabquorum.operators.ensemble import BaggingClassifier, GradientBoostingClassifier
+from tabquorum.operators.splitting import with_fold
 from tabquorum.plans import (best_point, cross_validate, cross_validated_score, cv_results,
                              fit_predict, leaderboard, param_grid)
+from tabquorum.plans.tuning import FOLD, class_totals, evaluator
 
 
 def test_grid_is_the_product_and_empty_is_one_point():
@@ -61,3 +64,32 @@ def test_grids_have_the_documented_sizes():
         learners.decision_tree(), learners.random_forest(), learners.perceptron(),
         learners.boosted_trees())]
     assert sizes == [2, 7, 6, 2, 18, 1, 4] and sum(sizes) == 40
+
+
+def test_naive_bayes_points_share_one_pass(squares, monkeypatch):
+    """Each fit sees two rows a class, and gives what Spark's own cross-validation gives."""
+    from pyspark.ml.classification import NaiveBayes
+    bayes, seen, plain = NaiveBayes(), [], NaiveBayes.fit
+    grid = param_grid({bayes.smoothing: [0.0, 0.5, 1.0]})
+    monkeypatch.setattr(NaiveBayes, "fit", lambda self, df, *rest: seen.append(df.count()) or plain(self, df, *rest))
+    model = cross_validate(bayes, grid, squares, metric="accuracy", folds=3, key="id", parallelism=2)
+    assert len(seen) == 10 and max(seen) <= 6
+    folded, theirs = with_fold(squares, F.col("id"), 3), []
+    for fold in range(3):
+        train, rest = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        theirs.append([evaluator("accuracy").evaluate(plain(bayes, train, point).transform(rest)) for point in grid])
+    assert model.avgMetrics == pytest.approx([sum(x) / 3 for x in zip(*theirs)])
+    whole = plain(bayes, squares, grid[best_point(model)])
+    assert model.bestModel.pi.toArray() == pytest.approx(whole.pi.toArray())
+    assert model.bestModel.theta.toArray() == pytest.approx(whole.theta.toArray())
+    assert not model.bestModel.isDefined(model.bestModel.weightCol)
+
+
+def test_folds_without_rows_and_negative_features_are_told(spark, squares):
+    from pyspark.ml.classification import NaiveBayes
+    with pytest.raises(ValueError, match="is empty"):
+        cross_validate(NaiveBayes(), [{}], squares.where("id = 3"), metric="accuracy", folds=2, key="id")
+    below = squares.select("id", "label", array_to_vector(F.array(F.lit(-1.0), F.lit(2.0))).alias("features"))
+    assert class_totals(with_fold(below, F.col("id"), 2, FOLD), "label", "features") is None
+    with pytest.raises(Exception):
+        cross_validate(NaiveBayes(), [{}], below, metric="accuracy", folds=2, key="id")
