@@ -125,12 +125,12 @@ def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(*[c.alias(n) for n, c in columns.items()])
 
 
-def line_task(spark: SparkSession, sf_dir: str, features=LINE_FEATURES) -> DataFrame:
+def line_task(spark: SparkSession, sf_dir: str, features=LINE_FEATURES, many_passes: bool = False) -> DataFrame:
     """``line_rows`` with the features as a vector and the classes in the metadata, kept for
-    the many passes of training."""
+    the many passes of training (hundreds with ``many_passes``)."""
     rows = assembler(features).transform(line_rows(spark, sf_dir))
     classes = {"ml_attr": {"type": "nominal", "vals": ["0", "1", "2"], "name": "label"}}
-    return dealt(rows.select("id", "features", "label").withMetadata("label", classes), "id")
+    return dealt(rows.select("id", "features", "label").withMetadata("label", classes), "id", many_passes=many_passes)
 
 
 LINES_SQL = """

@@ -81,7 +81,7 @@ SVM_REG, SVM_SLACK, SVM_TOLERANCE = 0.1, 0.02, 0.02
 @query("linear_svm_optimum", """SELECT unnest([0, 1, 2, 3, 4]) AS term, true AS at_optimum, true AS least_nearby""")
 def linear_svm_optimum(spark, sf_dir):
     """Per weight: zero lies in its subgradients, and no step along it lowers the objective."""
-    rows = line_task(spark, sf_dir).withColumn("label", (F.col("label") >= 1).cast("double"))
+    rows = line_task(spark, sf_dir, many_passes=True).withColumn("label", (F.col("label") >= 1).cast("double"))
     model = LinearSVC(maxIter=500, tol=1e-10, regParam=SVM_REG).fit(rows)
     weights, b = [float(c) for c in model.coefficients], float(model.intercept)
     between = hinge_interval(rows, weights, b, SVM_REG, slack=SVM_SLACK).select(

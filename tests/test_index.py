@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tabquorum.operators.ranking import apply_index, decode_index, fit_index
 from tabquorum.sources import dealt
+from tabquorum.sources.spread import task_count
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +55,8 @@ def test_dealt_rows_do_not_depend_on_the_files(spark, squares):
     assert parts(one) == parts(other) and len(parts(one)) == -(-squares.count() // 200)
     one.unpersist()
     other.unpersist()
+
+
+def test_many_passes_take_few_tasks():
+    assert [task_count(n, many_passes=True) for n in (0, 600_000, 36_000_000, 216_000_000)] == [1, 10, 48, 206]
+    assert [task_count(n) for n in (0, 65_537, 216_000_000)] == [1, 2, 3296]
