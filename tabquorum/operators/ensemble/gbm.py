@@ -9,13 +9,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.scores import argmax_index, softmax
+from ...sources.spread import task_count
 from .common import (WEIGHT, EnsembleEstimator, EnsembleModel, RoundState, ScoreParams,
                      class_count, configured, fit_all, strip, takes_weights, training_frame)
 
@@ -79,21 +80,35 @@ def step_slopes(df: DataFrame, label: str, weight: str, scores: Sequence[str], s
     return [[row[f"s{k}_{i}"] for i in range(len(tried[k]))] for k in range(len(scores))]
 
 
+def score_cells(df: DataFrame, label: str, weight: str, scores: Sequence[str], steps: Sequence[str]) -> DataFrame:
+    """``df`` with one row, of the summed weight, for all rows alike in label, scores and steps.
+
+    Trees give as many different scores and steps as they have leaves; learners that give each row its
+    own leave the rows as many as they were.
+    """
+    return df.groupBy(label, *scores, *steps).agg(F.sum(weight).alias(weight))
+
+
 def searched_steps(df: DataFrame, label: str, weight: str, scores: Sequence[str], steps: Sequence[str]) -> list[float]:
     """The step of each class with the smallest loss in [0, LARGEST_STEP], all classes in the same passes.
 
     A pass tries points across every class's bracket and keeps the part in which the slope changes
-    sign: STEP_PASSES aggregates in all. A loss that rises from the start gives 0, one that still falls
-    at the end LARGEST_STEP.
+    sign: STEP_PASSES aggregates in all, over the kept ``score_cells`` of one pass over the rows. A loss
+    that rises from the start gives 0, one that still falls at the end LARGEST_STEP.
     """
     brackets = [(0.0, LARGEST_STEP)] * len(scores)
-    for _ in range(STEP_PASSES):
-        tried = [[low + (high - low) * i / STEP_POINTS for i in range(STEP_POINTS + 1)] for low, high in brackets]
-        slopes = step_slopes(df, label, weight, scores, steps, tried)
-        for k, (points, slope) in enumerate(zip(tried, slopes, strict=True)):
-            at = next((i for i, x in enumerate(slope) if x >= 0.0), None)
-            brackets[k] = ((points[-1], points[-1]) if at is None else (points[0], points[0]) if at == 0
-                           else (points[at - 1], points[at]))
+    kept = score_cells(df, label, weight, scores, steps).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cells = kept.coalesce(task_count(kept.count()))
+        for _ in range(STEP_PASSES):
+            tried = [[low + (high - low) * i / STEP_POINTS for i in range(STEP_POINTS + 1)] for low, high in brackets]
+            slopes = step_slopes(cells, label, weight, scores, steps, tried)
+            for k, (points, slope) in enumerate(zip(tried, slopes, strict=True)):
+                at = next((i for i, x in enumerate(slope) if x >= 0.0), None)
+                brackets[k] = ((points[-1], points[-1]) if at is None else (points[0], points[0]) if at == 0
+                               else (points[at - 1], points[at]))
+    finally:
+        kept.unpersist()
     return [(low + high) / 2 for low, high in brackets]
 
 

@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
+from tabquorum.operators.ensemble import gbm
 from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,
                                           GradientBoostingClassifier, StackingClassifier)
 from tabquorum.operators.ensemble.common import class_count, configured
@@ -277,3 +278,12 @@ def test_searched_steps_minimise_the_loss(spark):
     assert 0 < steps[0] < LARGEST_STEP
     assert loss(0, steps[0]) <= min(loss(0, steps[0] + d) for d in (-0.01, 0.01)) + 1e-9
     assert steps[1] == 0.0 and loss(1, 0.0) < loss(1, 0.1)      # class 1's output points away: no step
+
+
+def test_the_step_search_passes_over_cells(squares, monkeypatch):
+    """Trees give few different scores and steps: the passes read these, not the rows."""
+    seen, plain = [], gbm.step_slopes
+    monkeypatch.setattr(gbm, "step_slopes", lambda df, *rest: seen.append(df.count()) or plain(df, *rest))
+    base = DecisionTreeRegressor(maxDepth=1, seed=1)
+    GradientBoostingClassifier(baseLearner=base, maxIter=1, optimizedWeights=True).fit(squares)
+    assert len(seen) == gbm.STEP_PASSES and max(seen) <= 3 * 2 ** 3 < squares.count()
