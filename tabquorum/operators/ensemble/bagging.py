@@ -146,7 +146,7 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
         spaces = [self._subspace(m, width) for m in range(self.getMaxIter())]
         sampling = self.getReplacement() or self.getSampleRatio() < 1.0
 
-        with training_frame(dataset, self, words=sampling) as train:
+        with training_frame(dataset, self, words=sampling, merged=type(base) is DecisionTreeClassifier) as train:
             def member(m: int):
                 whole = len(spaces[m]) == width
                 rows = self._sampled(train, m, weighted)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from ...sources.shared import materialize, release
+from ...sources.spread import task_count
 
 ROW_KEY, WEIGHT = "_key", "_weight"
 
@@ -138,13 +139,14 @@ def fit_all(tasks: Sequence[Callable[[], Model]], parallelism: int) -> list[Mode
 
 @contextmanager
 def training_frame(df: DataFrame, est: EnsembleParams, words: bool,
-                   sources: Sequence[str] = ()) -> Iterator[DataFrame]:
+                   sources: Sequence[str] = (), merged: bool = False) -> Iterator[DataFrame]:
     """The columns training needs, ready to be read many times.
 
     Columns: features, label as double, ``_weight`` (the weight column or 1.0), and with
     ``words`` the key that draws are hashed from. It is ``idCol``; without one the rows
     are numbered and written to the shared folder, as a numbering computed again after a
-    lost executor could differ.
+    lost executor could differ. ``merged`` puts the kept rows into no more tasks than their number
+    needs: for many short fits whose members draw nothing by partition.
     """
     label, features, weight = est.getLabelCol(), est.getFeaturesCol(), est.weight_column()
     metadata = df.schema[label].metadata
@@ -167,7 +169,7 @@ def training_frame(df: DataFrame, est: EnsembleParams, words: bool,
     if keep:
         frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield frame
+        yield frame.coalesce(task_count(frame.count())) if keep and merged else frame
     finally:
         if keep:
             frame.unpersist()

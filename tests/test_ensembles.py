@@ -287,3 +287,12 @@ def test_the_step_search_passes_over_cells(squares, monkeypatch):
     base = DecisionTreeRegressor(maxDepth=1, seed=1)
     GradientBoostingClassifier(baseLearner=base, maxIter=1, optimizedWeights=True).fit(squares)
     assert len(seen) == gbm.STEP_PASSES and max(seen) <= 3 * 2 ** 3 < squares.count()
+
+
+def test_members_of_a_small_bag_take_one_task_a_pass(squares, monkeypatch):
+    seen, plain = [], DecisionTreeClassifier.fit
+    monkeypatch.setattr(DecisionTreeClassifier, "fit", lambda self, df, *rest: seen.append(df.rdd.getNumPartitions()) or plain(self, df, *rest))
+    rows = squares.select("id", "features", "label")
+    bag = BaggingClassifier(baseLearner=tree(), maxIter=2, sampleRatio=0.7, idCol="id")
+    told = [classes(bag.fit(rows.repartition(n)).transform(rows)) for n in (1, 6)]
+    assert seen == [1] * 4 and told[0] == told[1]
