@@ -9,8 +9,10 @@ rounds share one fit at the largest number: the others are its prefixes, scored
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -68,6 +70,13 @@ def fit_groups(estimator: Estimator, grid: Sequence[Mapping[Param, object]]) ->
     return list(groups.values())
 
 
+def passes(estimator: Estimator, point: Mapping[Param, object]) -> int:
+    """Roughly how many passes over the rows follow one another in a fit: rounds times levels."""
+    values = estimator.extractParamMap(dict(point))
+    named = {p.name: v for p, v in values.items() if p.parent == estimator.uid and p.name in ("maxIter", "maxDepth")}
+    return max(1, int(named.get("maxIter", 1))) * max(1, int(named.get("maxDepth", 1)))
+
+
 def fitted_points(estimator: Estimator, grid: Sequence[Mapping[Param, object]], group: Sequence[int],
                   train: DataFrame) -> dict[int, Model]:
     """The fitted model of each point of a group, by one fit."""
@@ -177,28 +186,40 @@ class Comparison:
             inline_table(spark, [(name, position, point_name(grid[position]), value)], SCORES).coalesce(1).write.mode("overwrite").parquet(path)
             self._counted()
 
-        fit_all([lambda n=n, g=g, f=f: one(n, g, f) for n, (e, grid) in self.entrants.items()
-                 for g in fit_groups(e, grid) for f in range(self.folds)], self.parallelism)
-        best = self.chosen(spark)
-        fit_all([lambda n=n: final(n, best[n]) for n in self.entrants], self.parallelism)
+        # The longest fits come first, and an entrant's last fit begins when its folds are done: no
+        # thread waits for the rounds of one slow learner at the end.
+        plan = [(n, g, f) for n, (e, grid) in self.entrants.items() for g in fit_groups(e, grid) for f in range(self.folds)]
+        plan.sort(key=lambda p: -max(passes(self.entrants[p[0]][0], self.entrants[p[0]][1][i]) for i in p[1]))
+        waiting, lock = Counter(n for n, _, _ in plan), Lock()
+
+        def step(name: str, group: list[int], fold: int) -> None:
+            one(name, group, fold)
+            with lock:
+                waiting[name] -= 1
+                last = not waiting[name]
+            if last:
+                final(name, self.chosen(spark, name)[name])
+
+        fit_all([lambda p=p: step(*p) for p in plan], self.parallelism)
         told = spark.read.schema(SCORES).parquet(f"{self.folder}/scores/*/*").collect()
         return leaderboard(spark, {r.entrant: r.value for r in told})
 
-    def results(self, spark: SparkSession) -> DataFrame:
-        """One row per (entrant, point, fold) that is done."""
-        return spark.read.schema(RESULTS).parquet(f"{self.folder}/results/*/*")
+    def results(self, spark: SparkSession, entrant: str | None = None) -> DataFrame:
+        """One row per (entrant, point, fold) that is done, of all entrants or one."""
+        path = f"{self.folder}/results/*/*" if entrant is None else self._path("results", entrant, "*")
+        return spark.read.schema(RESULTS).parquet(path)
 
-    def points(self, spark: SparkSession) -> DataFrame:
+    def points(self, spark: SparkSession, entrant: str | None = None) -> DataFrame:
         """One row per entrant and point: mean metric, its deviation over folds, and whether it is the
         chosen one (the largest mean, the first of equals)."""
         from pyspark.sql import Window
-        means = self.results(spark).groupBy("entrant", "position", "point").agg(
+        means = self.results(spark, entrant).groupBy("entrant", "position", "point").agg(
             F.avg("value").alias("metric"), F.stddev_pop("value").alias("std"), F.count(F.lit(1)).alias("folds"))
         order = Window.partitionBy("entrant").orderBy(F.desc(F.round("metric", 12)), "position")
         return means.withColumn("is_best", F.row_number().over(order) == 1)
 
-    def chosen(self, spark: SparkSession) -> dict[str, int]:
-        return {r.entrant: r.position for r in self.points(spark).where("is_best").collect()}
+    def chosen(self, spark: SparkSession, entrant: str | None = None) -> dict[str, int]:
+        return {r.entrant: r.position for r in self.points(spark, entrant).where("is_best").collect()}
 
 
 __all__ = ["Comparison", "fit_groups", "fitted_points", "prefix", "score_of", "scores"]

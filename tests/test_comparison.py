@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tabquorum.operators.ensemble import BoostingClassifier, GradientBoostingClassifier
 from tabquorum.operators.metrics import accuracy, weighted_f1
 from tabquorum.plans import Comparison, cross_validate, param_grid, prefix
-from tabquorum.plans.comparison import fit_groups, fitted_points, scores
-from tabquorum.sources import new_shared_path
+from tabquorum.plans.comparison import fit_groups, fitted_points, passes, scores
+from tabquorum.sources import exists, new_shared_path
 
 
 def boosted(kind):
@@ -101,3 +101,18 @@ def test_a_fit_reads_only_its_folds(spark, two):
     c._write_features(two, two)
     plan = c._rows(two, F.col("_fold") != 1)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_fold" in plan and c._rows(two).count() == two.count()
+
+
+def test_long_fits_begin_first_and_last_fits_do_not_wait(spark, two):
+    gbt, tree = boosted("gbt"), DecisionTreeClassifier(seed=1)
+    entrants = {"Tree": (tree, param_grid({tree.maxDepth: [1, 4]})), "Boosted": (gbt, param_grid({gbt.maxDepth: [1], gbt.maxIter: [9]}))}
+    assert passes(gbt, entrants["Boosted"][1][0]) == 9 and passes(tree, {tree.maxDepth: 4}) == 4
+    folder, seen = new_shared_path(spark, "comparison"), []
+
+    def look(done):
+        there = lambda kind, n: exists(spark, f"{c._path(kind, n)}/_SUCCESS")
+        seen.append((there("scores", "Boosted"), there("scores", "Tree")))
+
+    c = Comparison(folder, entrants, "id", folds=2, after_fit=look)
+    c.run(two, two)
+    assert seen == [(False, False)] * 2 + [(True, False)] * 5 + [(True, True)]
