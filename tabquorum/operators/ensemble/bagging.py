@@ -7,6 +7,8 @@ patches" for sampling rows and features together.
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator, Mapping, Sequence
+from threading import Lock
 
 from pyspark import keyword_only
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -16,16 +18,21 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions.hashing import member_uniform, poisson_count, poisson_steps
-from ...functions.scores import argmax_index, vote_scores
+from ...functions.hashing import member_seed, member_uniform, poisson_count, poisson_steps
+from ...functions.scores import argmax_index, vote_counts
 from .common import (ROW_KEY, WEIGHT, EnsembleEstimator, EnsembleModel,
                      ScoreParams, class_count, configured, feature_count, fit_all, strip,
                      takes_weights, training_frame)
+from . import grown
 
 
 # Parameters a decision tree and a forest share.
 TREE_SETTINGS = ("maxDepth", "maxBins", "minInstancesPerNode", "minWeightFractionPerNode",
                  "minInfoGain", "maxMemoryInMB", "cacheNodeIds", "checkpointInterval", "impurity")
+# Values (features and what a row carries besides) that the rows of one task may have: 128 MB.
+TASK_VALUES = 1 << 24
+# Rows of all trees that are grown by one job, as a tree may have a node or two for each of its rows.
+TREE_ROWS = 1 << 19
 
 
 class BaggingParams(ScoreParams):
@@ -132,6 +139,52 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
         return [tree.setPredictionCol(f"_vote{m}").setRawPredictionCol("").setProbabilityCol("")
                 for m, tree in enumerate(forest.fit(dataset).trees)]
 
+    def _in_one_task(self, dataset: DataFrame) -> bool:
+        """Whether ``grow_all`` grows the members that ``fit`` gives."""
+        base = self.getBaseLearner()
+        kinds = dataset.schema[self.getFeaturesCol()].metadata.get("ml_attr", {}).get("attrs", {})
+        label = dataset.schema[self.getLabelCol()].metadata.get("ml_attr", {})
+        return (grown.pa is not None and type(base) is DecisionTreeClassifier and base.getImpurity() == "gini" and not base.isDefined(base.weightCol)
+                and not self.weight_column() and not self.getOrDefault(self.grownTogether)
+                and set(kinds) <= {"numeric"} and (not label or label.get("type") == "nominal"))
+
+    def _fit_together(self, points: Sequence[BaggingClassifier], dataset: DataFrame) -> list[BaggingModel]:
+        """The models of bags that read the same columns, their members grown by one job."""
+        label, features = self.getLabelCol(), self.getFeaturesCol()
+        classes, width = class_count(dataset, label), feature_count(dataset, features)
+        named = dataset.schema[label].metadata.get("ml_attr", {})
+        told = len(named["vals"]) if "vals" in named else named.get("num_vals")
+        trees, spaces = [], []
+        for point in points:
+            spaces.append([point._subspace(m, width) for m in range(point.getMaxIter())])
+            base, sources = point.getBaseLearner(), _sources(spaces[-1], width, features)
+            for m, (space, source) in enumerate(zip(spaces[-1], sources, strict=True)):
+                values = {base.labelCol: label, base.featuresCol: source, base.predictionCol: f"_vote{m}", base.rawPredictionCol: "",
+                          base.probabilityCol: "", base.seed: base.getSeed() + m}
+                if point.getReplacement():
+                    values[base.weightCol] = WEIGHT
+                plan = grown.plan_of(base, point.getSampleRatio(), point.getReplacement(), space, told)
+                trees.append((base, values, member_seed(point.getSeed(), m), plan))
+        with training_frame(dataset, self, words=True, merged=True) as train:
+            members = iter(grown.grow_all(train, features, label, ROW_KEY, trees))
+        return [BaggingModel([next(members) for _ in space], space, width, classes)._take(point)
+                for point, space in zip(points, spaces, strict=True)]
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]) -> Iterator[tuple[int, BaggingModel]]:
+        """The model of each map, as ``fit`` gives it; may be read from several threads.
+
+        Bags of decision trees whose training rows fit into one task are grown some together, in one job
+        with a task for each draw (``grown``): as many as have TREE_ROWS rows in all their trees.
+        """
+        points = [self.copy(dict(values)) for values in paramMaps]
+        same = {(p.getLabelCol(), p.getFeaturesCol(), p.getIdCol()) for p in points}
+        if len(same) != 1 or not all(p._in_one_task(dataset) for p in points):
+            return super().fitMultiple(dataset, paramMaps)
+        rows = dataset.count()
+        if not rows or rows * (feature_count(dataset, points[0].getFeaturesCol()) + 6) > TASK_VALUES:
+            return super().fitMultiple(dataset, paramMaps)
+        return _Together(points, dataset, rows)
+
     def _fit(self, dataset: DataFrame) -> BaggingModel:
         base, label, features = self.getBaseLearner(), self.getLabelCol(), self.getFeaturesCol()
         classes = class_count(dataset, label)
@@ -163,6 +216,36 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
         return BaggingModel(members, spaces, width, classes)._take(self)
 
 
+def _sources(spaces: Sequence[Sequence[int]], width: int, features: str) -> list[str]:
+    """The column each member reads: all features, or a slice named after the first member with its space."""
+    first: dict[tuple, str] = {}
+    return [features if len(space) == width else first.setdefault(tuple(space), f"_subspace{m}") for m, space in enumerate(spaces)]
+
+
+class _Together:
+    """(position, model) of each bag; the bags of a group are fitted when the first of them is asked for."""
+
+    def __init__(self, points: Sequence[BaggingClassifier], dataset: DataFrame, rows: int):
+        self.dataset, self.ready, self.lock = dataset, [], Lock()
+        groups: list[list] = []
+        for item in enumerate(points):
+            if not groups or sum(p.getMaxIter() for _, p in [*groups[-1], item]) * rows > TREE_ROWS:
+                groups.append([])
+            groups[-1].append(item)
+        self.waiting = iter(groups)
+
+    def __iter__(self) -> _Together:
+        return self
+
+    def __next__(self) -> tuple[int, BaggingModel]:
+        with self.lock:
+            if not self.ready:
+                group = next(self.waiting)
+                models = group[0][1]._fit_together([p for _, p in group], self.dataset)
+                self.ready = [(i, model) for (i, _), model in zip(group, models, strict=True)]
+            return self.ready.pop(0)
+
+
 class BaggingModel(BaggingParams, EnsembleModel):
     """Votes of the members: counts, shares and the class with most (lowest on a tie)."""
 
@@ -173,15 +256,14 @@ class BaggingModel(BaggingParams, EnsembleModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out = dataset
-        for m, (member, space) in enumerate(zip(self.members, self.subspaces)):
-            source = self.getFeaturesCol()
-            if len(space) < self.numFeatures:
-                out = VectorSlicer(inputCol=source, outputCol=f"_subspace{m}",
-                                   indices=space).transform(out)
-                source = f"_subspace{m}"
-            out = member.copy({member.getParam("featuresCol"): source}).transform(out)
-        votes = [F.col(f"_vote{m}") for m in range(len(self.members))]
-        out = out.withColumn("_votes", vote_scores(votes, self.numClasses))
+        sources = _sources(self.subspaces, self.numFeatures, self.getFeaturesCol())
+        for m, (member, space, source) in enumerate(zip(self.members, self.subspaces, sources, strict=True)):
+            if source == f"_subspace{m}" and len(space) < self.numFeatures:
+                out = VectorSlicer(inputCol=self.getFeaturesCol(), outputCol=source, indices=space).transform(out)
+            if member.getOrDefault("featuresCol") != source:
+                member = member.copy({member.getParam("featuresCol"): source})
+            out = member.transform(out)
+        out = out.withColumn("_votes", vote_counts([f"_vote{m}" for m in range(len(self.members))], self.numClasses))
         added = {self.getPredictionCol(): argmax_index(F.col("_votes"))}
         if self.getRawPredictionCol():
             added[self.getRawPredictionCol()] = array_to_vector("_votes")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from threading import Lock
 
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ensemble import (BoostingClassifier, BoostingModel, GradientBoostingClassifier, GradientBoostingModel)
+from ..operators.ensemble import (BaggingClassifier, BoostingClassifier, BoostingModel, GradientBoostingClassifier, GradientBoostingModel)
 from ..operators.ensemble.common import fit_all
 from ..operators.splitting import with_fold
 from ..sources.inline import inline_table
@@ -88,6 +88,16 @@ def fitted_points(estimator: Estimator, grid: Sequence[Mapping[Param, object]],
     return {i: model if i == most else prefix(model, rounds[i]) for i in group}
 
 
+def fitted_groups(estimator: Estimator, grid: Sequence[Mapping[Param, object]], groups: Sequence[Sequence[int]],
+                  train: DataFrame) -> Iterator[tuple[Sequence[int], dict[int, Model]]]:
+    """Each group with the fitted models of its points, one after another; bags may share the work of their fits.
+    May be read from several threads."""
+    if isinstance(estimator, BaggingClassifier):
+        fitted = estimator.fitMultiple(train, [dict(grid[i]) for i, in groups])
+        return map(lambda told: (groups[told[0]], {groups[told[0]][0]: told[1]}), fitted)
+    return map(lambda group: (group, fitted_points(estimator, grid, group, train)), groups)
+
+
 def predictions_of(models: Mapping[int, Model], rows: DataFrame, label: str) -> DataFrame:
     """(label, point, prediction) of all models, in one pass over the rows."""
     out = rows
@@ -159,41 +169,55 @@ class Comparison:
         tag = hashlib.sha256(name.encode()).hexdigest()[:12]
         return f"{self.folder}/{kind}/{tag}/" + "-".join(map(str, parts or ("all",)))
 
+    def _steps(self, estimator: Estimator, grid: Sequence[Mapping[Param, object]]) -> list[list[list[int]]]:
+        """The groups of a fold by steps: one to a step, but all of a grid of bags, which share the work of their fits."""
+        groups = fit_groups(estimator, grid)
+        return [groups] if isinstance(estimator, BaggingClassifier) else [[g] for g in groups]
+
     def run(self, train: DataFrame, test: DataFrame) -> DataFrame:
         """All fits that are not done yet; returns the leaderboard (Model, Score)."""
         spark = train.sparkSession
         self._write_features(train, test)
         held_out = spark.read.schema(test.schema).parquet(f"{self.folder}/test")
 
-        def one(name: str, group: list[int], fold: int) -> None:
+        def some(name: str, groups: list[list[int]], fold: int) -> None:
             estimator, grid = self.entrants[name]
-            path = self._path("results", name, group[0], fold)
-            if self._done(spark, path):
+            paths = {g[0]: self._path("results", name, g[0], fold) for g in groups}
+            left = [g for g in groups if not self._done(spark, paths[g[0]])]
+            if not left:
                 return
-            models = fitted_points(estimator, grid, group, self._rows(train, F.col(FOLD) != fold))
-            found = scores(models, self._rows(train, F.col(FOLD) == fold), self.label, self.metric)
-            rows = [(name, i, point_name(grid[i]), fold, found[i]) for i in group]
-            inline_table(spark, rows, RESULTS).coalesce(1).write.mode("overwrite").parquet(path)
-            self._counted()
+            fitted = fitted_groups(estimator, grid, left, self._rows(train, F.col(FOLD) != fold))
+
+            def scored() -> None:
+                group, models = next(fitted)
+                found = scores(models, self._rows(train, F.col(FOLD) == fold), self.label, self.metric)
+                rows = [(name, i, point_name(grid[i]), fold, found[i]) for i in group]
+                inline_table(spark, rows, RESULTS).coalesce(1).write.mode("overwrite").parquet(paths[group[0]])
+                self._counted()
+
+            fit_all([scored] * len(left), 1 if self.parallelism == 1 else -(-self.parallelism // self.folds))
 
         def final(name: str, position: int) -> None:
             estimator, grid = self.entrants[name]
             path = self._path("scores", name)
             if self._done(spark, path):
                 return
-            model = estimator.fit(self._rows(train), dict(grid[position]))
-            value = scores({position: model}, held_out, self.label, self.metric)[position]
+            if isinstance(estimator, BaggingClassifier):
+                (_, models), = fitted_groups(estimator, grid, [[position]], self._rows(train))
+            else:
+                models = {position: estimator.fit(self._rows(train), dict(grid[position]))}
+            value = scores(models, held_out, self.label, self.metric)[position]
             inline_table(spark, [(name, position, point_name(grid[position]), value)], SCORES).coalesce(1).write.mode("overwrite").parquet(path)
             self._counted()
 
         # The longest fits come first, and an entrant's last fit begins when its folds are done: no
         # thread waits for the rounds of one slow learner at the end.
-        plan = [(n, g, f) for n, (e, grid) in self.entrants.items() for g in fit_groups(e, grid) for f in range(self.folds)]
-        plan.sort(key=lambda p: -max(passes(self.entrants[p[0]][0], self.entrants[p[0]][1][i]) for i in p[1]))
+        plan = [(n, s, f) for n, (e, grid) in self.entrants.items() for s in self._steps(e, grid) for f in range(self.folds)]
+        plan.sort(key=lambda p: -max(passes(self.entrants[p[0]][0], self.entrants[p[0]][1][i]) for g in p[1] for i in g))
         waiting, lock = Counter(n for n, _, _ in plan), Lock()
 
-        def step(name: str, group: list[int], fold: int) -> None:
-            one(name, group, fold)
+        def step(name: str, groups: list[list[int]], fold: int) -> None:
+            some(name, groups, fold)
             with lock:
                 waiting[name] -= 1
                 last = not waiting[name]

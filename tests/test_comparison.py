@@ -5,7 +5,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, Nai
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
-from tabquorum.operators.ensemble import BoostingClassifier, GradientBoostingClassifier
+from tabquorum.operators.ensemble import BaggingClassifier, BoostingClassifier, GradientBoostingClassifier
 from tabquorum.operators.metrics import accuracy, weighted_f1
 from tabquorum.plans import Comparison, cross_validate, param_grid, prefix
 from tabquorum.plans.comparison import fit_groups, fitted_points, passes, scores
@@ -116,3 +116,16 @@ def test_long_fits_begin_first_and_last_fits_do_not_wait(spark, two):
     c = Comparison(folder, entrants, "id", folds=2, after_fit=look)
     c.run(two, two)
     assert seen == [(False, False)] * 2 + [(True, False)] * 5 + [(True, True)]
+
+
+def test_a_grid_of_bags_is_grown_by_one_fit_a_fold(spark, two, monkeypatch):
+    bag = BaggingClassifier(baseLearner=DecisionTreeClassifier(maxDepth=3, seed=1), maxIter=2, idCol="id")
+    grid = param_grid({bag.sampleRatio: [0.3, 0.7], bag.replacement: [True, False]})
+    theirs = cross_validate(bag, grid, two, metric="f1", folds=2, key="id")
+    seen, together, plain = [], [], BaggingClassifier._fit_together
+    monkeypatch.setattr(DecisionTreeClassifier, "fit", lambda self, *rest: seen.append(self))
+    monkeypatch.setattr(BaggingClassifier, "_fit_together", lambda self, points, df: together.append(len(points)) or plain(self, points, df))
+    mine = Comparison(new_shared_path(spark, "comparison"), {"Bag": (bag, grid)}, "id", folds=2, metric="f1", parallelism=4)
+    mine.run(two, two)
+    assert seen == [] and sorted(together) == [1, 4, 4] and mine.fits == 2 * 4 + 1
+    assert [r.metric for r in mine.points(spark).orderBy("position").collect()] == pytest.approx(theirs.avgMetrics)

@@ -1,17 +1,18 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
-from tabquorum.operators.ensemble import gbm
+from tabquorum.operators.ensemble import bagging, gbm, grown
 from tabquorum.operators.ensemble import (BaggingClassifier, BoostingClassifier,
                                           GradientBoostingClassifier, StackingClassifier)
 from tabquorum.operators.ensemble.common import class_count, configured
-from tabquorum.sources import shared_root
+from tabquorum.sources import new_shared_path, shared_root
 
 
 def tree(depth=3):
@@ -296,3 +297,104 @@ def test_members_of_a_small_bag_take_one_task_a_pass(squares, monkeypatch):
     bag = BaggingClassifier(baseLearner=tree(), maxIter=2, sampleRatio=0.7, idCol="id")
     told = [classes(bag.fit(rows.repartition(n)).transform(rows)) for n in (1, 6)]
     assert seen == [1] * 4 and told[0] == told[1]
+
+
+# --- members grown together ----------------------------------------------------------------
+
+def nodes(model, spark):
+    """The node rows of each member, as Spark stores them."""
+    out = []
+    for member in model.members:
+        path = new_shared_path(spark, "member")
+        member.write().save(path)
+        out.append(sorted(map(tuple, spark.read.parquet(f"{path}/data").collect())))
+    return out
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Four numeric features, one with many zeros and one constant; labels that no tree learns quickly."""
+    u = lambda k: F.xxhash64("id", F.lit(k)).bitwiseAND(0xFFFFFF) / float(1 << 24)
+    x = F.array(u(1), F.when(u(2) < 0.6, 0.0).otherwise(u(2) - 0.8), F.floor(u(3) * 9), F.lit(2.5))
+    label = (F.sin(9 * x[0]) + x[2] / 4 + u(4) > 1.2).cast("double") + (u(5) < 0.1).cast("double")
+    out = spark.range(1500).select("id", array_to_vector(x).alias("features"), label.alias("label")).cache()
+    out.count()
+    return out
+
+
+@pytest.mark.parametrize("base", [dict(maxDepth=20, maxBins=30), dict(maxDepth=0),
+                                  dict(maxDepth=6, maxBins=8, minInstancesPerNode=7, minInfoGain=0.002, minWeightFractionPerNode=0.01)])
+def test_bags_of_a_grid_grow_the_trees_of_their_fits(spark, noisy, base, monkeypatch):
+    bag = BaggingClassifier(baseLearner=DecisionTreeClassifier(seed=3, **base), maxIter=2, idCol="id", seed=5)
+    grid = [{bag.sampleRatio: r, bag.replacement: p, bag.sampleRatioFeatures: f} for r, p, f in
+            ((1.0, True, 1.0), (0.6, False, 0.6), (0.9, True, 0.5), (1.0, False, 1.0))]
+    apart = [bag.fit(noisy, point) for point in grid]
+    seen, plain = [], DecisionTreeClassifier.fit
+    monkeypatch.setattr(DecisionTreeClassifier, "fit", lambda self, *rest: seen.append(self) or plain(self, *rest))
+    together = dict(bag.fitMultiple(noisy.repartition(5), grid))
+    assert seen == [] and sorted(together) == [0, 1, 2, 3]
+    for i, model in enumerate(apart):
+        assert nodes(together[i], spark) == nodes(model, spark) and together[i].subspaces == model.subspaces
+        for a, b in zip(model.members, together[i].members, strict=True):
+            assert (a.numFeatures, a.numClasses, a.getMaxDepth(), a.getSeed(), a.getPredictionCol()) == (
+                b.numFeatures, b.numClasses, b.getMaxDepth(), b.getSeed(), b.getPredictionCol())
+        rows = [m.transform(noisy).orderBy("id").select("prediction", "rawPrediction").collect() for m in (model, together[i])]
+        assert rows[0] == rows[1]
+    member = together[0].members[0]
+    assert "told" in member.copy({member.predictionCol: "told"}).transform(noisy).columns
+
+
+def test_grids_of_bags_are_grown_by_few_jobs_in_groups(noisy, monkeypatch):
+    bag = BaggingClassifier(baseLearner=tree(), maxIter=2, idCol="id")
+    calls, plain = [], grown.grow_all
+    monkeypatch.setattr(grown, "grow_all", lambda *a: calls.append(len(a[-1])) or plain(*a))
+    monkeypatch.setattr(bagging, "TREE_ROWS", 4 * 1500)
+    models = bag.fit(noisy, [{bag.sampleRatio: r} for r in (0.3, 0.5, 0.7)])
+    assert calls == [4, 2] and [m.getSampleRatio() for m in models] == [0.3, 0.5, 0.7]
+
+
+def test_other_bags_are_fitted_member_by_member(noisy, monkeypatch):
+    monkeypatch.setattr(grown, "grow_all", None)
+    for bag in (BaggingClassifier(baseLearner=NaiveBayes(modelType="gaussian"), maxIter=1, idCol="id"),
+                BaggingClassifier(baseLearner=DecisionTreeClassifier(impurity="entropy"), maxIter=1, idCol="id"),
+                BaggingClassifier(baseLearner=tree(), maxIter=1, idCol="id", weightCol="w")):
+        (i, model), = bag.fitMultiple(noisy.withColumn("w", F.lit(2.0)), [{}])
+        assert i == 0 and len(model.members) == 1
+    monkeypatch.setattr(bagging, "TASK_VALUES", 1000)
+    assert len(dict(BaggingClassifier(baseLearner=tree(), maxIter=1, idCol="id").fitMultiple(noisy, [{}, {}]))) == 2
+
+
+@pytest.mark.parametrize("label", [None, 0.5, -1.0])
+def test_labels_a_fit_refuses_are_refused(noisy, label):
+    wrong = noisy.withColumn("label", F.when(F.col("id") == 3, F.lit(label).cast("double")).otherwise(F.col("label")))
+    with pytest.raises(Exception, match="labels must be whole numbers"):
+        list(BaggingClassifier(baseLearner=tree(), maxIter=1, replacement=False, idCol="id").fitMultiple(wrong, [{}]))
+
+
+def test_thresholds_follow_the_running_weight():
+    """The cuts of a walk over all values, and few rows more than needed for them."""
+    draw = np.random.default_rng(4)
+    for values, splits in ((400, 29), (31, 29), (30, 29), (29, 29), (2, 5), (1, 5), (3000, 7)):
+        weights = draw.integers(1, 30, values) * draw.choice([1, 40], values, p=[0.95, 0.05]).astype(float)
+        at = np.sort(draw.normal(size=values))
+        want, seen, target = [], weights[0], weights.sum() / (splits + 1)
+        for i in range(1, values):
+            before, seen = seen, seen + weights[i]
+            if values - 1 <= splits or abs(before - target) < abs(seen - target):
+                want.append((at[i - 1] + at[i]) / 2)
+                target += weights.sum() / (splits + 1)
+        assert grown.thresholds(at, weights, splits).tolist() == want
+
+
+def test_thresholds_of_many_rows_come_from_some():
+    draw = np.random.default_rng(4)
+    rows = grown.rows_of(draw.normal(size=(40_000, 1)), draw.integers(0, 2, 40_000), draw.integers(-2**63, 2**63, 40_000))
+    plan = grown.plan_of(DecisionTreeClassifier(maxDepth=1, maxBins=5), 1.0, False, [0], 2)
+    seen, plain = [], grown.thresholds
+    grown.thresholds = lambda *a: seen.append(plain(*a)) or seen[-1]
+    try:
+        root = grown.grow(rows, plan)[0]
+    finally:
+        grown.thresholds = plain
+    assert root.rows.tolist() == [40_000] and root.stats.sum() == 40_000
+    assert seen[0] == pytest.approx([-0.84, -0.25, 0.25, 0.84], abs=0.06)
