@@ -173,15 +173,16 @@ class BaggingClassifier(BaggingParams, EnsembleEstimator):
     def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]) -> Iterator[tuple[int, BaggingModel]]:
         """The model of each map, as ``fit`` gives it; may be read from several threads.
 
-        Bags of decision trees whose training rows fit into one task are grown some together, in one job
-        with a task for each draw (``grown``): as many as have TREE_ROWS rows in all their trees.
+        Bags of decision trees whose training rows fit into one task are grown some together, by one task
+        (``grown``): as many as have TREE_ROWS rows in all their trees.
         """
         points = [self.copy(dict(values)) for values in paramMaps]
         same = {(p.getLabelCol(), p.getFeaturesCol(), p.getIdCol()) for p in points}
         if len(same) != 1 or not all(p._in_one_task(dataset) for p in points):
             return super().fitMultiple(dataset, paramMaps)
         rows = dataset.count()
-        if not rows or rows * (feature_count(dataset, points[0].getFeaturesCol()) + 6) > TASK_VALUES:
+        draws = len({(p.getSeed(), m) for p in points for m in range(p.getMaxIter())})
+        if not rows or rows * (feature_count(dataset, points[0].getFeaturesCol()) + draws + 4) > TASK_VALUES:
             return super().fitMultiple(dataset, paramMaps)
         return _Together(points, dataset, rows)
 

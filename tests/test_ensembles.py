@@ -388,7 +388,7 @@ def test_thresholds_follow_the_running_weight():
 
 def test_thresholds_of_many_rows_come_from_some():
     draw = np.random.default_rng(4)
-    rows = grown.rows_of(draw.normal(size=(40_000, 1)), draw.integers(0, 2, 40_000), draw.integers(-2**63, 2**63, 40_000))
+    rows, = grown.rows_of(draw.normal(size=(40_000, 1)), draw.integers(0, 2, 40_000), draw.integers(-2**63, 2**63, (40_000, 1)))
     plan = grown.plan_of(DecisionTreeClassifier(maxDepth=1, maxBins=5), 1.0, False, [0], 2)
     seen, plain = [], grown.thresholds
     grown.thresholds = lambda *a: seen.append(plain(*a)) or seen[-1]
