@@ -90,8 +90,7 @@ def fitted_points(estimator: Estimator, grid: Sequence[Mapping[Param, object]],
 
 def fitted_groups(estimator: Estimator, grid: Sequence[Mapping[Param, object]], groups: Sequence[Sequence[int]],
                   train: DataFrame) -> Iterator[tuple[Sequence[int], dict[int, Model]]]:
-    """Each group with the fitted models of its points, one after another; bags may share the work of their fits.
-    May be read from several threads."""
+    """Each group with the fitted models of its points, one after another; bags may share the work of their fits."""
     if isinstance(estimator, BaggingClassifier):
         fitted = estimator.fitMultiple(train, [dict(grid[i]) for i, in groups])
         return map(lambda told: (groups[told[0]], {groups[told[0]][0]: told[1]}), fitted)
@@ -186,17 +185,12 @@ class Comparison:
             left = [g for g in groups if not self._done(spark, paths[g[0]])]
             if not left:
                 return
-            fitted = fitted_groups(estimator, grid, left, self._rows(train, F.col(FOLD) != fold))
-
-            def scored() -> None:
-                group, models = next(fitted)
+            for group, models in fitted_groups(estimator, grid, left, self._rows(train, F.col(FOLD) != fold)):
                 found = scores(models, self._rows(train, F.col(FOLD) == fold), self.label, self.metric)
                 rows = [(name, i, point_name(grid[i]), fold, found[i]) for i in group]
                 inline_table(spark, rows, RESULTS).coalesce(1).write.mode("overwrite").parquet(paths[group[0]])
                 self._counted()
 
-            fit_all([scored] * len(left), 1 if self.parallelism == 1 else -(-self.parallelism // self.folds))
-
         def final(name: str, position: int) -> None:
             estimator, grid = self.entrants[name]
             path = self._path("scores", name)
